@@ -1,0 +1,7 @@
+"""Streams.
+
+Textures are processed in batch and no operator keeps stream state, so there is
+nothing to define here. The per-sample operators of
+``texelframe.operators.samples`` are plain projections and apply unchanged to a
+``readStream`` DataFrame; the tests hold them to that.
+"""
