@@ -51,18 +51,27 @@ def virtual_positions(index: Column, size: Column, reach: Column, mode: str = "c
     raise ValueError(f"wrap mode must be one of {WRAP_MODES}, got {mode!r}")
 
 
+def colocate_tiles(df: DataFrame) -> DataFrame:
+    """Bring the rows of each (plane, ty, tx) together, under the single key ``tile``.
+
+    Grouping by ``tile`` and anything else then needs no further exchange. The key
+    is a hash, so the real keys still belong in the grouping; it is used because a
+    plain key that happens to be constant would not be recognised.
+    """
+    return df.withColumn("tile", F.xxhash64(*plane_keys(df), "ty", "tx")).repartition("tile")
+
+
 def place_by_tile(df: DataFrame, y_span: tuple[Column, Column], x_span: tuple[Column, Column]) -> DataFrame:
     """Send each row to every tile its target span touches.
 
-    Adds ty and tx; rows with an empty span reach no target and drop out.
+    Adds ty, tx and tile; rows with an empty span reach no target and drop out.
     """
     def tiles(span: tuple[Column, Column]) -> Column:
         low, high = span
         first, final = F.floor(low / TILE).cast("int"), F.floor(high / TILE).cast("int")
         return F.explode(F.when(low <= high, F.sequence(first, final)))
 
-    placed = df.withColumn("ty", tiles(y_span)).withColumn("tx", tiles(x_span))
-    return placed.repartition(*plane_keys(df), "ty", "tx")
+    return colocate_tiles(df.withColumn("ty", tiles(y_span)).withColumn("tx", tiles(x_span)))
 
 
 def within_tile(low: Column, high: Column, tile: Column) -> tuple[Column, Column]:

@@ -23,7 +23,7 @@ MITCHELL_B = 1 / 3
 MITCHELL_C = 1 / 3
 KAISER_ALPHA = 4.0
 KAISER_STRETCH = 1.0
-BESSEL_TERMS = 18
+BESSEL_TERMS = 14
 
 FILTERS = ("box", "min", "max", *SUPPORT)
 
@@ -32,12 +32,16 @@ def _bessel_i0(quarter_square: Column | float):
     """I0(v) from v*v/4, as a nested power series."""
     total = 1.0
     for k in range(BESSEL_TERMS, 0, -1):
-        total = quarter_square * total / float(k * k) + 1.0
+        total = quarter_square * total * (1.0 / (k * k)) + 1.0
     return total
 
 
-def kernel(u: Column, name: str) -> Column:
-    """Filter weight at distance u, in output samples."""
+def kernel(u: Column, square: Column, name: str) -> Column:
+    """Filter weight at distance u, in output samples; ``square`` is u * u.
+
+    Both should be columns, not expressions: the series repeats the square, and a
+    generated method beyond 8000 bytes of code is left uncompiled by the JVM.
+    """
     d = F.abs(u)
     if name == "triangle":
         return F.greatest(F.lit(0.0), 1.0 - d)
@@ -47,8 +51,9 @@ def kernel(u: Column, name: str) -> Column:
         far = (((-b - 6 * c) * d + (6 * b + 30 * c)) * d - (12 * b + 48 * c)) * d + (8 * b + 24 * c)
         return F.when(d < 1, near / 6.0).when(d < 2, far / 6.0).otherwise(0.0)
     if name == "kaiser":
-        t = u / SUPPORT["kaiser"]
-        window = _bessel_i0((1.0 - t * t) * (KAISER_ALPHA**2 / 4)) / _bessel_i0(KAISER_ALPHA**2 / 4)
+        half = KAISER_ALPHA / 2
+        quarter_square = F.lit(half * half) - square * (half / SUPPORT["kaiser"]) ** 2
+        window = _bessel_i0(quarter_square) * (1.0 / _bessel_i0(half * half))
         angle = u * (KAISER_STRETCH * math.pi)
         sinc = F.when(F.abs(angle) < 1e-9, 1.0).otherwise(F.sin(angle) / F.nullif(angle, F.lit(0.0)))
         return F.when(d < SUPPORT["kaiser"], sinc * window).otherwise(0.0)
@@ -108,9 +113,10 @@ def _resize_kernel(df: DataFrame, name: str, mode: str) -> DataFrame:
         low, high = within_tile(*targets(j, size, out), F.col(tile))
         hit = rows.withColumn(target, explode_span(low, high))
         distance = (center(j, size, out) - F.col(target)) * F.least(F.lit(1.0), ratio(size, out))
-        hit = hit.withColumn("_u", distance).withColumn("_w", kernel(F.col("_u"), name))
+        hit = hit.withColumn("_u", distance).withColumn("_uu", F.col("_u") * F.col("_u"))
+        hit = hit.withColumn("_w", kernel(F.col("_u"), F.col("_uu"), name))
         sums = [(F.sum(F.col("_w") * F.col(c)) / F.sum("_w")).alias(c) for c in channels(df)]
-        return hit.groupBy(*_sized_keys(df), "ty", "tx", *other, target).agg(*sums)
+        return hit.groupBy(*_sized_keys(df), "tile", "ty", "tx", *other, target).agg(*sums)
 
     rows = df.withColumn("_jx", virtual_positions(F.col("x"), F.col("width"), reach("width", "out_w"), mode))
     rows = rows.withColumn("_jy", virtual_positions(F.col("y"), F.col("height"), reach("height", "out_h"), mode))
@@ -118,7 +124,7 @@ def _resize_kernel(df: DataFrame, name: str, mode: str) -> DataFrame:
     placed = place_by_tile(rows, targets("_jy", "height", "out_h"), targets("_jx", "width", "out_w"))
     across = one_pass(placed, "_jx", "_dx", "width", "out_w", "tx", ["_jy"])
     down = one_pass(across, "_jy", "_dy", "height", "out_h", "ty", ["_dx"])
-    cells = down.withColumns({"y": F.col("_dy"), "x": F.col("_dx")}).drop("_dy", "_dx", "ty", "tx")
+    cells = down.withColumns({"y": F.col("_dy"), "x": F.col("_dx")}).drop("_dy", "_dx", "tile", "ty", "tx")
     return _finish(cells)
 
 

@@ -52,7 +52,7 @@ def to_normal_map(df: DataFrame, w1: float, w2: float, w3: float, w4: float, wra
         low, high = within_tile(F.lit(0), F.col(size) - 1, F.col(tile))
         hits = hits.filter(F.col(axis).between(low, high))
     own = (F.col("_tap.ox") == 0) & (F.col("_tap.oy") == 0)
-    slopes = hits.groupBy(*keys, "ty", "tx", "y", "x").agg(
+    slopes = hits.groupBy(*keys, "tile", "y", "x").agg(
         F.sum(F.col("_h") * F.col("_tap.sx")).alias("_sx"),
         F.sum(F.col("_h") * F.col("_tap.sy")).alias("_sy"),
         F.max(F.when(own, F.col("_h"))).alias("a"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from texelframe.functions.sizes import mip_size
 from texelframe.schema import int_div
+from texelframe.session import cut_lineage
 
 FILE_KEYS = ("layer_file", "face_file", "mip_file")
 HEADER = ("n_layers", "n_faces", "n_mips", "width", "height", "depth", "format", "alpha_mode", "color_transform")
@@ -34,22 +35,22 @@ def parse_parts(files: DataFrame, layers: bool = True, faces: bool = True, mips:
     pattern += r"_F(0|[1-9]\d*)" if faces else "()"
     pattern += r"_(M?)(0|[1-9]\d*)" if mips else "()()"
     pattern += r"\.dds$"
-
-    def group(i: int) -> Column:
-        return F.regexp_extract("file", pattern, i)
+    # one match per name: its groups, joined by a character no name holds
+    groups = F.split(F.regexp_replace("file", pattern, "$1\0$2\0$3\0$4\0$5"), "\0")
+    parsed = files.withColumn("_groups", groups).filter(F.size("_groups") == 5)
 
     def index(i: int) -> Column:
-        return F.coalesce(F.nullif(group(i), F.lit("")).cast("int"), F.lit(0))
+        return F.coalesce(F.nullif(F.col("_groups")[i], F.lit("")).cast("int"), F.lit(0))
 
-    return files.filter(F.rlike("file", F.lit(pattern))).withColumns(
+    return parsed.withColumns(
         {
-            "base": group(1),
-            "layer_file": index(2),
-            "face_file": index(3),
-            "mip_file": index(5),
-            "priority": F.when(group(4) == "M", 1).otherwise(2) if mips else F.lit(1),
+            "base": F.col("_groups")[0],
+            "layer_file": index(1),
+            "face_file": index(2),
+            "mip_file": index(4),
+            "priority": F.when(F.col("_groups")[3] == "M", 1).otherwise(2) if mips else F.lit(1),
         }
-    )
+    ).drop("_groups")
 
 
 def resolve_part_names(parsed: DataFrame) -> DataFrame:
@@ -60,6 +61,13 @@ def resolve_part_names(parsed: DataFrame) -> DataFrame:
     return parsed.groupBy(*keys).agg(best).select(*keys, "_best.*")
 
 
+def _is_first() -> Column:
+    at_zero = F.lit(True)
+    for axis in FILE_KEYS:
+        at_zero = at_zero & (F.col(axis) == 0)
+    return at_zero
+
+
 def stitch_extent(parts: DataFrame) -> DataFrame:
     """Files per axis: counted along the axis, others at 0, up to the first gap.
 
@@ -67,26 +75,23 @@ def stitch_extent(parts: DataFrame) -> DataFrame:
     is the length. Needs no ordered pass over a texture's parts. Bases without a
     first file are absent (see stitch_empty).
     """
-    bases = None
-    for axis in FILE_KEYS:
-        on_axis = parts
-        for other in FILE_KEYS:
-            if other != axis:
-                on_axis = on_axis.filter(F.col(other) == 0)
-        places = on_axis.select("base", F.col(axis).alias("_i")).distinct()
-        followed = places.select("base", (F.col("_i") - 1).alias("_i"))
-        ends = places.join(followed, ["base", "_i"], "left_anti")
-        length = ends.groupBy("base").agg((F.min("_i") + 1).alias(axis.replace("_file", "_files")))
-        bases = length if bases is None else bases.join(length, "base")
-    first = parts.filter(_is_first()).select("base").distinct()
-    return bases.join(first, "base", "left_semi")
-
-
-def _is_first() -> Column:
-    at_zero = F.lit(True)
-    for axis in FILE_KEYS:
-        at_zero = at_zero & (F.col(axis) == 0)
-    return at_zero
+    def on_axis(axis: str) -> Column:
+        others_at_zero = [F.col(o) == 0 for o in FILE_KEYS if o != axis]
+        entry = F.struct(F.lit(axis).alias("axis"), F.col(axis).alias("i"))
+        return F.when(others_at_zero[0] & others_at_zero[1], entry)
+
+    places = (
+        parts.select("base", F.explode(F.array_compact(F.array(*map(on_axis, FILE_KEYS)))).alias("_e"))
+        .select("base", "_e.axis", "_e.i")
+        .distinct()
+    )
+    followed = places.select("base", "axis", (F.col("i") - 1).alias("i"))
+    ends = places.join(followed, ["base", "axis", "i"], "left_anti")
+    lengths = [
+        (F.min(F.when(F.col("axis") == axis, F.col("i"))) + 1).alias(axis + "s") for axis in FILE_KEYS
+    ]
+    first = parts.filter(_is_first()).select("base")
+    return ends.groupBy("base").agg(*lengths).join(first, "base", "left_semi")
 
 
 def _first_files(parts: DataFrame) -> DataFrame:
@@ -99,16 +104,17 @@ def _first_files(parts: DataFrame) -> DataFrame:
     return firsts.join(stitch_extent(parts), "base")
 
 
-def _with_first(parts: DataFrame) -> DataFrame:
+def _with_first(parts: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """Parts inside the extents of their base, with the first file's header.
 
     Joined by base and layer band, as one base may hold a large share of all parts.
     """
+    firsts = _first_files(parts) if firsts is None else firsts
     last_band = int_div(F.col("layer_files") - 1, LAYER_BAND)
-    firsts = _first_files(parts).withColumn("_band", F.explode(F.sequence(F.lit(0), last_band)))
+    firsts = firsts.withColumn("_band", F.explode(F.sequence(F.lit(0), last_band)))
     joined = parts.withColumn("_band", int_div(F.col("layer_file"), LAYER_BAND)).join(firsts, ["base", "_band"])
     for axis in FILE_KEYS:
-        joined = joined.filter(F.col(axis) < F.col(axis.replace("_file", "_files")))
+        joined = joined.filter(F.col(axis) < F.col(axis + "s"))
     return joined.drop("_band")
 
 
@@ -118,13 +124,13 @@ def stitch_empty(bases: DataFrame, parts: DataFrame) -> DataFrame:
     return bases.select("base").distinct().join(first, "base", "left_anti")
 
 
-def stitch_missing(parts: DataFrame) -> DataFrame:
+def stitch_missing(parts: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """Places of the layer x face x mip file grid that no file fills.
 
     Bases whose file count is complete are settled by the count; only the others'
     grids are laid out, in blocks of bounded length spread over tasks.
     """
-    placed = _with_first(parts).select("base", *FILE_KEYS, "layer_files", "face_files", "mip_files").distinct()
+    placed = _with_first(parts, firsts).select("base", *FILE_KEYS, "layer_files", "face_files", "mip_files").distinct()
     size = F.col("layer_files").cast("bigint") * F.col("face_files") * F.col("mip_files")
     extents = ["layer_files", "face_files", "mip_files"]
     short = placed.groupBy("base", *extents).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") < size)
@@ -142,14 +148,14 @@ def stitch_missing(parts: DataFrame) -> DataFrame:
     return grid.join(placed.select("base", *FILE_KEYS), ["base", *FILE_KEYS], "left_anti")
 
 
-def stitch_errors(parts: DataFrame) -> DataFrame:
+def stitch_errors(parts: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """Files that disagree with the first file of their base, one row per fault.
 
     Compared are the size expected at the file's first mip, the part counts, the
     format, the alpha mode and the colour transform. Dimension, normal flag and
     user version may differ.
     """
-    files = _with_first(parts).filter((F.col("layer") == 0) & (F.col("face") == 0) & (F.col("mip") == 0))
+    files = _with_first(parts, firsts).filter((F.col("layer") == 0) & (F.col("face") == 0) & (F.col("mip") == 0))
     first_mip = F.col("first_n_mips") * F.col("mip_file")
 
     def differs(*pairs) -> Column:
@@ -177,9 +183,9 @@ def stitch_errors(parts: DataFrame) -> DataFrame:
     )
 
 
-def stitch_limits(parts: DataFrame) -> DataFrame:
+def stitch_limits(parts: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """Bases whose joined texture would exceed an index or face limit."""
-    firsts = _first_files(parts)
+    firsts = _first_files(parts) if firsts is None else firsts
     totals = {
         axis: F.col(f"first_n_{axis}s").cast("bigint") * F.col(f"{axis}_files") for axis in ("layer", "face", "mip")
     }
@@ -201,9 +207,9 @@ def cube_flags(faces: Column, positive_x: int, strict: bool = False) -> Column:
     return flags if strict else F.when(faces == 1, 0).otherwise(flags)
 
 
-def stitch(parts: DataFrame) -> DataFrame:
+def stitch(parts: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """Subresources of the joined textures, under their global indices."""
-    joined = _with_first(parts)
+    joined = _with_first(parts, firsts)
     placed = {
         axis: (F.col(f"first_n_{axis}s") * F.col(f"{axis}_file") + F.col(axis)).cast("bigint")
         for axis in ("layer", "face", "mip")
@@ -212,17 +218,27 @@ def stitch(parts: DataFrame) -> DataFrame:
     return joined.withColumns(placed).drop(*drop)
 
 
-def stitch_faults(parts: DataFrame) -> DataFrame:
+def first_files(parts: DataFrame) -> DataFrame:
+    """Extents and first-file headers, one row per base, written once for reuse.
+
+    Hand it to several checks of the same parts as ``firsts``.
+    """
+    return cut_lineage(_first_files(parts))
+
+
+def stitch_faults(parts: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """All faults as (base, code): missing places, disagreeing files, limits."""
+    firsts = first_files(parts) if firsts is None else firsts
     return (
-        stitch_missing(parts)
+        stitch_missing(parts, firsts)
         .select("base", F.lit("missing").alias("code"))
-        .unionByName(stitch_errors(parts).select("base", "code"))
-        .unionByName(stitch_limits(parts).select("base", "code"))
+        .unionByName(stitch_errors(parts, firsts).select("base", "code"))
+        .unionByName(stitch_limits(parts, firsts).select("base", "code"))
     )
 
 
 def stitch_clean(parts: DataFrame) -> DataFrame:
     """Joined textures of the bases without any fault."""
-    bad = stitch_faults(parts).select("base").distinct()
-    return stitch(parts).join(bad, "base", "left_anti")
+    firsts = first_files(parts)
+    bad = stitch_faults(parts, firsts).select("base").distinct()
+    return stitch(parts, firsts).join(bad, "base", "left_anti")

@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 
 from texelframe.functions.sizes import UNLIMITED_MIPS, mip_count, mip_size
 from texelframe.operators import samples
-from texelframe.operators.placement import TILE
+from texelframe.operators.placement import TILE, colocate_tiles
 from texelframe.operators.resample import next_mip
-from texelframe.schema import attach_image_stats, channels, image_keys, int_div, plane_keys, with_size
+from texelframe.schema import (
+    channels, has_size, image_keys, image_sizes, image_stats, int_div, join_image_stats, plane_keys,
+)
 from texelframe.session import cut_lineage
 
 NESTING = {"box": F.avg, "min": F.min, "max": F.max}
@@ -54,10 +56,8 @@ def _nested_levels(base: DataFrame, name: str, deepest: int) -> DataFrame:
     halved = base.filter(F.col("mip") + 1 < F.col("n_mips")).withColumns(
         {"y": int_div(F.col("y"), 2), "x": int_div(F.col("x"), 2)}
     )
-    placed = (
-        fold(halved)
-        .withColumns({"ty": int_div(F.col("y"), TILE), "tx": int_div(F.col("x"), TILE)})
-        .repartition(*plane_keys(base), "ty", "tx")
+    placed = colocate_tiles(
+        fold(halved).withColumns({"ty": int_div(F.col("y"), TILE), "tx": int_div(F.col("x"), TILE)})
     )
 
     def at_levels(rows: DataFrame, first: int, start: int, stop) -> DataFrame:
@@ -67,15 +67,14 @@ def _nested_levels(base: DataFrame, name: str, deepest: int) -> DataFrame:
         shift = F.col("_level") - first
         return copied.withColumns({c: F.call_function("shiftright", F.col(c), shift) for c in ("y", "x")})
 
-    levels = fold(at_levels(placed, 1, 1, TILE_LEVELS), "ty", "tx", "_level").drop("ty", "tx")
+    levels = fold(at_levels(placed, 1, 1, TILE_LEVELS), "tile", "_level").drop("tile")
     if deepest > TILE_LEVELS:
         tops = fold(
             placed.withColumns({"y": F.col("ty"), "x": F.col("tx")}).filter(
                 F.col("n_mips") - 1 - F.col("mip") > TILE_LEVELS
             ),
-            "ty",
-            "tx",
-        ).drop("ty", "tx")
+            "tile",
+        ).drop("tile")
         deep = fold(at_levels(tops, TILE_LEVELS, TILE_LEVELS + 1, UNLIMITED_MIPS), "_level")
         levels = levels.unionByName(deep)
     return levels.withColumns(
@@ -100,16 +99,19 @@ def _chained_levels(base: DataFrame, name: str, deepest: int, wrap: str, each_le
     return levels
 
 
-def levels_below(base: DataFrame, name: str = "box", wrap: str = "clamp", each_level: Transform | None = None) -> DataFrame | None:
+def levels_below(
+    base: DataFrame, sizes: DataFrame, name: str = "box", wrap: str = "clamp", each_level: Transform | None = None
+) -> DataFrame | None:
     """Every level under the base rows, which carry width, height, mip and n_mips.
 
-    A single-row probe of the sizes tells how deep to go and whether some images
-    need the chained way; None means there is no level to build.
+    ``sizes`` holds those four columns too and may be any smaller table with the
+    same value combinations. A one-row aggregate over it tells how deep to go and
+    whether some images need the chained way; None means there is nothing to build.
     """
     nestable = name in NESTING and each_level is None
     below = F.col("n_mips") - 1 - F.col("mip")
     chained = ~_nests() if nestable else F.lit(True)
-    probe = base.agg(F.max(below).alias("deepest"), F.max(F.when(chained, below)).alias("chained")).first()
+    probe = sizes.agg(F.max(below).alias("deepest"), F.max(F.when(chained, below)).alias("chained")).first()
     parts = []
     if nestable and (probe["deepest"] or 0) > 0:
         parts.append(_nested_levels(base.filter(_nests()), name, probe["deepest"]))
@@ -122,15 +124,6 @@ def levels_below(base: DataFrame, name: str = "box", wrap: str = "clamp", each_l
     return levels
 
 
-def _base(df: DataFrame, max_mips: int, min_size: int) -> DataFrame:
-    """Level-0 rows with sizes, mip and the number of levels of their image."""
-    base = with_size(df)
-    if "mip" not in base.columns:
-        base = base.withColumn("mip", F.lit(0))
-    count = mip_count(F.col("width"), F.col("height"), max_mips, min_size)
-    return base.select(*plane_keys(base), "width", "height", count.alias("n_mips"), "y", "x", *channels(base))
-
-
 def _pyramid(
     df: DataFrame,
     name: str,
@@ -141,9 +134,18 @@ def _pyramid(
     max_mips: int = UNLIMITED_MIPS,
     min_size: int = 1,
 ) -> DataFrame:
-    base = _base(df, max_mips, min_size)
+    count = mip_count(F.col("width"), F.col("height"), max_mips, min_size).alias("n_mips")
+    if "mip" not in df.columns:
+        df = df.withColumn("mip", F.lit(0))
+    if has_size(df):
+        sized, sizes = df, df
+    else:
+        # worked out once, then read by the probe and by every use of the base
+        sizes = cut_lineage(image_sizes(df))
+        sized = join_image_stats(df, sizes)
+    base = sized.select(*plane_keys(df), "width", "height", count, "y", "x", *channels(df))
     start = to_state(base) if to_state else base
-    levels = levels_below(start, name, wrap, each_level)
+    levels = levels_below(start, sizes.select("width", "height", "mip", count), name, wrap, each_level)
     if levels is None:
         return base.drop("n_mips")
     if from_state:
@@ -205,20 +207,30 @@ def pyramid_from_source(
     """
     faces = [k for k in image_keys(df) if k != "mip"]
     at_base = F.col("mip") == 0
-    stored = attach_image_stats(
+    mips = F.collect_set("mip")
+    first_gap = F.array_min(F.array_except(F.sequence(F.lit(0), F.lit(UNLIMITED_MIPS)), mips))
+    per_face = image_stats(
         df,
-        F.collect_set("mip").alias("_mips"),
+        first_gap.alias("_gap"),
         F.max(F.when(at_base, F.col("width"))).alias("_w0"),
         F.max(F.when(at_base, F.col("height"))).alias("_h0"),
         keys=faces,
     )
-    first_gap = F.array_min(F.array_except(F.sequence(F.lit(0), F.lit(UNLIMITED_MIPS)), F.col("_mips")))
-    count = mip_count(F.col("_w0"), F.col("_h0"), max_mips, min_size)
-    stored = stored.withColumns({"_gap": first_gap, "n_mips": count})
+    # a row per face, read by the probe and twice by the joins
+    per_face = cut_lineage(
+        per_face.withColumn("n_mips", mip_count(F.col("_w0"), F.col("_h0"), max_mips, min_size))
+    )
+    last_mip = F.col("_gap") - 1
+    sizes = per_face.select(
+        mip_size(F.col("_w0"), last_mip).alias("width"), mip_size(F.col("_h0"), last_mip).alias("height"),
+        last_mip.alias("mip"), "n_mips",
+    )
+    stored = join_image_stats(df, per_face, faces)
     columns = [*plane_keys(df), "width", "height", "n_mips", "y", "x", *channels(df)]
     kept = stored.filter((F.col("mip") < F.col("_gap")) & (F.col("mip") < F.col("n_mips"))).select(*columns)
-    last = stored.filter(F.col("mip") == F.col("_gap") - 1).select(*columns)
-    levels = levels_below(samples.to_linear_from_srgb_unclamped(last) if gamma else last, name, wrap)
+    last = stored.filter(F.col("mip") == last_mip).select(*columns)
+    start = samples.to_linear_from_srgb_unclamped(last) if gamma else last
+    levels = levels_below(start, sizes, name, wrap)
     if levels is None:
         return kept.drop("n_mips")
     if gamma:

@@ -59,22 +59,38 @@ def ceil_div(col: Column, n: Column | int) -> Column:
     return F.ceil(col / n).cast("int")
 
 
-def attach_image_stats(df: DataFrame, *aggregates: Column, keys: list[str] | None = None) -> DataFrame:
-    """Add per-image aggregates (or per other leading keys) to every sample.
+def image_stats(df: DataFrame, *aggregates: Column, keys: list[str] | None = None) -> DataFrame:
+    """One row of aggregates per image (or other leading keys), for ``join_image_stats``."""
+    return df.groupBy(*(image_keys(df) if keys is None else keys)).agg(F.max("y").alias("_last_y"), *aggregates)
+
 
-    The aggregates are one small row per image. They are joined back by image
-    and row band, so no image, however large, meets its samples under a single
-    key; each image repeats its row once per band only.
+def join_image_stats(df: DataFrame, stats: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Add per-image values to every sample of the image.
+
+    They are joined by image and row band, so no image, however large, meets its
+    samples under a single key; each image repeats its short row once per band.
     """
     keys = image_keys(df) if keys is None else keys
-    stats = (
-        df.groupBy(*keys)
-        .agg(F.max("y").alias("_last_y"), *aggregates)
-        .withColumn("_band", F.explode(F.sequence(F.lit(0), int_div(F.col("_last_y"), BAND_ROWS))))
-        .drop("_last_y")
-    )
+    bands = F.sequence(F.lit(0), int_div(F.col("_last_y"), BAND_ROWS))
+    per_band = stats.withColumn("_band", F.explode(bands)).drop("_last_y")
     banded = df.withColumn("_band", int_div(F.col("y"), BAND_ROWS))
-    return banded.join(stats, [*keys, "_band"]).drop("_band")
+    return banded.join(per_band, [*keys, "_band"]).drop("_band")
+
+
+def attach_image_stats(df: DataFrame, *aggregates: Column, keys: list[str] | None = None) -> DataFrame:
+    """Aggregate per image and add the results to every sample."""
+    return join_image_stats(df, image_stats(df, *aggregates, keys=keys), keys)
+
+
+def has_size(df: DataFrame) -> bool:
+    return "width" in df.columns and "height" in df.columns
+
+
+def image_sizes(df: DataFrame) -> DataFrame:
+    """Width and height of every image, from its largest coordinates."""
+    return image_stats(
+        df, (F.max("x") + 1).cast("int").alias("width"), (F.max("y") + 1).cast("int").alias("height")
+    )
 
 
 def with_size(df: DataFrame) -> DataFrame:
@@ -82,10 +98,4 @@ def with_size(df: DataFrame) -> DataFrame:
 
     Scans attach both for free; only tables without them pay the aggregate.
     """
-    if "width" in df.columns and "height" in df.columns:
-        return df
-    return attach_image_stats(
-        df.drop("width", "height"),
-        (F.max("x") + 1).cast("int").alias("width"),
-        (F.max("y") + 1).cast("int").alias("height"),
-    )
+    return df if has_size(df) else join_image_stats(df.drop("width", "height"), image_sizes(df))

@@ -23,9 +23,7 @@ ASTC_BLOCK_BYTES = 16
 # Formats whose pixels are not plain unsigned fractions.
 PIXEL_TYPES = {"bc4s": "signed_norm", "bc5s": "signed_norm", "bc6": "unsigned_float", "bc6s": "float"}
 
-SCHEMA = (
-    "format string, family string, block_w int, block_h int, block_bytes int, pixel_type string, dds10 boolean"
-)
+COLUMNS = "format, family, block_w, block_h, block_bytes, pixel_type, dds10"
 
 
 def format_rows() -> list[tuple]:
@@ -40,7 +38,8 @@ def format_rows() -> list[tuple]:
 
 def format_dim(spark: SparkSession) -> DataFrame:
     """One row per format: block size, bytes, pixel type, need of the extended header."""
-    return spark.createDataFrame(format_rows(), SCHEMA)
+    rows = ", ".join(f"({', '.join(repr(v) for v in row)})" for row in format_rows())
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS formats({COLUMNS})")
 
 
 def with_format(textures: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from texelframe.operators.placement import wrap
 from texelframe.plans import compare, convert
 from texelframe.plans import pyramid as pyramids
 from texelframe.schema import with_default_keys
-from texelframe.session import shared_folder
+from texelframe.session import cut_lineage, shared_folder
 from texelframe.sources import files as file_source
 from texelframe.sources import formats, images, tables
 from workload import fixtures as fx
@@ -70,7 +70,8 @@ def stored_textures(spark: SparkSession, folder: str) -> DataFrame:
     bright = attach_image_stats(first, F.max("r").alias("_peak")).filter("_peak > 30.3").drop("_peak")
     third = resample.next_mip(resample.next_mip(first, "min"), "min")
     columns = base.columns
-    return base.unionByName(bright.select(*columns)).unionByName(third.select(*columns))
+    levels = base.unionByName(bright.select(*columns)).unionByName(third.select(*columns))
+    return cut_lineage(levels)  # stands for a stored table
 
 
 # --- scans, sources, sinks -------------------------------------------------------------
