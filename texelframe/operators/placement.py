@@ -5,6 +5,9 @@ reads it (its own, plus the neighbours' margins), and all further grouping by
 (plane, tile, ...) stays inside the partition. The exchange carries little more
 than the input itself, whatever the number of taps, and no tile is larger than
 its fixed side plus margin.
+
+Positions and spans are given as SQL expressions over the row's columns: they are
+long, and a text is handed to Spark in one call where a Column tree takes hundreds.
 """
 
 from __future__ import annotations
@@ -12,16 +15,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from texelframe.schema import int_div, plane_keys
+from texelframe.schema import plane_keys
 
 TILE = 64
 WRAP_MODES = ("clamp", "repeat")
 
+Span = tuple[str, str]
+
 
-def explode_span(low: Column, high: Column, step: Column | None = None) -> Column:
+def explode_span(span: Span, step: str = "1") -> Column:
     """One row per integer in low..high; no row when the span is empty."""
-    span = F.sequence(low, high, step if step is not None else F.lit(1))
-    return F.explode(F.when(low <= high, span))
+    low, high = span
+    return F.expr(f"explode(CASE WHEN {low} <= {high} THEN sequence({low}, {high}, {step}) END)")
 
 
 def wrap(position: Column, size: Column, mode: str = "clamp") -> Column:
@@ -33,21 +38,20 @@ def wrap(position: Column, size: Column, mode: str = "clamp") -> Column:
     raise ValueError(f"wrap mode must be one of {WRAP_MODES}, got {mode!r}")
 
 
-def virtual_positions(index: Column, size: Column, reach: Column, mode: str = "clamp") -> Column:
+def virtual_positions(index: str, size: str, reach: str, mode: str = "clamp") -> Column:
     """Rows for every position in -reach .. size-1+reach that reads this index.
 
     Clamp: edge samples also stand for everything beyond them. Repeat: a sample
     stands for its copies one image size apart.
     """
-    last = size - 1
     if mode == "clamp":
-        low = F.when(index == 0, -reach).otherwise(index)
-        high = F.when(index == last, last + reach).otherwise(index)
-        return explode_span(low, high)
+        low = f"if({index} = 0, -({reach}), {index})"
+        high = f"if({index} = {size} - 1, {size} - 1 + {reach}, {index})"
+        return explode_span((low, high))
     if mode == "repeat":
-        low = index - size * int_div(index + reach, size)
-        high = index + size * int_div(last + reach - index, size)
-        return explode_span(low, high, size)
+        low = f"({index} - {size} * int(({index} + {reach}) div {size}))"
+        high = f"({index} + {size} * int(({size} - 1 + {reach} - {index}) div {size}))"
+        return explode_span((low, high), size)
     raise ValueError(f"wrap mode must be one of {WRAP_MODES}, got {mode!r}")
 
 
@@ -61,18 +65,19 @@ def colocate_tiles(df: DataFrame) -> DataFrame:
     return df.withColumn("tile", F.xxhash64(*plane_keys(df), "ty", "tx")).repartition("tile")
 
 
-def place_by_tile(df: DataFrame, y_span: tuple[Column, Column], x_span: tuple[Column, Column]) -> DataFrame:
+def place_by_tile(df: DataFrame, y_span: Span, x_span: Span) -> DataFrame:
     """Send each row to every tile its target span touches.
 
     Adds ty, tx and tile; rows with an empty span reach no target and drop out.
     """
-    def tiles(span: tuple[Column, Column]) -> Column:
+    def tiles(span: Span) -> Column:
         low, high = span
-        first, final = F.floor(low / TILE).cast("int"), F.floor(high / TILE).cast("int")
-        return F.explode(F.when(low <= high, F.sequence(first, final)))
+        touched = f"sequence(int(({low}) div {TILE}), int(({high}) div {TILE}))"
+        return F.expr(f"explode(CASE WHEN {low} <= {high} THEN {touched} END)")
 
     return colocate_tiles(df.withColumn("ty", tiles(y_span)).withColumn("tx", tiles(x_span)))
 
 
-def within_tile(low: Column, high: Column, tile: Column) -> tuple[Column, Column]:
-    return F.greatest(low, tile * TILE), F.least(high, tile * TILE + (TILE - 1))
+def within_tile(span: Span, tile: str) -> Span:
+    low, high = span
+    return f"greatest({low}, {tile} * {TILE})", f"least({high}, {tile} * {TILE} + {TILE - 1})"

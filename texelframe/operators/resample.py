@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from texelframe.operators.placement import explode_span, place_by_tile, virtual_positions, within_tile
+from texelframe.operators.placement import Span, explode_span, place_by_tile, virtual_positions, within_tile
 from texelframe.schema import channels, int_div, plane_keys, with_size
 
 # Half-widths in output samples, Mitchell's B and C, and the
@@ -28,35 +28,40 @@ BESSEL_TERMS = 14
 FILTERS = ("box", "min", "max", *SUPPORT)
 
 
-def _bessel_i0(quarter_square: Column | float):
+def _bessel_i0(quarter_square: str) -> str:
     """I0(v) from v*v/4, as a nested power series."""
-    total = 1.0
+    total = "1D"
     for k in range(BESSEL_TERMS, 0, -1):
-        total = quarter_square * total * (1.0 / (k * k)) + 1.0
+        total = f"({quarter_square} * {total} * {1 / (k * k)!r}D + 1D)"
     return total
 
 
-def kernel(u: Column, square: Column, name: str) -> Column:
-    """Filter weight at distance u, in output samples; ``square`` is u * u.
+def kernel(u: str, square: str, name: str) -> str:
+    """SQL expression of the filter weight at distance u, in output samples.
 
-    Both should be columns, not expressions: the series repeats the square, and a
-    generated method beyond 8000 bytes of code is left uncompiled by the JVM.
+    ``square`` is u * u. Both should be column names: the series repeats the
+    square, and a generated method beyond 8000 bytes is left uncompiled by the JVM.
     """
-    d = F.abs(u)
+    d = f"abs({u})"
     if name == "triangle":
-        return F.greatest(F.lit(0.0), 1.0 - d)
+        return f"greatest(0D, 1D - {d})"
     if name == "mitchell":
         b, c = MITCHELL_B, MITCHELL_C
-        near = ((12 - 9 * b - 6 * c) * d - (18 - 12 * b - 6 * c)) * d * d + (6 - 2 * b)
-        far = (((-b - 6 * c) * d + (6 * b + 30 * c)) * d - (12 * b + 48 * c)) * d + (8 * b + 24 * c)
-        return F.when(d < 1, near / 6.0).when(d < 2, far / 6.0).otherwise(0.0)
+        near = [(12 - 9 * b - 6 * c) / 6, -(18 - 12 * b - 6 * c) / 6, 0.0, (6 - 2 * b) / 6]
+        far = [(-b - 6 * c) / 6, (6 * b + 30 * c) / 6, -(12 * b + 48 * c) / 6, (8 * b + 24 * c) / 6]
+
+        def cubic(k: list[float]) -> str:
+            return f"((({k[0]!r}D * {d} + {k[1]!r}D) * {d} + {k[2]!r}D) * {d} + {k[3]!r}D)"
+
+        return f"CASE WHEN {d} < 1 THEN {cubic(near)} WHEN {d} < 2 THEN {cubic(far)} ELSE 0D END"
     if name == "kaiser":
         half = KAISER_ALPHA / 2
-        quarter_square = F.lit(half * half) - square * (half / SUPPORT["kaiser"]) ** 2
-        window = _bessel_i0(quarter_square) * (1.0 / _bessel_i0(half * half))
-        angle = u * (KAISER_STRETCH * math.pi)
-        sinc = F.when(F.abs(angle) < 1e-9, 1.0).otherwise(F.sin(angle) / F.nullif(angle, F.lit(0.0)))
-        return F.when(d < SUPPORT["kaiser"], sinc * window).otherwise(0.0)
+        rate = (half / SUPPORT["kaiser"]) ** 2
+        peak = sum((half * half) ** k / math.factorial(k) ** 2 for k in range(BESSEL_TERMS + 1))
+        window = f"{_bessel_i0(f'({half * half!r}D - {square} * {rate!r}D)')} * {1 / peak!r}D"
+        angle = f"({u} * {KAISER_STRETCH * math.pi!r}D)"
+        sinc = f"CASE WHEN abs({angle}) < 1e-9D THEN 1D ELSE sin({angle}) / nullif({angle}, 0D) END"
+        return f"CASE WHEN {d} < {SUPPORT['kaiser']!r}D THEN ({sinc}) * {window} ELSE 0D END"
     raise ValueError(f"filter must be one of {FILTERS}, got {name!r}")
 
 
@@ -70,23 +75,27 @@ def _finish(df: DataFrame) -> DataFrame:
     return df.withColumns({"width": F.col("out_w"), "height": F.col("out_h")}).drop("out_w", "out_h")
 
 
+def _weighted_means(names: list[str]) -> list[Column]:
+    return [F.expr(f"sum(_w * {c}) / sum(_w)").alias(c) for c in names]
+
+
 def _resize_box(df: DataFrame) -> DataFrame:
     """Area average: one aggregate, exact integer overlaps as weights."""
-    def span(index: str, size: str, out: str) -> Column:
-        start = F.col(index).cast("bigint") * F.col(out)
-        return explode_span(int_div(start, F.col(size)), int_div(start + F.col(out) - 1, F.col(size)))
-
-    def overlap(index: str, target: str, size: str, out: str) -> Column:
-        i, d = F.col(index).cast("bigint"), F.col(target).cast("bigint")
-        high = F.least((i + 1) * F.col(out), (d + 1) * F.col(size))
-        return (high - F.greatest(i * F.col(out), d * F.col(size))).cast("double")
-
-    taps = df.withColumn("_dx", span("x", "width", "out_w")).withColumn("_dy", span("y", "height", "out_h"))
-    weight = overlap("x", "_dx", "width", "out_w") * overlap("y", "_dy", "height", "out_h")
-    taps = taps.withColumn("_w", weight)
-    sums = [(F.sum(F.col("_w") * F.col(c)) / F.sum("_w")).alias(c) for c in channels(df)]
-    keys = _sized_keys(df)
-    cells = taps.groupBy(*keys, F.col("_dy").alias("y"), F.col("_dx").alias("x")).agg(*sums)
+    def targets(index: str, size: str, out: str) -> Column:
+        start = f"bigint({index}) * {out}"
+        return explode_span((f"int({start} div {size})", f"int(({start} + {out} - 1) div {size})"))
+
+    def overlap(index: str, target: str, size: str, out: str) -> str:
+        i, d = f"bigint({index})", f"bigint({target})"
+        return f"(least(({i} + 1) * {out}, ({d} + 1) * {size}) - greatest({i} * {out}, {d} * {size}))"
+
+    taps = df.withColumn("_dx", targets("x", "width", "out_w")).withColumn("_dy", targets("y", "height", "out_h"))
+    weight = f"double({overlap('x', '_dx', 'width', 'out_w')}) * {overlap('y', '_dy', 'height', 'out_h')}"
+    cells = (
+        taps.withColumn("_w", F.expr(weight))
+        .groupBy(*_sized_keys(df), F.col("_dy").alias("y"), F.col("_dx").alias("x"))
+        .agg(*_weighted_means(channels(df)))
+    )
     return _finish(cells)
 
 
@@ -94,37 +103,35 @@ def _resize_kernel(df: DataFrame, name: str, mode: str) -> DataFrame:
     """Two passes, x then y, both inside the tiles of one placement."""
     support = SUPPORT[name]
 
-    def ratio(size: str, out: str) -> Column:
-        return F.col(size) / F.col(out)
-
-    def reach(size: str, out: str) -> Column:
-        return F.ceil(F.greatest(ratio(size, out), F.lit(1.0)) * support).cast("int")
-
-    def center(j: str, size: str, out: str) -> Column:
-        return (F.col(j) + 0.5) * F.col(out) / F.col(size) - 0.5
-
-    def targets(j: str, size: str, out: str) -> tuple[Column, Column]:
-        around = F.lit(support) / F.least(F.lit(1.0), ratio(size, out))
-        low = F.greatest(F.lit(0), F.ceil(center(j, size, out) - around).cast("int"))
-        high = F.least(F.col(out) - 1, F.floor(center(j, size, out) + around).cast("int"))
-        return low, high
-
-    def one_pass(rows: DataFrame, j: str, target: str, size: str, out: str, tile: str, other: list[str]) -> DataFrame:
-        low, high = within_tile(*targets(j, size, out), F.col(tile))
-        hit = rows.withColumn(target, explode_span(low, high))
-        distance = (center(j, size, out) - F.col(target)) * F.least(F.lit(1.0), ratio(size, out))
-        hit = hit.withColumn("_u", distance).withColumn("_uu", F.col("_u") * F.col("_u"))
-        hit = hit.withColumn("_w", kernel(F.col("_u"), F.col("_uu"), name))
-        sums = [(F.sum(F.col("_w") * F.col(c)) / F.sum("_w")).alias(c) for c in channels(df)]
-        return hit.groupBy(*_sized_keys(df), "tile", "ty", "tx", *other, target).agg(*sums)
-
-    rows = df.withColumn("_jx", virtual_positions(F.col("x"), F.col("width"), reach("width", "out_w"), mode))
-    rows = rows.withColumn("_jy", virtual_positions(F.col("y"), F.col("height"), reach("height", "out_h"), mode))
+    def reach(size: str, out: str) -> str:
+        return f"int(ceil(greatest({size} / {out}, 1D) * {support!r}D))"
+
+    def center(j: str, size: str, out: str) -> str:
+        return f"(({j} + 0.5D) * {out} / {size} - 0.5D)"
+
+    def targets(j: str, size: str, out: str) -> Span:
+        around = f"{support!r}D / least(1D, {size} / {out})"
+        low = f"greatest(0, int(ceil({center(j, size, out)} - {around})))"
+        return low, f"least({out} - 1, int(floor({center(j, size, out)} + {around})))"
+
+    def one_pass(rows: DataFrame, j: str, target: str, size: str, out: str, tile: str, other: str) -> DataFrame:
+        distance = f"({center(j, size, out)} - {target}) * least(1D, {size} / {out})"
+        hit = (
+            rows.withColumn(target, explode_span(within_tile(targets(j, size, out), tile)))
+            .withColumn("_u", F.expr(distance))
+            .withColumn("_uu", F.expr("_u * _u"))
+            .withColumn("_w", F.expr(kernel("_u", "_uu", name)))
+        )
+        keys = [*_sized_keys(df), "tile", "ty", "tx", other, target]
+        return hit.groupBy(*keys).agg(*_weighted_means(channels(df)))
+
+    rows = df.withColumn("_jx", virtual_positions("x", "width", reach("width", "out_w"), mode))
+    rows = rows.withColumn("_jy", virtual_positions("y", "height", reach("height", "out_h"), mode))
     rows = rows.select(*_sized_keys(df), "_jy", "_jx", *channels(df))
     placed = place_by_tile(rows, targets("_jy", "height", "out_h"), targets("_jx", "width", "out_w"))
-    across = one_pass(placed, "_jx", "_dx", "width", "out_w", "tx", ["_jy"])
-    down = one_pass(across, "_jy", "_dy", "height", "out_h", "ty", ["_dx"])
-    cells = down.withColumns({"y": F.col("_dy"), "x": F.col("_dx")}).drop("_dy", "_dx", "tile", "ty", "tx")
+    across = one_pass(placed, "_jx", "_dx", "width", "out_w", "tx", "_jy")
+    down = one_pass(across, "_jy", "_dy", "height", "out_h", "ty", "_dx")
+    cells = down.withColumnsRenamed({"_dy": "y", "_dx": "x"}).drop("tile", "ty", "tx")
     return _finish(cells)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from texelframe.operators import samples
-from texelframe.operators.placement import place_by_tile, virtual_positions, within_tile
+from texelframe.operators.placement import Span, place_by_tile, virtual_positions, within_tile
 from texelframe.schema import RGB, plane_keys, with_size
 
 REACH = 4
@@ -23,39 +23,32 @@ def to_normal_map(df: DataFrame, w1: float, w2: float, w3: float, w4: float, wra
 
     Slope along an axis: sum over k = 1..4 of w_k * (h(+k) - h(-k)) / (2k).
     """
-    # One row per tap: offset read from, and its share in the x and y slopes.
+    # One entry per tap: offset read from, and its share in the x and y slopes.
     taps = [(0, 0, 0.0, 0.0)]
     for k, w in enumerate((w1, w2, w3, w4), start=1):
         for sign in (1, -1):
             share = sign * w / (2 * k)
             taps += [(sign * k, 0, share, 0.0), (0, sign * k, 0.0, share)]
-    tap = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(ox).alias("ox"), F.lit(oy).alias("oy"), F.lit(sx).alias("sx"), F.lit(sy).alias("sy"))
-                for ox, oy, sx, sy in taps
-            ]
-        )
-    )
-    reach = F.lit(REACH)
+    entries = ", ".join(f"struct({ox} AS ox, {oy} AS oy, {sx!r}D AS sx, {sy!r}D AS sy)" for ox, oy, sx, sy in taps)
     keys = [*plane_keys(df), "width", "height"]
-    rows = with_size(df).select(*keys, "y", "x", F.col("a").alias("_h"))
-    rows = rows.withColumn("_jx", virtual_positions(F.col("x"), F.col("width"), reach, wrap))
-    rows = rows.withColumn("_jy", virtual_positions(F.col("y"), F.col("height"), reach, wrap)).drop("x", "y")
+    rows = with_size(df)
+    rows = rows.select(*keys, "y", "x", F.col("a").alias("_h"))
+    rows = rows.withColumn("_jx", virtual_positions("x", "width", str(REACH), wrap))
+    rows = rows.withColumn("_jy", virtual_positions("y", "height", str(REACH), wrap)).drop("x", "y")
 
-    def span(j: str, size: str):
-        return F.greatest(F.lit(0), F.col(j) - REACH), F.least(F.col(size) - 1, F.col(j) + REACH)
+    def span(j: str, size: str) -> Span:
+        return f"greatest(0, {j} - {REACH})", f"least({size} - 1, {j} + {REACH})"
 
-    placed = place_by_tile(rows, span("_jy", "height"), span("_jx", "width")).withColumn("_tap", tap)
-    hits = placed.withColumns({"y": F.col("_jy") - F.col("_tap.oy"), "x": F.col("_jx") - F.col("_tap.ox")})
+    placed = place_by_tile(rows, span("_jy", "height"), span("_jx", "width"))
+    hits = placed.withColumn("_tap", F.expr(f"explode(array({entries}))"))
+    hits = hits.withColumns({"y": F.expr("_jy - _tap.oy"), "x": F.expr("_jx - _tap.ox")})
     for axis, size, tile in (("y", "height", "ty"), ("x", "width", "tx")):
-        low, high = within_tile(F.lit(0), F.col(size) - 1, F.col(tile))
-        hits = hits.filter(F.col(axis).between(low, high))
-    own = (F.col("_tap.ox") == 0) & (F.col("_tap.oy") == 0)
+        low, high = within_tile(("0", f"{size} - 1"), tile)
+        hits = hits.filter(f"{axis} BETWEEN {low} AND {high}")
     slopes = hits.groupBy(*keys, "tile", "y", "x").agg(
-        F.sum(F.col("_h") * F.col("_tap.sx")).alias("_sx"),
-        F.sum(F.col("_h") * F.col("_tap.sy")).alias("_sy"),
-        F.max(F.when(own, F.col("_h"))).alias("a"),
+        F.expr("sum(_h * _tap.sx)").alias("_sx"),
+        F.expr("sum(_h * _tap.sy)").alias("_sy"),
+        F.expr("max(CASE WHEN _tap.ox = 0 AND _tap.oy = 0 THEN _h END)").alias("a"),
     )
     length = F.sqrt(F.col("_sx") * F.col("_sx") + F.col("_sy") * F.col("_sy") + 1.0)
     normal = {"r": -F.col("_sx") / length, "g": -F.col("_sy") / length, "b": F.lit(1.0) / length}
