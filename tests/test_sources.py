@@ -132,3 +132,37 @@ def test_sql_functions_leave_no_udf(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "tf_" not in plan and "UDF" not in plan
     assert [r.s for r in df.collect()] == [-1.0, 0.0, 1.0]
+
+
+def test_sql_functions_equal_the_operators(spark, folder):
+    from workload import fixtures as fx
+
+    register_functions(spark)
+    px = fx.px(spark, folder)
+
+    def same(df, **expressions):
+        direct = px.selectExpr("texelframe_id", *[f"{e} AS s_{c}" for c, e in expressions.items()])
+        both = df.join(direct, "texelframe_id")
+        wrong = " OR ".join(f"abs({c} - s_{c}) > 1e-12" for c in expressions)
+        return both.count() > 0 and both.filter(wrong).count() == 0
+
+    px = px.withColumn("texelframe_id", F.struct("texture_id", "y", "x"))
+    rgb = lambda f: {c: f.format(c=c) for c in "rgb"}
+    assert same(samples.tone_map_linear(px), **rgb("tf_tone_map({c}, r, g, b)"))
+    assert same(samples.to_rgbm(px), **rgb("tf_rgbm_encode({c}, r, g, b, 0.15D)"), a="tf_rgbm_alpha(r, g, b, 0.15D)")
+    assert same(samples.from_rgbm(px), **rgb("tf_rgbm_decode({c}, a, 0.15D)"))
+    assert same(samples.normalize_normals(px), r="tf_normalize(r, r, g, b, 0.5D)", b="tf_normalize(b, r, g, b, 1D)")
+    assert same(samples.to_srgb_unclamped(px), **rgb("tf_srgb_encode_unclamped({c})"))
+    assert same(samples.to_linear_from_srgb(px), **rgb("tf_srgb_decode({c})"))
+    assert same(samples.to_gamma(px, 2.2), **rgb("tf_gamma_encode({c}, 2.2D)"))
+    assert same(samples.to_grey(px, 2.0, 4.0, 1.0, 0.0), r="tf_grey(r, g, b, a, 2D, 4D, 1D, 0D)")
+
+
+def test_rebalanced_write_keeps_every_sample(spark, folder, tmp_path):
+    from workload import fixtures as fx
+
+    px = fx.px(spark, folder)
+    path = str(tmp_path / "even")
+    tables.write_pixels(px, path, rebalance=True)
+    assert tables.read_pixels(spark, path).select(*px.columns).exceptAll(px).count() == 0
+    assert tables.read_pixels(spark, path).count() == px.count()

@@ -44,6 +44,28 @@ DEFINITIONS = {
         "c DOUBLE, z DOUBLE",
         "CASE WHEN z = 0 THEN c ELSE (c * 2 - 1) / nullif(z, 0D) * 0.5D + 0.5D END",
     ),
+    "tf_tone_map": (
+        "c DOUBLE, r DOUBLE, g DOUBLE, b DOUBLE",
+        "c / greatest(1D, r, g, b)",
+    ),
+    "tf_rgbm_multiplier": (
+        "r DOUBLE, g DOUBLE, b DOUBLE, threshold DOUBLE",
+        "least(1D, greatest(threshold, r, g, b))",
+    ),
+    "tf_rgbm_encode": (
+        "c DOUBLE, r DOUBLE, g DOUBLE, b DOUBLE, threshold DOUBLE",
+        "tf_clamp(c / tf_rgbm_multiplier(r, g, b, threshold), 0D, 1D)",
+    ),
+    "tf_rgbm_alpha": (
+        "r DOUBLE, g DOUBLE, b DOUBLE, threshold DOUBLE",
+        "(tf_rgbm_multiplier(r, g, b, threshold) - threshold) / (1D - threshold)",
+    ),
+    "tf_rgbm_decode": ("c DOUBLE, a DOUBLE, threshold DOUBLE", "c * (a * (1D - threshold) + threshold)"),
+    "tf_normalize": (
+        "c DOUBLE, r DOUBLE, g DOUBLE, b DOUBLE, up DOUBLE",
+        "coalesce((2 * c - 1) / nullif(sqrt(pow(2 * r - 1, 2) + pow(2 * g - 1, 2) + pow(2 * b - 1, 2)), 0D)"
+        " * 0.5D + 0.5D, up)",
+    ),
     "tf_grey": (
         "r DOUBLE, g DOUBLE, b DOUBLE, a DOUBLE, wr DOUBLE, wg DOUBLE, wb DOUBLE, wa DOUBLE",
         "(r * wr + g * wg + b * wb + a * wa) / (wr + wg + wb + wa)",

@@ -24,7 +24,7 @@ from texelframe.session import cut_lineage
 MAX_BATCH_BYTES = 104_857_600
 MAX_BATCH_FILES = 500
 
-CHUNK_FILES = 50_000
+CHUNK_FILES = 500_000
 
 
 def number_in_order(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:

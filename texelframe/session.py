@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # drop checkpoint files once nothing refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # lets pair() place both sides by row band once for join and aggregate
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
@@ -28,11 +30,11 @@ def build_session(app: str = "texelframe", master: str | None = None, **extra: s
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as named in spark.checkpoint.dir.
+    """The folder all executors see, as named in spark.checkpoint.dir or set on the context.
 
     Only a local master, as in tests, may fall back to a temporary folder.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if spark.sparkContext.master.startswith("local"):

@@ -9,9 +9,17 @@ from texelframe.functions.names import plane_name, replace_extension
 from texelframe.schema import with_default_keys
 
 
-def write_pixels(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Store samples by face and level, so that reading a plane reads only its files."""
-    with_default_keys(df).write.mode(mode).partitionBy("face", "mip").parquet(path)
+def write_pixels(df: DataFrame, path: str, mode: str = "errorifexists", rebalance: bool = False) -> None:
+    """Store samples by face and level, so that reading a plane reads only its files.
+
+    Many tasks holding a little of every plane write many small files; ``rebalance``
+    spends an exchange to gather planes first. AQE splits the large ones, such as
+    the base level with three quarters of all samples, back into even files.
+    """
+    df = with_default_keys(df)
+    if rebalance:
+        df = df.hint("rebalance", "face", "mip")
+    df.write.mode(mode).partitionBy("face", "mip").parquet(path)
 
 
 def read_pixels(spark: SparkSession, path: str) -> DataFrame:

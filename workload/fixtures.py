@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from texelframe.operators.samples import quantize_unorm
+from texelframe.operators.stitch import parse_parts, resolve_part_names
+from texelframe.session import cut_lineage
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -139,18 +141,20 @@ def parts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def file_parts(spark: SparkSession, folder: str) -> DataFrame:
-    """The same files as stitch reads them: places from the names, headers attached."""
-    from texelframe.operators.stitch import parse_parts, resolve_part_names
+    """The same files as stitch reads them: places from the names, headers attached.
 
+    Parsed once and stored, as every check reads the table several times.
+    """
     named = parts(spark, folder).select("file", "width", "format", "alpha_mode")
     placed = resolve_part_names(parse_parts(named))
     one, zero = F.lit(1), F.lit(0)
-    return placed.withColumns(
+    headed = placed.withColumns(
         {
             "n_layers": one, "n_faces": one, "n_mips": one, "height": F.col("width"), "depth": one,
             "color_transform": F.lit("none"), "layer": zero, "face": zero, "mip": zero,
         }
     )
+    return cut_lineage(headed)
 
 
 def whole(spark: SparkSession, folder: str) -> DataFrame:
