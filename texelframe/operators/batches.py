@@ -128,15 +128,15 @@ def assign_batches(
 
     def number(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("_at")
-        own = rows["_at"].to_numpy() < chunk_files
+        own = int((rows["_at"] < chunk_files).sum())
         jump = next_starts(rows["n_bytes"].to_numpy(), max_bytes, max_files)
         begins = np.zeros(len(rows), dtype=np.int64)
         at = int(rows["_entry"].iloc[0])
-        while at < own.sum():
+        while at < own:
             begins[at] = 1
             at = jump[at]
         batch = rows["_first"].iloc[0] - 1 + np.cumsum(begins)
-        return rows[[*by, "_chunk", "_at"]].assign(batch_id=batch)[own]
+        return rows[[*by, "_chunk", "_at"]].assign(batch_id=batch).iloc[:own]
 
     lists = [T.StructField(c, T.ArrayType(long)) for c in ("_leave", "_starts")]
     chunk_key = [*key_fields, T.StructField("_chunk", long)]

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from texelframe.functions import quantize
 from texelframe.functions.sizes import UNLIMITED_MIPS
 from texelframe.operators import metrics, samples, stencil
 from texelframe.plans.pyramid import pyramid, pyramid_normal
+from texelframe.sources.formats import PIXEL_TYPES, format_rows
 
 
 def prepare_rgbm(df: DataFrame, rangescale: bool = True, gamma: bool = True, encode: bool = True) -> DataFrame:
@@ -18,9 +20,36 @@ def prepare_rgbm(df: DataFrame, rangescale: bool = True, gamma: bool = True, enc
     return samples.to_rgbm(df) if encode else df
 
 
+def quantize_for_format(
+    df: DataFrame, format: str, alpha_dithering: bool = False, alpha_bits: int | None = None, luminance: bool = False
+) -> DataFrame:
+    """Round channels to what the target format stores.
+
+    bc1a keeps one bit of alpha; dithered alpha has 4 bits in bc2 and 8 elsewhere
+    unless told otherwise; signed formats use signed fractions; bc6 stores floats
+    and is left alone; luminance keeps red only.
+    """
+    if format not in {row[0] for row in format_rows()}:
+        raise ValueError(f"unknown format {format!r}")
+    if luminance:
+        return samples.luminance(samples.quantize_unorm(df, 8))
+    if format in ("bc6", "bc6s"):
+        return df
+    if PIXEL_TYPES.get(format) == "signed_norm":
+        return samples.quantize_snorm(df, 8)
+    if format == "bc1a":
+        return samples.quantize_unorm(samples.binary_alpha(df), 8)
+    if alpha_dithering:
+        bits = alpha_bits or (4 if format == "bc2" else 8)
+        colour = samples.map_channels(df, lambda c: quantize.unorm(c, 8))
+        return samples.dither_alpha(colour, bits)
+    return samples.quantize_unorm(df, 8)
+
+
 def convert(
     df: DataFrame,
-    filter: str = "box",
+    format: str = "bc7",
+    mip_filter: str = "box",
     gamma: bool = True,
     wrap: str = "clamp",
     rgbm: bool = False,
@@ -30,19 +59,21 @@ def convert(
     renormalize: bool = True,
     max_mips: int = UNLIMITED_MIPS,
     min_size: int = 1,
-    bits: int | None = 8,
+    alpha_dithering: bool = False,
+    alpha_bits: int | None = None,
 ) -> DataFrame:
-    """Every level of every texture, ready for storage at the given precision.
+    """Every level of every texture, rounded to what the format stores.
 
-    The stages of a conversion run in their usual order: HDR preparation, optional
-    normal map from colour, pyramid, quantisation.
+    The stages of a conversion run in their usual order: HDR preparation (for
+    bc3_rgbm without the multiplier, which that format adds itself), normal map
+    from colour, pyramid, quantisation.
     """
-    if rgbm:
-        df = prepare_rgbm(df, rangescale, gamma)
+    if rgbm or format == "bc3_rgbm":
+        df = prepare_rgbm(df, rangescale, gamma, encode=format != "bc3_rgbm")
     if to_normal:
         df = samples.pack_normals(stencil.color_to_normal(df, wrap))
     if normal or to_normal:
-        levels = pyramid_normal(df, filter, wrap, renormalize, max_mips, min_size)
+        levels = pyramid_normal(df, mip_filter, wrap, renormalize, max_mips, min_size)
     else:
-        levels = pyramid(df, filter, gamma, wrap, max_mips, min_size)
-    return levels if bits is None else samples.quantize_unorm(levels, bits)
+        levels = pyramid(df, mip_filter, gamma, wrap, max_mips, min_size)
+    return quantize_for_format(levels, format, alpha_dithering, alpha_bits)

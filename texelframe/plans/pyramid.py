@@ -135,8 +135,7 @@ def _pyramid(
     min_size: int = 1,
 ) -> DataFrame:
     count = mip_count(F.col("width"), F.col("height"), max_mips, min_size).alias("n_mips")
-    if "mip" not in df.columns:
-        df = df.withColumn("mip", F.lit(0))
+    df = df.filter(F.col("mip") == 0) if "mip" in df.columns else df.withColumn("mip", F.lit(0))
     if has_size(df):
         sized, sizes = df, df
     else:
@@ -159,7 +158,7 @@ def pyramid(
 ) -> DataFrame:
     """Colour pyramid: levels are filtered in linear light and stored as sRGB.
 
-    The base level is passed through; its way to linear and back is the identity.
+    Levels other than 0 in the input are ignored (see pyramid_from_source). The base level is passed through; its way to linear and back is the identity.
     """
     to_state = samples.to_linear_from_srgb_unclamped if gamma else None
     from_state = samples.to_srgb_unclamped if gamma else None

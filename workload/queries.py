@@ -789,3 +789,24 @@ def _convert_sql() -> str:
 register(
     "x1_convert_rgbm", on(fx.px, lambda d: sample_columns(convert.convert(d, rgbm=True, rangescale=True))), _convert_sql(),
 )
+
+
+def _quantized_formats(spark: SparkSession, folder: str) -> DataFrame:
+    out = None
+    for name in ("bc1a", "bc2", "bc5s"):
+        one = convert.quantize_for_format(fx.px(spark, folder), name, alpha_dithering=name == "bc2")
+        one = one.withColumn("format", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+register(
+    "x2_quantize_for_format",
+    _quantized_formats,
+    q.query(" UNION ALL ".join(
+        f"SELECT '{name}' AS format, texture_id, y, x, {q.rounded(**values)} FROM px" for name, values in (
+            ("bc1a", {**{c: q.unorm(c, 8) for c in "rgb"}, "a": f"CASE WHEN floor({q.clamp01('a')} * 255 + 0.5e0) > 127 THEN 1e0 ELSE 0e0 END"}),
+            ("bc2", {**{c: q.unorm(c, 8) for c in "rgb"}, "a": f"floor({q.clamp01('a')} * 15 + {DITHER}) / 15"}),
+            ("bc5s", {c: f"floor(least(1e0, greatest(-1e0, {c})) * 127 + 0.5e0) / 127" for c in "rgba"}),
+        )), "px"),
+)
