@@ -6,12 +6,36 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from texelframe.llm import huffman, mixing, packing
-from texelframe.llm.common import stored, table
+from texelframe.llm import huffman, mixing, packing, quality, toxicity
+from texelframe.llm.common import crc_mod, stored, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:
+    """Learnt from the documents whose id's check sum modulo 3 isn't 1."""
+    return quality.fit(docs, labels.filter(crc_mod(F.col("doc_id"), 3) != 1).select("doc_id", F.col("quality").alias("label")))
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
+    """Learnt from the documents whose id's check sum modulo 4 isn't 2."""
+    return toxicity.fit(docs, labels.filter(crc_mod(F.col("doc_id"), 4) != 2).select("doc_id", F.col("toxic").alias("label")))
+
+
+def op1_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every whole text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
+def op8_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity_model(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op4_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, coded into the stored format and read back."""
     docs = table(spark, sf_dir, "documents")
@@ -30,5 +54,5 @@ def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE, end_id=2, window=4096)
 
 
-QUERIES = {f.__name__: f for f in (op4_huffman_ids, op7_pivotal_mix, op9_sum_of_squares_packing)}
+QUERIES = {f.__name__: f for f in (op1_crf_quality, op4_huffman_ids, op7_pivotal_mix, op8_weak_toxicity, op9_sum_of_squares_packing)}
 ORACLES: dict[str, str] = {}
