@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from texelframe.llm import huffman, mixing, ngram_join, packing, quality, toxicity
+from texelframe.llm import huffman, lattice_dedup, mixing, ngram_join, packing, quality, toxicity
 from texelframe.llm.common import crc_mod, stored, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -43,6 +43,11 @@ def op4_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read_blocks(blocks, codes, digest=True)
 
 
+def op5_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all vectors: cosine of 0.9 or more."""
+    return lattice_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of whole texts: five-word shingles, similarity of 0.8 or more."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), percent=80)
@@ -59,5 +64,5 @@ def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE, end_id=2, window=4096)
 
 
-QUERIES = {f.__name__: f for f in (op1_crf_quality, op4_huffman_ids, op6_ngram_jaccard, op7_pivotal_mix, op8_weak_toxicity, op9_sum_of_squares_packing)}
+QUERIES = {f.__name__: f for f in (op1_crf_quality, op4_huffman_ids, op5_lattice_dedup, op6_ngram_jaccard, op7_pivotal_mix, op8_weak_toxicity, op9_sum_of_squares_packing)}
 ORACLES: dict[str, str] = {}
