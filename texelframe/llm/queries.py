@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from texelframe.llm import huffman, lattice_dedup, mixing, ngram_join, packing, quality, toxicity
+from texelframe.llm import huffman, lattice_dedup, mixing, ngram_join, packing, quality, toxicity, vector_tree
 from texelframe.llm.common import crc_mod, stored, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -64,5 +64,10 @@ def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), WORD_BPE, end_id=2, window=4096)
 
 
-QUERIES = {f.__name__: f for f in (op1_crf_quality, op4_huffman_ids, op5_lattice_dedup, op6_ngram_jaccard, op7_pivotal_mix, op8_weak_toxicity, op9_sum_of_squares_packing)}
+def op10_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all vectors, by inner product, of each vector whose id is divisible by 20."""
+    return vector_tree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, n=20)
+
+
+QUERIES = {f.__name__: f for f in (op1_crf_quality, op4_huffman_ids, op5_lattice_dedup, op6_ngram_jaccard, op7_pivotal_mix, op8_weak_toxicity, op9_sum_of_squares_packing, op10_kmeans_tree)}
 ORACLES: dict[str, str] = {}
