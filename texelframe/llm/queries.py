@@ -6,10 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from texelframe.llm import huffman, lattice_dedup, mixing, ngram_join, packing, quality, toxicity, vector_tree
+from texelframe.llm import huffman, lattice_dedup, mixing, ngram_join, packing, quality, token_counts, toxicity, url_filter, vector_tree
 from texelframe.llm.common import crc_mod, stored, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
 
 
 def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:
@@ -36,6 +45,16 @@ def op8_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc_mod(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
 
 
+def op2_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url, by rules or by its aliases."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
+
+
+def op3_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and unigram tokens of every whole text."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), PIECES)
+
+
 def op4_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, coded into the stored format and read back."""
     docs = table(spark, sf_dir, "documents")
@@ -69,5 +88,54 @@ def op10_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_tree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, n=20)
 
 
-QUERIES = {f.__name__: f for f in (op1_crf_quality, op4_huffman_ids, op5_lattice_dedup, op6_ngram_jaccard, op7_pivotal_mix, op8_weak_toxicity, op9_sum_of_squares_packing, op10_kmeans_tree)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_crf_quality,
+        op2_url_aliases,
+        op3_trie_token_counts,
+        op4_huffman_ids,
+        op5_lattice_dedup,
+        op6_ngram_jaccard,
+        op7_pivotal_mix,
+        op8_weak_toxicity,
+        op9_sum_of_squares_packing,
+        op10_kmeans_tree,
+    )
+}
+
+# The others learn, tokenize, hash or round at random; tests hold them against brute force.
+ORACLES = {
+    "op2_url_aliases": r"""
+        WITH RECURSIVE parts AS (
+            SELECT page_id, html,
+                   translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+            FROM pages),
+        rules(said, h, p) AS (
+            VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+        ruled AS (
+            SELECT page_id, host, path, html,
+                   (SELECT max_by(h || p, length(h || p)) FROM rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS rule,
+                   (SELECT max_by(said, length(h || p)) FROM rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS own
+            FROM parts),
+        targets AS (
+            SELECT host || path AS a,
+                   CASE WHEN regexp_matches(tag, '^<link\s.*\brel\s*=\s*["'']?canonical\b', 'is') THEN regexp_extract(tag, '\bhref\s*=\s*["'']?([^"''\s>]+)', 1, 'is')
+                        WHEN regexp_matches(tag, '^<meta\s.*\bhttp-equiv\s*=\s*["'']?refresh\b', 'is') THEN regexp_extract(tag, '\burl\s*=\s*["'']?([^"''\s>]+)', 1, 'is') END AS url
+            FROM (SELECT host, path, unnest(regexp_extract_all(html, '<(?:link|meta)\s[^>]*>', 0, 'is')) AS tag FROM parts)),
+        edges AS (
+            SELECT a, lower(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's')) || regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's') AS b
+            FROM targets WHERE url LIKE '%://%'),
+        both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+        reached(node) AS (
+            SELECT node FROM (SELECT a AS node FROM both_ways)
+            WHERE (SELECT max_by(said, length(h || p)) FROM rules
+                   WHERE (regexp_extract(node, '^[^/]*') = h OR ends_with(regexp_extract(node, '^[^/]*'), '.' || h)) AND starts_with(regexp_extract(node, '/.*$'), p)) = 'block'
+            UNION
+            SELECT b FROM reached JOIN both_ways ON a = node)
+        SELECT page_id, host, path, rule,
+               CASE WHEN own IS NOT NULL THEN own WHEN host || path IN (SELECT node FROM reached) THEN 'block' ELSE 'allow' END AS verdict
+        FROM ruled
+    """,
+}
