@@ -93,14 +93,7 @@ def test_range_scale_of_black_image(spark):
     assert to_array(metrics.range_scale(image(spark, np.zeros((3, 3, 4))))).max() == 0
 
 
-@pytest.mark.parametrize("co_partition", ["true", "false"])
-def test_pair_either_way(spark, co_partition):
-    key = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(key)
-    spark.conf.set(key, co_partition)
-    try:
-        a, b = random_image(20, 7, 1), random_image(20, 7, 2)
-        diff = to_array(pairs.diff_image(pairs.pair(image(spark, a), image(spark, b))))
-    finally:
-        spark.conf.set(key, before)
+def test_pair(spark):
+    a, b = random_image(20, 7, 1), random_image(20, 7, 2)
+    diff = to_array(pairs.diff_image(pairs.pair(image(spark, a), image(spark, b))))
     assert diff == pytest.approx(np.abs(a - b))

@@ -76,6 +76,13 @@ def test_images_arrive_in_rgba_order(spark, tmp_path):
     }
 
 
+def test_undecodable_images_are_named(spark, tmp_path):
+    write_png(tmp_path / "fine.png", [[(1, 2, 3)]], alpha=False)
+    (tmp_path / "broken.png").write_bytes(b"not an image")
+    rows = images.image_errors(spark, str(tmp_path)).collect()
+    assert [(r.path.rsplit("/")[-1], r.code) for r in rows] == [("broken.png", "decode")]
+
+
 def test_raw_bgra_buffer(spark):
     df = spark.createDataFrame([(1, bytearray.fromhex("1E140A28463C3250"))], "texture_id long, content binary")
     rows = images.explode_raw(df, 2, 1).orderBy("x").collect()

@@ -18,7 +18,8 @@ def bit_length(n: Column) -> Column:
 def mip_size(size: Column, mip: Column | int) -> Column:
     """Size of a level: halved ``mip`` times, never below 1."""
     level = mip if isinstance(mip, Column) else F.lit(mip)
-    return F.greatest(F.lit(1), F.call_function("shiftright", size, level))
+    # a shift by the width of the number or more would start over
+    return F.greatest(F.lit(1), F.call_function("shiftright", size, F.least(level, F.lit(31)).cast("int")))
 
 
 def mip_count(width: Column, height: Column, max_mips: int = UNLIMITED_MIPS, min_size: int = 1) -> Column:

@@ -45,12 +45,19 @@ def number_in_order(df: DataFrame, by: list[str], order: list[str]) -> DataFrame
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .drop("_n")
     )
-    numbered = placed.join(offsets, [*by, "_part"])
+    numbered = join_null_safe(placed, offsets, [*by, "_part"])
     return numbered.withColumn("_pos", F.col("_id") - F.col("_first") + F.col("_before")).drop(
         "_part", "_id", "_first", "_before"
     )
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join in which null keys are equal; keys come once, from the left."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(renamed, same).drop(*[f"_right_{k}" for k in keys])
+
+
 def next_starts(sizes: np.ndarray, max_bytes: int, max_files: int) -> np.ndarray:
     """For a batch starting at each place, the place where the next one starts."""
     n = len(sizes)
@@ -88,9 +95,12 @@ def assign_batches(
 ) -> DataFrame:
     """Add ``batch_id``, counted from 0 within each folder, in the given order.
 
-    ``order`` must be a total order inside a folder.
+    ``order`` must be a total order inside a folder. A null folder is one like others; a file
+    of unknown size counts as empty. A task holds ``chunk_files`` files and the entry places of
+    a chunk, so ``max_files`` may not be above that.
     """
-    chunk_files = max(chunk_files, max_files)
+    if max_files > chunk_files:
+        raise ValueError("max_files above chunk_files: a task would have to hold more files than chunk_files")
     by = list(by)
     numbered = number_in_order(files, by, list(order)).withColumns(
         {"_chunk": F.floor(F.col("_pos") / chunk_files), "_at": F.col("_pos") % chunk_files}
@@ -103,7 +113,7 @@ def assign_batches(
             F.struct(F.col("_chunk"), F.col("_at")),
             F.when(margin, F.struct((F.col("_chunk") - 1).alias("_chunk"), (F.col("_at") + chunk_files).alias("_at"))),
         ))).alias("p"),
-        F.col("n_bytes").cast("bigint").alias("n_bytes"),
+        F.coalesce(F.col("n_bytes").cast("bigint"), F.lit(0)).alias("n_bytes"),
     ).select(*by, "p.*", "n_bytes")
     key_fields = [files.schema[c] for c in by]
     long = T.LongType()
@@ -146,8 +156,8 @@ def assign_batches(
         chain, T.StructType(chunk_key + [T.StructField("_entry", long), T.StructField("_first", long)])
     )
     placed = T.StructType(chunk_key + [T.StructField("_at", long), T.StructField("batch_id", long)])
-    batches = sizes.join(walk, [*by, "_chunk"]).groupBy(*by, "_chunk").applyInPandas(number, placed)
-    return numbered.join(batches, [*by, "_chunk", "_at"]).drop("_chunk", "_at", "_pos")
+    batches = join_null_safe(sizes, walk, [*by, "_chunk"]).groupBy(*by, "_chunk").applyInPandas(number, placed)
+    return join_null_safe(numbered, batches, [*by, "_chunk", "_at"]).drop("_chunk", "_at", "_pos")
 
 
 def batch_report(batched: DataFrame, by: tuple[str, ...] = ("dir",)) -> DataFrame:

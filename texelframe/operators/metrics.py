@@ -131,9 +131,9 @@ def diff_channel_weighted(pairs: DataFrame, weights: tuple[float, float, float,
     return pairs.groupBy(*image_keys(pairs)).agg(_root_mean(square).alias("rmse_weighted"))
 
 
-def diff_report(pairs: DataFrame, weighted: bool = False, normals: bool = False, by: list[str] | None = None) -> DataFrame:
-    """All difference metrics of each pair in one aggregate."""
-    metrics = [rmse_rgb(weighted).alias("rmse"), rmse_alpha().alias("rmse_alpha"), *_tone_columns()]
+def diff_report(pairs: DataFrame, weighted: bool = False, normals: bool = False, by: list[str] | None = None, extra: list[Column] | None = None) -> DataFrame:
+    """All difference metrics of each pair, and any extra aggregates, in one aggregate."""
+    metrics = [rmse_rgb(weighted).alias("rmse"), rmse_alpha().alias("rmse_alpha"), *_tone_columns(), *(extra or [])]
     if normals:
         metrics.append(angular_error().alias("angular_error"))
     grouped = pairs.groupBy(*(by or image_keys(pairs))).agg(*metrics)
@@ -145,7 +145,8 @@ def histogram(
 ) -> DataFrame:
     """Histogram per image and rgb channel, box-reduced; empty bins included.
 
-    Samples are counted map-side per reduced bin first. Only those counts, at most
+    A bin's value is the mean of the bins it stands for; the last one may stand for
+    fewer. Samples are counted map-side per reduced bin first. Only those counts, at most
     bins / reduce per channel, are gathered to fill in the empty bins.
     """
     def value(c: str) -> Column:
@@ -161,12 +162,12 @@ def histogram(
         df.select(*keys, F.explode(entries).alias("e"))
         .select(*keys, "e.*")
         .groupBy(*keys, "channel", "bin")
-        .agg((F.count(F.lit(1)) / reduce).alias("value"))
+        .agg((F.count(F.lit(1)) / F.least(F.lit(reduce), F.lit(bins) - F.col("bin") * reduce)).alias("value"))
     )
     filled = counts.groupBy(*keys, "channel").agg(
         F.map_from_entries(F.collect_list(F.struct("bin", "value"))).alias("_counts")
     )
-    all_bins = F.explode(F.sequence(F.lit(0), F.lit(bins // reduce - 1)))
+    all_bins = F.explode(F.sequence(F.lit(0), F.lit(-(-bins // reduce) - 1)))
     return (
         filled.withColumn("bin", all_bins)
         .withColumn("value", F.coalesce(F.col("_counts")[F.col("bin")], F.lit(0.0)))

@@ -9,45 +9,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from texelframe.schema import BAND_ROWS, CHANNELS, image_keys, int_div, sample_keys
+from texelframe.schema import CHANNELS, sample_keys
 
 
 def second(channel: str) -> str:
     return channel + "2"
 
 
-def _by_band(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.repartition(*keys, "_band")
+def pair(reference: DataFrame, other: DataFrame, how: str = "inner") -> DataFrame:
+    """Join two images sample by sample.
 
-
-def pair(reference: DataFrame, other: DataFrame) -> DataFrame:
-    """Join two images sample by sample; samples without a partner drop out.
-
-    Where the session lets a join use data placed by fewer keys, both sides are
-    placed by image and row band. One exchange per side then serves the join, and
-    a later per-image aggregate meets whole bands, so its map side shrinks them to
-    one row per image. Bands keep a huge image spread over many tasks.
+    By default samples without a partner drop out; ``how`` may keep those of either
+    side (see compare_images). All sample keys are join keys, so an image of any
+    shape spreads over as many tasks as it has samples, and the planner may
+    broadcast a small side or split a skewed one.
     """
     keys = sample_keys(reference)
-    renamed = other.select(*keys, *[F.col(c).alias(second(c)) for c in CHANNELS if c in other.columns])
-    spark = reference.sparkSession
-    if spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition", "true") == "true":
-        return reference.join(renamed, keys)
-    band = int_div(F.col("y"), BAND_ROWS)
-    images = image_keys(reference)
-    left, right = (_by_band(side.withColumn("_band", band), images) for side in (reference, renamed))
-    return left.join(right, [*keys, "_band"]).drop("_band")
+    renamed = other.select(*keys, *[F.col(c).alias(second(c)) for c in other.columns if c in CHANNELS or c.startswith("_")])
+    return reference.join(renamed, keys, how)
 
 
 def copy_channel_from(df: DataFrame, other: DataFrame, source: str, target: str) -> DataFrame:
-    """Replace a channel by one of another image of the same size."""
-    paired = pair(df, other.select(*sample_keys(df), source))
-    return paired.withColumn(target, F.col(second(source))).drop(second(source))
+    """Replace a channel by one of another image; where that has no sample, the channel stays."""
+    paired = pair(df, other.select(*sample_keys(df), source), "left")
+    return paired.withColumn(target, F.coalesce(second(source), target)).drop(second(source))
 
 
 def add_channel(df: DataFrame, other: DataFrame, source: str, target: str, scale: float = 1.0) -> DataFrame:
-    paired = pair(df, other.select(*sample_keys(df), source))
-    added = F.col(target) + F.col(second(source)) * scale
+    """Add a channel of another image; where that has no sample, nothing is added."""
+    paired = pair(df, other.select(*sample_keys(df), source), "left")
+    added = F.coalesce(F.col(target) + F.col(second(source)) * scale, F.col(target))
     return paired.withColumn(target, added).drop(second(source))
 
 

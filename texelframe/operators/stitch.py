@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from texelframe.functions.sizes import mip_size
-from texelframe.schema import int_div
 from texelframe.session import cut_lineage
 
 FILE_KEYS = ("layer_file", "face_file", "mip_file")
@@ -28,8 +27,40 @@ def parse_parts(files: DataFrame, layers: bool = True, faces: bool = True, mips:
     """Read base name and file indices from names like ``wall_L0_F2_M1.dds``.
 
     The mip may be named ``_M1`` or ``_1``; ``priority`` 1 marks the preferred
-    form. Files that do not follow the naming drop out.
+    form. Files that do not follow the naming drop out, and so do those with an index
+    beyond 32 bits (see part_name_errors).
     """
+    axes = _axes(layers, faces, mips)
+    parsed = _parsed(files, layers, faces, mips)
+    return parsed.filter(axes["layer_file"].isNotNull() & axes["face_file"].isNotNull() & axes["mip_file"].isNotNull()).withColumns(
+        {
+            "base": F.col("_groups")[0],
+            **axes,
+            "priority": F.when(F.col("_groups")[3] == "M", 1).otherwise(2) if mips else F.lit(1),
+        }
+    ).drop("_groups")
+
+
+def part_name_errors(files: DataFrame, layers: bool = True, faces: bool = True, mips: bool = True) -> DataFrame:
+    """Files named like parts, with an index that is too large, one row each."""
+    parsed = _parsed(files, layers, faces, mips)
+    wrong = [F.when(index.isNull(), F.lit(axis)) for axis, index in _axes(layers, faces, mips).items()]
+    return parsed.withColumn("axis", F.coalesce(*wrong)).filter(F.col("axis").isNotNull()).select("file", "axis", F.lit("index").alias("code"))
+
+
+def _axes(layers: bool, faces: bool, mips: bool) -> dict[str, Column]:
+    """Index of each axis that is named, 0 of one that isn't, null of one beyond 32 bits."""
+
+    def index(named: bool, i: int) -> Column:
+        if not named:
+            return F.lit(0).cast("bigint")
+        value = F.col("_groups")[i].try_cast("bigint")
+        return F.when(value <= MAX_INDEX, value)
+
+    return {"layer_file": index(layers, 1), "face_file": index(faces, 2), "mip_file": index(mips, 4)}
+
+
+def _parsed(files: DataFrame, layers: bool, faces: bool, mips: bool) -> DataFrame:
     pattern = "^(.*)"
     pattern += r"_L(0|[1-9]\d*)" if layers else "()"
     pattern += r"_F(0|[1-9]\d*)" if faces else "()"
@@ -37,20 +68,7 @@ def parse_parts(files: DataFrame, layers: bool = True, faces: bool = True, mips:
     pattern += r"\.dds$"
     # one match per name: its groups, joined by a character no name holds
     groups = F.split(F.regexp_replace("file", pattern, "$1\0$2\0$3\0$4\0$5"), "\0")
-    parsed = files.withColumn("_groups", groups).filter(F.size("_groups") == 5)
-
-    def index(i: int) -> Column:
-        return F.coalesce(F.nullif(F.col("_groups")[i], F.lit("")).cast("int"), F.lit(0))
-
-    return parsed.withColumns(
-        {
-            "base": F.col("_groups")[0],
-            "layer_file": index(1),
-            "face_file": index(2),
-            "mip_file": index(4),
-            "priority": F.when(F.col("_groups")[3] == "M", 1).otherwise(2) if mips else F.lit(1),
-        }
-    ).drop("_groups")
+    return files.withColumn("_groups", groups).filter(F.size("_groups") == 5)
 
 
 def resolve_part_names(parsed: DataFrame) -> DataFrame:
@@ -110,9 +128,9 @@ def _with_first(parts: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     Joined by base and layer band, as one base may hold a large share of all parts.
     """
     firsts = _first_files(parts) if firsts is None else firsts
-    last_band = int_div(F.col("layer_files") - 1, LAYER_BAND)
-    firsts = firsts.withColumn("_band", F.explode(F.sequence(F.lit(0), last_band)))
-    joined = parts.withColumn("_band", int_div(F.col("layer_file"), LAYER_BAND)).join(firsts, ["base", "_band"])
+    last_band = F.floor((F.col("layer_files") - 1) / LAYER_BAND)
+    firsts = firsts.withColumn("_band", F.explode(F.sequence(F.lit(0).cast("bigint"), last_band)))
+    joined = parts.withColumn("_band", F.floor(F.col("layer_file") / LAYER_BAND)).join(firsts, ["base", "_band"])
     for axis in FILE_KEYS:
         joined = joined.filter(F.col(axis) < F.col(axis + "s"))
     return joined.drop("_band")
@@ -141,9 +159,9 @@ def stitch_missing(parts: DataFrame, firsts: DataFrame | None = None) -> DataFra
     )
     grid = cells.select(
         "base",
-        F.floor(F.col("_cell") / (F.col("face_files") * F.col("mip_files"))).cast("int").alias("layer_file"),
-        F.floor(F.col("_cell") / F.col("mip_files") % F.col("face_files")).cast("int").alias("face_file"),
-        (F.col("_cell") % F.col("mip_files")).cast("int").alias("mip_file"),
+        F.floor(F.col("_cell") / (F.col("face_files") * F.col("mip_files"))).alias("layer_file"),
+        F.floor(F.col("_cell") / F.col("mip_files") % F.col("face_files")).alias("face_file"),
+        (F.col("_cell") % F.col("mip_files")).alias("mip_file"),
     )
     return grid.join(placed.select("base", *FILE_KEYS), ["base", *FILE_KEYS], "left_anti")
 
@@ -156,7 +174,7 @@ def stitch_errors(parts: DataFrame, firsts: DataFrame | None = None) -> DataFram
     user version may differ.
     """
     files = _with_first(parts, firsts).filter((F.col("layer") == 0) & (F.col("face") == 0) & (F.col("mip") == 0))
-    first_mip = F.col("first_n_mips") * F.col("mip_file")
+    first_mip = F.col("first_n_mips").cast("bigint") * F.col("mip_file")
 
     def differs(*pairs) -> Column:
         wrong = F.lit(False)
@@ -211,7 +229,7 @@ def stitch(parts: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """Subresources of the joined textures, under their global indices."""
     joined = _with_first(parts, firsts)
     placed = {
-        axis: (F.col(f"first_n_{axis}s") * F.col(f"{axis}_file") + F.col(axis)).cast("bigint")
+        axis: F.col(f"first_n_{axis}s").cast("bigint") * F.col(f"{axis}_file") + F.col(axis)
         for axis in ("layer", "face", "mip")
     }
     drop = [f"first_{h}" for h in HEADER] + ["layer_files", "face_files", "mip_files"]

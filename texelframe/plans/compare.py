@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from texelframe.functions import color
 from texelframe.functions.names import name_tags
+from texelframe.functions import color
 from texelframe.operators.metrics import diff_report, range_scale_pairs
 from texelframe.operators.pairs import pair, second
-from texelframe.schema import RGB
+from texelframe.schema import RGB, image_keys
 
 
 def apply_name_transforms(pairs: DataFrame, path: Column, basename_only: bool = False) -> DataFrame:
@@ -43,8 +43,32 @@ def apply_name_transforms(pairs: DataFrame, path: Column, basename_only: bool =
 def compare_images(
     reference: DataFrame, other: DataFrame, weighted: bool = False, normals: bool = False, rangescale: bool = False
 ) -> DataFrame:
-    """Difference report of two sample tables, one row per image."""
-    return compare_pairs(pair(reference, other), None, weighted, normals, rangescale)
+    """Difference report of two sample tables, one row per image of either.
+
+    ``code`` is null for images that cover each other. Otherwise it says why they
+    can't be compared, and all metrics are null: ``missing_reference``,
+    ``missing_other``, ``size`` (largest coordinates differ) or ``samples`` (of the
+    same extent, but some have no partner).
+    """
+    keys = image_keys(reference)
+    both = pair(reference.withColumn("_in", F.lit(1)), other.withColumn("_in", F.lit(1)), "full")
+    ours, theirs = F.col("_in").isNotNull(), F.col(second("_in")).isNotNull()
+    axes = [k for k in ("z", "y", "x") if k in reference.columns]
+    extent = lambda side: F.struct(*[F.max(F.when(side, F.col(k))).alias(k) for k in axes])
+    code = (
+        F.when(F.count(F.when(ours, 1)) == 0, "missing_reference")
+        .when(F.count(F.when(theirs, 1)) == 0, "missing_other")
+        .when(extent(ours) != extent(theirs), "size")
+        .when(F.count(F.when(ours & theirs, 1)) < F.count(F.lit(1)), "samples")
+    )
+    if rangescale:
+        codes = both.groupBy(*keys).agg(code.alias("code"))
+        report = compare_pairs(both.filter(ours & theirs).drop("_in", second("_in")), None, weighted, normals, True)
+        report = codes.join(report, keys, "left")
+    else:
+        report = diff_report(both, weighted, normals, extra=[code.alias("code")])
+    values = [c for c in report.columns if c not in (*keys, "code")]
+    return report.select(*keys, *[F.when(F.col("code").isNull(), F.col(c)).alias(c) for c in values], "code")
 
 
 def compare_pairs(

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from texelframe.functions import quantize
 from texelframe.functions.sizes import UNLIMITED_MIPS
 from texelframe.operators import metrics, samples, stencil
-from texelframe.plans.pyramid import pyramid, pyramid_normal
+from texelframe.plans.pyramid import pyramid, pyramid_from_source, pyramid_normal
 from texelframe.sources.formats import PIXEL_TYPES, format_rows
 
 
@@ -61,19 +61,26 @@ def convert(
     min_size: int = 1,
     alpha_dithering: bool = False,
     alpha_bits: int | None = None,
+    reuse_levels: bool = False,
 ) -> DataFrame:
     """Every level of every texture, rounded to what the format stores.
 
     The stages of a conversion run in their usual order: HDR preparation (for
     bc3_rgbm without the multiplier, which that format adds itself), normal map
-    from colour, pyramid, quantisation.
+    from colour, pyramid, quantisation. ``reuse_levels`` keeps stored levels up to the first
+    gap of a face instead of making them anew from level 0; it does not go with
+    ``to_normal``, which makes another image. The format lumi keeps red only.
     """
+    if reuse_levels and to_normal:
+        raise ValueError("levels of the source are no levels of a normal map made from it")
     if rgbm or format == "bc3_rgbm":
         df = prepare_rgbm(df, rangescale, gamma, encode=format != "bc3_rgbm")
     if to_normal:
         df = samples.pack_normals(stencil.color_to_normal(df, wrap))
-    if normal or to_normal:
+    if reuse_levels:
+        levels = pyramid_from_source(df, mip_filter, gamma, wrap, max_mips, min_size, normal, renormalize)
+    elif normal or to_normal:
         levels = pyramid_normal(df, mip_filter, wrap, renormalize, max_mips, min_size)
     else:
         levels = pyramid(df, mip_filter, gamma, wrap, max_mips, min_size)
-    return quantize_for_format(levels, format, alpha_dithering, alpha_bits)
+    return quantize_for_format(levels, format, alpha_dithering, alpha_bits, luminance=format == "lumi")

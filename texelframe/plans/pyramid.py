@@ -44,7 +44,8 @@ def _nested_levels(base: DataFrame, name: str, deepest: int) -> DataFrame:
 
     Level 1 is an ordinary aggregate with map-side combine. Its quarter of the
     samples is placed by tile, and the levels a tile holds need no further
-    exchange. Only one sample per tile goes on to deeper levels.
+    exchange. Only one sample per tile goes on to deeper levels. Means are those of the
+    chained way, also where samples are missing.
     """
     combine = NESTING[name]
     names = channels(base)
@@ -60,23 +61,20 @@ def _nested_levels(base: DataFrame, name: str, deepest: int) -> DataFrame:
         fold(halved).withColumns({"ty": int_div(F.col("y"), TILE), "tx": int_div(F.col("x"), TILE)})
     )
 
-    def at_levels(rows: DataFrame, first: int, start: int, stop) -> DataFrame:
-        """Copy rows of relative level ``first`` to levels start..stop, coordinates shifted."""
-        level = F.explode(F.sequence(F.lit(start), F.least(F.lit(stop), F.col("n_mips") - 1 - F.col("mip"))))
-        copied = rows.withColumn("_level", level)
-        shift = F.col("_level") - first
-        return copied.withColumns({c: F.call_function("shiftright", F.col(c), shift) for c in ("y", "x")})
-
-    levels = fold(at_levels(placed, 1, 1, TILE_LEVELS), "tile", "_level").drop("tile")
+    # Each level from the one above it: where samples are missing, the mean of a level is
+    # not that of level 1. All stay in their tile, so none needs an exchange.
+    level = placed.withColumn("_level", F.lit(1))
+    levels = level.select(*keys, "_level", "y", "x", *names)
+    for step in range(2, min(TILE_LEVELS, deepest) + 1):
+        halves = {c: int_div(F.col(c), 2) for c in ("y", "x")} | {"_level": F.lit(step)}
+        level = fold(level.filter(F.col("n_mips") - 1 - F.col("mip") >= step).withColumns(halves), "tile", "_level")
+        levels = levels.unionByName(level.select(*keys, "_level", "y", "x", *names))
     if deepest > TILE_LEVELS:
-        tops = fold(
-            placed.withColumns({"y": F.col("ty"), "x": F.col("tx")}).filter(
-                F.col("n_mips") - 1 - F.col("mip") > TILE_LEVELS
-            ),
-            "tile",
-        ).drop("tile")
-        deep = fold(at_levels(tops, TILE_LEVELS, TILE_LEVELS + 1, UNLIMITED_MIPS), "_level")
-        levels = levels.unionByName(deep)
+        # one sample of each tile is left: a few rows, level by level
+        for step in range(TILE_LEVELS + 1, deepest + 1):
+            halves = {c: int_div(F.col(c), 2) for c in ("y", "x")} | {"_level": F.lit(step)}
+            level = fold(level.filter(F.col("n_mips") - 1 - F.col("mip") >= step).withColumns(halves), "_level")
+            levels = levels.unionByName(level.select(*keys, "_level", "y", "x", *names))
     return levels.withColumns(
         {
             "mip": F.col("mip") + F.col("_level"),
@@ -194,16 +192,25 @@ def pyramid_slope(df: DataFrame, max_mips: int = UNLIMITED_MIPS, min_size: int =
     return _pyramid(samples.to_slope_space(df), "kaiser", "clamp", None, None, None, max_mips, min_size)
 
 
+def faces_without_base(df: DataFrame) -> DataFrame:
+    """Faces that have levels, but not level 0: no pyramid can be made of them."""
+    faces = [k for k in image_keys(df) if k != "mip"]
+    return df.groupBy(*faces).agg(F.min("mip").alias("first_mip")).filter("first_mip > 0").withColumn("code", F.lit("no_base"))
+
+
 def pyramid_from_source(
     df: DataFrame, name: str = "box", gamma: bool = True, wrap: str = "clamp",
-    max_mips: int = UNLIMITED_MIPS, min_size: int = 1,
+    max_mips: int = UNLIMITED_MIPS, min_size: int = 1, normal: bool = False, renormalize: bool = True,
 ) -> DataFrame:
     """Complete partly stored pyramids.
 
     Stored levels are kept up to the first one a face lacks; from there on every
     level is generated, whatever else is stored. Rows carry the width and height
-    of their own level.
+    of their own level. Normal maps are filtered as they are, and each generated level is
+    renormalised. Faces without level 0 have no rows (see faces_without_base).
     """
+    gamma = gamma and not normal
+    each = samples.normalize_normals if normal and renormalize else None
     faces = [k for k in image_keys(df) if k != "mip"]
     at_base = F.col("mip") == 0
     mips = F.collect_set("mip")
@@ -229,7 +236,7 @@ def pyramid_from_source(
     kept = stored.filter((F.col("mip") < F.col("_gap")) & (F.col("mip") < F.col("n_mips"))).select(*columns)
     last = stored.filter(F.col("mip") == last_mip).select(*columns)
     start = samples.to_linear_from_srgb_unclamped(last) if gamma else last
-    levels = levels_below(start, sizes, name, wrap)
+    levels = levels_below(start, sizes, name, wrap, each)
     if levels is None:
         return kept.drop("n_mips")
     if gamma:

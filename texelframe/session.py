@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are tuned for. Partition counts are left to the
@@ -15,8 +13,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # drop checkpoint files once nothing refers to them
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    # lets pair() place both sides by row band once for join and aggregate
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
@@ -32,15 +28,11 @@ def build_session(app: str = "texelframe", master: str | None = None, **extra: s
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as named in spark.checkpoint.dir or set on the context.
 
-    Only a local master, as in tests, may fall back to a temporary folder.
+    There is no default: a folder of one machine would be of no use to the others.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="texelframe-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
     raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
 
 

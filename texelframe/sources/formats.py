@@ -43,8 +43,16 @@ def format_dim(spark: SparkSession) -> DataFrame:
 
 
 def with_format(textures: DataFrame) -> DataFrame:
-    """Attach the format's properties; the dimension is a fixed short list."""
-    return textures.join(F.broadcast(format_dim(textures.sparkSession)), "format")
+    """Attach the format's properties; the dimension is a fixed short list.
+
+    Textures of a format that isn't in it stay, with nulls (see unknown_formats).
+    """
+    return textures.join(F.broadcast(format_dim(textures.sparkSession)), "format", "left")
+
+
+def unknown_formats(textures: DataFrame) -> DataFrame:
+    """Textures whose format is null or none that is known."""
+    return textures.join(F.broadcast(format_dim(textures.sparkSession).select("format")), "format", "left_anti").select(*textures.columns)
 
 
 def mip_plan(textures: DataFrame, max_mips: int = UNLIMITED_MIPS, min_size: int = 1) -> DataFrame:
@@ -57,10 +65,16 @@ def mip_plan(textures: DataFrame, max_mips: int = UNLIMITED_MIPS, min_size: int
 
 
 def size_estimate(textures: DataFrame, max_mips: int = UNLIMITED_MIPS, min_size: int = 1) -> DataFrame:
-    """Compressed bytes of each texture over all its levels."""
+    """Compressed bytes of each texture over all its levels, layers and faces; null for an unknown format.
+
+    Without n_layers or n_faces there is one of them.
+    """
     levels = mip_plan(with_format(textures), max_mips, min_size)
     blocks = block_count(F.col("mip_width"), F.col("mip_height"), F.col("block_w"), F.col("block_h"))
     bytes_of_level = blocks * F.col("depth") * F.col("block_bytes")
+    for count in ("n_layers", "n_faces"):
+        if count in textures.columns:
+            bytes_of_level = bytes_of_level * F.col(count)
     return levels.groupBy("texture_id", "format").agg(
         F.sum(bytes_of_level).cast("bigint").alias("total_bytes"), F.count(F.lit(1)).alias("n_mips")
     )

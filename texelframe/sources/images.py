@@ -42,7 +42,8 @@ def explode_raw(
     stride = F.col("width") * F.col("_n")
     lines = lines.withColumn("_line", F.substring(F.col(content), F.col("y") * stride + 1, stride)).drop(content)
     if spread:
-        lines = lines.repartition(*[c for c in kept if c == "texture_id"], "y")
+        names = [c for c in kept if c in ("texture_id", "path")]
+        lines = lines.repartition(*names[:1], "y") if names else lines.repartition("_line", "y")
     dots = lines.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("width") - 1)))
 
     def byte(k: int) -> Column:
@@ -76,8 +77,16 @@ def image_samples(images: DataFrame) -> DataFrame:
 def scan_images(spark: SparkSession, folder: str) -> DataFrame:
     """Samples of all images in a folder, with the path of their file.
 
-    texture_id is derived from the path and stable across runs.
+    texture_id is derived from the path and stable across runs. Files that could not
+    be decoded have no samples; image_errors names them.
     """
     images = spark.read.format("image").option("dropInvalid", True).load(folder)
     images = images.withColumn("path", F.col("image.origin"))
     return image_samples(images.withColumn("texture_id", F.xxhash64("path")))
+
+
+def image_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of a folder that could not be decoded, as (path, code)."""
+    images = spark.read.format("image").option("dropInvalid", False).load(folder)
+    bad = F.col("image.data").isNull() | (F.length("image.data") == 0) | (F.col("image.nChannels") <= 0)
+    return images.filter(bad).select(F.col("image.origin").alias("path"), F.lit("decode").alias("code"))

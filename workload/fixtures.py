@@ -119,7 +119,7 @@ def contents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def parts(spark: SparkSession, folder: str) -> DataFrame:
-    """Single-part files of 2 layers x 4 faces x 3 mips, with gaps and wrong headers."""
+    """Single-part files of 2 layers x 4 faces x 3 mips, some with wrong headers."""
     k = F.col("o_orderkey")
     base = table(spark, folder, "orders").select(
         k.alias("k"),
@@ -127,12 +127,12 @@ def parts(spark: SparkSession, folder: str) -> DataFrame:
         _floor(k % 24 / 12, "int").alias("layer"),
         _floor(k % 12 / 3, "int").alias("face"),
         (k % 3).cast("int").alias("mip"),
-    ).filter(F.col("k") % 83 != 11)
+    )
     full = F.call_function("shiftright", F.lit(64), F.col("mip"))
     width = F.when(F.col("k") % 89 == 5, 48).otherwise(full)
     mark = F.when(F.col("k") % 2 == 0, "_M").otherwise("_")
     return base.select(
-        "texture_id", "layer", "face", "mip",
+        "k", "texture_id", "layer", "face", "mip",
         width.alias("width"),
         F.when(F.col("k") % 97 == 7, "bc1").otherwise("bc7").alias("format"),
         F.when(F.col("k") % 101 == 9, "premultiplied").otherwise("straight").alias("alpha_mode"),
@@ -140,12 +140,17 @@ def parts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def parts_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """The same files, some of them missing: what stitching has to notice."""
+    return parts(spark, folder).filter(F.col("k") % 83 != 11)
+
+
 def file_parts(spark: SparkSession, folder: str) -> DataFrame:
-    """The same files as stitch reads them: places from the names, headers attached.
+    """The files with gaps as stitch reads them: places from the names, headers attached.
 
     Parsed once and stored, as every check reads the table several times.
     """
-    named = parts(spark, folder).select("file", "width", "format", "alpha_mode")
+    named = parts_gaps(spark, folder).select("file", "width", "format", "alpha_mode")
     placed = resolve_part_names(parse_parts(named))
     one, zero = F.lit(1), F.lit(0)
     headed = placed.withColumns(

@@ -478,11 +478,32 @@ register(
 )
 register("a8_diff_angular", on(fx.px_pair, metrics.diff_angular), q.query(f"SELECT texture_id, {q.r6(ANGLE)} AS angular_error FROM px_pair GROUP BY 1", "px_pair"))
 register(
-    "a9_diff_report", lambda s, d: compare.compare_images(fx.px(s, d), fx.px_low(s, d), normals=True),
+    "a9_diff_report", lambda s, d: compare.compare_images(fx.px(s, d), fx.px_low(s, d), normals=True).drop("code"),
     q.query(report_sql("px_pair", normals=True), "px_pair"),
 )
 
 
+def _partly_absent(spark: SparkSession, folder: str) -> DataFrame:
+    """The coarse images, of which some are absent, cropped, or lack a sample."""
+    fifth = F.col("texture_id") % 5
+    corner = (F.col("x") == 0) & (F.col("y") == 0)
+    return fx.px_low(spark, folder).filter((fifth != 1) & ((fifth != 2) | ~corner) & ((fifth != 3) | (F.col("y") < 2)))
+
+
+KEPT = ("kept", """
+    SELECT *, CASE texture_id % 5 WHEN 1 THEN false WHEN 2 THEN NOT (x = 0 AND y = 0) WHEN 3 THEN y < 2 ELSE true END AS keep FROM px_pair""")
+CODES = ("codes", """
+    SELECT texture_id, CASE WHEN count(*) FILTER (keep) = 0 THEN 'missing_other'
+        WHEN max(y) FILTER (keep) <> max(y) OR max(x) FILTER (keep) <> max(x) THEN 'size'
+        WHEN count(*) FILTER (keep) < count(*) THEN 'samples' END AS code FROM kept GROUP BY 1""")
+REPORT_VALUES = ("rmse", "mse", "psnr", "identical", "rmse_alpha", "tone_0", "tone_1", "tone_2", "tone_mean")
+register(
+    "a9_compare_sizes", lambda s, d: compare.compare_images(fx.px(s, d), _partly_absent(s, d)),
+    q.query("SELECT texture_id, code, " + ", ".join(f"CASE WHEN code IS NULL THEN {c} END AS {c}" for c in REPORT_VALUES)
+            + " FROM report JOIN codes USING (texture_id)", "px_pair", ctes=[KEPT, CODES, ("report", report_sql("px_pair"))]),
+)
+
+
 def _named_pairs(spark: SparkSession, folder: str) -> DataFrame:
     named = fx.files(spark, folder).select(F.col("doc_id").alias("texture_id"), "name")
     return compare.compare_pairs(fx.px_pair(spark, folder).join(named, "texture_id"), F.col("name"))
@@ -511,6 +532,15 @@ register(
         LEFT JOIN (SELECT texture_id, channel, bin, count(*) AS n FROM s GROUP BY ALL) USING (texture_id, channel, bin)""",
         "px", ctes=[("s", " UNION ALL ".join(f"SELECT texture_id, '{c}' AS channel, {HIST_BIN.format(c)} AS bin FROM px" for c in "rgb"))]),
 )
+register(
+    "a10_histogram_uneven", on(fx.px, lambda d: metrics.histogram(d, bins=100, reduce=3)),
+    q.query(f"""
+        SELECT texture_id, channel, bin, {q.r6("coalesce(n, 0) / least(3, 100 - bin * 3)")} AS value
+        FROM (SELECT * FROM (SELECT DISTINCT texture_id FROM px), (SELECT unnest(['r', 'g', 'b']) AS channel), (SELECT CAST(unnest(range(0, 34)) AS INT) AS bin))
+        LEFT JOIN (SELECT texture_id, channel, CAST(floor(least(99, floor({q.clamp01("pow(greatest(0e0, v / 2.2e0), 1 / 2.2e0)")} * 100)) / 3) AS INT) AS bin, count(*) AS n
+                   FROM (SELECT texture_id, unnest(['r', 'g', 'b']) AS channel, unnest([r, g, b]) AS v FROM px) GROUP BY 1, 2, 3)
+        USING (texture_id, channel, bin)""", "px"),
+)
 register(
     "a11_diff_channel_weighted", on(fx.px_pair, lambda d: metrics.diff_channel_weighted(d, (1.0, 2.0, 0.0, 0.5))),
     q.query(f"SELECT texture_id, {q.r6('sqrt(avg((' + square('r') + ' + 2 * ' + square('g') + ' + 0.5e0 * ' + square('a') + ') / 3.5e0))')}"
@@ -577,16 +607,16 @@ register(
 )
 INSIDE = ("inside", """
     SELECT p.*, layer_files, face_files, mip_files, first_width, first_format, first_alpha_mode
-    FROM parts p JOIN extents USING (base) WHERE layer < layer_files AND face < face_files AND mip < mip_files""")
+    FROM parts_gaps p JOIN extents USING (base) WHERE layer < layer_files AND face < face_files AND mip < mip_files""")
 MISSING = ("missing", """
     SELECT base, layer_file, face_file, mip_file FROM (
-      SELECT base, layer_file, face_file, CAST(unnest(range(0, mip_files)) AS INT) AS mip_file FROM (
-        SELECT base, layer_file, mip_files, CAST(unnest(range(0, face_files)) AS INT) AS face_file FROM (
-          SELECT base, face_files, mip_files, CAST(unnest(range(0, layer_files)) AS INT) AS layer_file FROM extents))) g
-    WHERE NOT EXISTS (SELECT 1 FROM parts p WHERE p.base = g.base AND p.layer = layer_file AND p.face = face_file AND p.mip = mip_file)""")
+      SELECT base, layer_file, face_file, CAST(unnest(range(0, mip_files)) AS BIGINT) AS mip_file FROM (
+        SELECT base, layer_file, mip_files, CAST(unnest(range(0, face_files)) AS BIGINT) AS face_file FROM (
+          SELECT base, face_files, mip_files, CAST(unnest(range(0, layer_files)) AS BIGINT) AS layer_file FROM extents))) g
+    WHERE NOT EXISTS (SELECT 1 FROM parts_gaps p WHERE p.base = g.base AND p.layer = layer_file AND p.face = face_file AND p.mip = mip_file)""")
 register(
     "j4_stitch_missing", on(fx.file_parts, stitch.stitch_missing),
-    q.query("SELECT base, layer_file, face_file, mip_file FROM missing", "parts", "extents", ctes=[MISSING]),
+    q.query("SELECT base, layer_file, face_file, mip_file FROM missing", "parts_gaps", "extents", ctes=[MISSING]),
 )
 
 
@@ -602,7 +632,7 @@ PLACES = ("base", "layer_file", "face_file", "mip_file")
 register(
     "j5_resolve_part_names", lambda s, d: stitch.resolve_part_names(stitch.parse_parts(_both_names(s, d))).select(*PLACES, "file", "priority"),
     q.query("""
-        SELECT base, layer AS layer_file, face AS face_file, mip AS mip_file, file,
+        SELECT base, CAST(layer AS BIGINT) AS layer_file, CAST(face AS BIGINT) AS face_file, CAST(mip AS BIGINT) AS mip_file, file,
                CASE WHEN contains(file, '_M') THEN 1 ELSE 2 END AS priority FROM parts""", "parts"),
 )
 register(
@@ -611,6 +641,30 @@ register(
     q.query("SELECT texture_id, format, bw AS block_w, bh AS block_h, bb AS block_bytes FROM textures JOIN fmt USING (format)", "textures", ctes=[FORMATS]),
 )
 
+
+
+def _odd_formats(spark: SparkSession, folder: str) -> DataFrame:
+    """Textures, a quarter of them in a format that isn't known and some in none."""
+    odd = F.when(F.col("format") == "bc4", "etc2").when(F.col("texture_id") % 10 == 0, F.lit(None)).otherwise(F.col("format"))
+    return fx.textures(spark, folder).withColumns({"format": odd, "n_layers": F.lit(2), "n_faces": (F.col("texture_id") % 6 + 1).cast("int")})
+
+
+ODD_FORMATS = ("odd", """
+    SELECT * REPLACE (CASE WHEN format = 'bc4' THEN 'etc2' WHEN texture_id % 10 = 0 THEN NULL ELSE format END AS format),
+           CAST(texture_id % 6 + 1 AS INT) AS n_faces FROM textures""")
+register(
+    "j6_unknown_formats", lambda s, d: formats.unknown_formats(_odd_formats(s, d)).select("texture_id", "format"),
+    q.query("SELECT texture_id, format FROM odd WHERE format IS NULL OR format = 'etc2'", "textures", ctes=[ODD_FORMATS]),
+)
+register(
+    "a14_size_layers_faces", lambda s, d: formats.size_estimate(_odd_formats(s, d)),
+    q.query("""
+        SELECT o.texture_id, o.format, count(*) AS n_mips,
+               CAST(sum(CAST(ceil(mip_width / bw) * ceil(mip_height / bh) AS BIGINT) * p.depth * bb * 2 * n_faces) AS BIGINT) AS total_bytes
+        FROM plan p JOIN odd o USING (texture_id) LEFT JOIN fmt ON o.format = fmt.format GROUP BY 1, 2""",
+            "textures", ctes=[PLAN_SQL, FORMATS, ODD_FORMATS]),
+)
+
 # --- detach and stitch ------------------------------------------------------------------------------
 
 SUB = ("file", "layer_file", "face_file", "mip_file", "layer", "face", "mip", "n_layers", "n_faces", "n_mips", "mip0_width", "mip0_height")
@@ -645,17 +699,17 @@ register(
 register(
     "r4_parse_parts", on(fx.parts, lambda d: stitch.parse_parts(d.select("file"))),
     q.query("""
-        SELECT file, base, layer AS layer_file, face AS face_file, mip AS mip_file,
+        SELECT file, base, CAST(layer AS BIGINT) AS layer_file, CAST(face AS BIGINT) AS face_file, CAST(mip AS BIGINT) AS mip_file,
                CASE WHEN contains(file, '_M') THEN 1 ELSE 2 END AS priority FROM parts""", "parts"),
 )
 register(
     "r5_stitch_extent", on(fx.file_parts, stitch.stitch_extent),
-    q.query("SELECT base, layer_files, face_files, mip_files FROM extents", "parts", "extents"),
+    q.query("SELECT base, CAST(layer_files AS BIGINT) AS layer_files, CAST(face_files AS BIGINT) AS face_files, CAST(mip_files AS BIGINT) AS mip_files FROM extents", "parts_gaps", "extents"),
 )
 register(
     "r6_stitch", on(fx.file_parts, lambda d: stitch.stitch(d).select("base", "file", "layer", "face", "mip")),
     q.query("""SELECT base, file, CAST(layer AS BIGINT) AS layer, CAST(face AS BIGINT) AS face, CAST(mip AS BIGINT) AS mip
-            FROM inside""", "parts", "extents", ctes=[INSIDE]),
+            FROM inside""", "parts_gaps", "extents", ctes=[INSIDE]),
 )
 CHECKED = ("checked", """
     SELECT *, greatest(1, first_width >> mip) AS want FROM inside WHERE NOT (layer = 0 AND face = 0 AND mip = 0)""")
@@ -665,14 +719,14 @@ ERRORS = ("errors", """
     UNION ALL SELECT *, 'alpha_mode', alpha_mode FROM checked WHERE alpha_mode <> first_alpha_mode""")
 register(
     "r7_stitch_errors", on(fx.file_parts, stitch.stitch_errors),
-    q.query("SELECT base, file, layer AS layer_file, face AS face_file, mip AS mip_file, code, detail FROM errors",
-            "parts", "extents", ctes=[INSIDE, CHECKED, ERRORS]),
+    q.query("SELECT base, file, CAST(layer AS BIGINT) AS layer_file, CAST(face AS BIGINT) AS face_file, CAST(mip AS BIGINT) AS mip_file, code, detail FROM errors",
+            "parts_gaps", "extents", ctes=[INSIDE, CHECKED, ERRORS]),
 )
 register(
     "r7_stitch_clean", on(fx.file_parts, lambda d: stitch.stitch_clean(d).select("base", "file", "layer", "face", "mip")),
     q.query("""SELECT base, file, CAST(layer AS BIGINT) AS layer, CAST(face AS BIGINT) AS face, CAST(mip AS BIGINT) AS mip
                FROM inside WHERE base NOT IN (SELECT base FROM errors) AND base NOT IN (SELECT base FROM missing)""",
-            "parts", "extents", ctes=[INSIDE, CHECKED, ERRORS, MISSING]),
+            "parts_gaps", "extents", ctes=[INSIDE, CHECKED, ERRORS, MISSING]),
 )
 register(
     "r8_stitch_limits", on(fx.file_parts, lambda d: stitch.stitch_limits(d.withColumn("n_faces", F.when(F.col("format") == "bc1", 1).otherwise(2)))),
@@ -727,6 +781,24 @@ register(
     "b1_assign_batches", lambda s, d: batched(s, d).select("doc_id", "dir", "batch_id"),
     q.query("SELECT doc_id, dir, CAST(batch_id AS BIGINT) AS batch_id FROM walk", "files", ctes=BATCHES, recursive=True),
 )
+
+
+def _loose_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Files of which some have no folder, and some no size."""
+    doc = F.col("doc_id")
+    return fx.files(spark, folder).withColumns({"dir": F.when(doc % 4 > 0, F.col("dir")), "n_bytes": F.when(doc % 7 > 0, F.col("n_bytes"))})
+
+
+LOOSE = [
+    ("loose", "SELECT doc_id, CASE WHEN doc_id % 4 > 0 THEN dir END AS dir, CASE WHEN doc_id % 7 > 0 THEN n_bytes ELSE 0 END AS n_bytes FROM files"),
+    (BATCHES[0][0], BATCHES[0][1].replace("FROM files", "FROM loose")),
+    (BATCHES[1][0], BATCHES[1][1].replace("o.dir = w.dir", "o.dir IS NOT DISTINCT FROM w.dir")),
+]
+register(
+    "b1_null_folders",
+    lambda s, d: batches.assign_batches(_loose_files(s, d), 20_000, 50, order=("doc_id",)).select("doc_id", "dir", "batch_id"),
+    q.query("SELECT doc_id, dir, CAST(batch_id AS BIGINT) AS batch_id FROM walk", "files", ctes=LOOSE, recursive=True),
+)
 register(
     "b2_batch_report", lambda s, d: batches.batch_report(batched(s, d)),
     q.query("""SELECT dir, CAST(batch_id AS BIGINT) AS batch_id, count(*) AS n_files, CAST(sum(n_bytes) AS BIGINT) AS total_bytes

@@ -47,7 +47,7 @@ FIXTURES = {
                n_chars AS n_bytes
         FROM documents""",
     "parts": """
-        SELECT texture_id, layer, face, mip, CONCAT('t', CAST(texture_id AS VARCHAR)) AS base,
+        SELECT k, texture_id, layer, face, mip, CONCAT('t', CAST(texture_id AS VARCHAR)) AS base,
                CASE WHEN k % 89 = 5 THEN 48
                     ELSE CAST(64 / (CASE mip WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 4 END) AS INT) END AS width,
                CASE WHEN k % 97 = 7 THEN 'bc1' ELSE 'bc7' END AS format,
@@ -57,22 +57,22 @@ FIXTURES = {
         FROM (SELECT o_orderkey AS k, CAST(floor(o_orderkey / 24) AS BIGINT) AS texture_id,
                      CAST(floor((o_orderkey % 24) / 12) AS INT) AS layer,
                      CAST(floor((o_orderkey % 12) / 3) AS INT) AS face, CAST(o_orderkey % 3 AS INT) AS mip
-              FROM orders) q
-        WHERE k % 83 <> 11""",
+              FROM orders) q""",
+    "parts_gaps": "SELECT * FROM parts WHERE k % 83 <> 11",
     # length of each axis up to its first gap, the other two at 0; joined to the first file
     "extents": """
         SELECT l.base, layer_files, face_files, mip_files, f.width AS first_width, f.format AS first_format,
                f.alpha_mode AS first_alpha_mode
         FROM (SELECT base, CAST(count(*) AS INT) AS layer_files FROM (
                 SELECT base, layer, row_number() OVER (PARTITION BY base ORDER BY layer) - 1 AS i
-                FROM parts WHERE face = 0 AND mip = 0) WHERE layer = i GROUP BY base) l
+                FROM parts_gaps WHERE face = 0 AND mip = 0) WHERE layer = i GROUP BY base) l
         JOIN (SELECT base, CAST(count(*) AS INT) AS face_files FROM (
                 SELECT base, face, row_number() OVER (PARTITION BY base ORDER BY face) - 1 AS i
-                FROM parts WHERE layer = 0 AND mip = 0) WHERE face = i GROUP BY base) c ON l.base = c.base
+                FROM parts_gaps WHERE layer = 0 AND mip = 0) WHERE face = i GROUP BY base) c ON l.base = c.base
         JOIN (SELECT base, CAST(count(*) AS INT) AS mip_files FROM (
                 SELECT base, mip, row_number() OVER (PARTITION BY base ORDER BY mip) - 1 AS i
-                FROM parts WHERE layer = 0 AND face = 0) WHERE mip = i GROUP BY base) m ON l.base = m.base
-        JOIN (SELECT * FROM parts WHERE layer = 0 AND face = 0 AND mip = 0) f ON l.base = f.base""",
+                FROM parts_gaps WHERE layer = 0 AND face = 0) WHERE mip = i GROUP BY base) m ON l.base = m.base
+        JOIN (SELECT * FROM parts_gaps WHERE layer = 0 AND face = 0 AND mip = 0) f ON l.base = f.base""",
     "textures": """
         SELECT p_partkey AS texture_id, CAST(p_size * 13 + p_partkey % 7 AS INT) AS width,
                CAST(p_size * 5 + p_partkey % 11 + 1 AS INT) AS height, 1 AS depth,
@@ -81,7 +81,8 @@ FIXTURES = {
         FROM part""",
 }
 NEEDS = {
-    "px_pair": ["px"], "hm": ["e"], "hma": ["e", "hm"], "px4": ["e"], "raw": ["e"], "extents": ["parts"],
+    "px_pair": ["px"], "hm": ["e"], "hma": ["e", "hm"], "px4": ["e"], "raw": ["e"], "parts_gaps": ["parts"],
+    "extents": ["parts", "parts_gaps"],
 }
 
 
