@@ -39,7 +39,7 @@ SHINGLE = 5
 PERCENT = 80
 BANDS = 40
 ROWS = 4
-BITS = 512
+BITS = 2048
 TILE = 256  # members of a tile that meet in a task at once
 CACHED_WORDS = 300_000
 
@@ -113,8 +113,8 @@ def tile_keys(sets: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def fold(size: np.ndarray) -> np.ndarray:
-    """Of a set of that size, one in 2^fold shingles goes into its bitmap, so that at most half the bits or so are set."""
-    return np.maximum(np.ceil(np.log2(np.maximum(size, 1) / (BITS * 0.6))), 0).astype(np.int64)
+    """Of a set of that size, one in 2^fold shingles goes into its bitmap: all of up to 1.4 for a bit, which tells most."""
+    return np.maximum(np.ceil(np.log2(np.maximum(size, 1) / (BITS * 1.4))), 0).astype(np.int64)
 
 
 def bitmaps(sets: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -148,17 +148,18 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, keys array<long>, bits array<long>, fold long")
 
 
-def _overlap(n: str, m: str, f: str, g: str, x: str, y: str) -> Column:
-    """The most that two sets can share, by their sizes and, if these are of one fold, their bitmaps."""
-    only = lambda a, b: sum((F.bit_count(F.col(a)[k].bitwiseAND(F.bitwise_not(F.col(b)[k]))) for k in range(BITS // 64)), F.lit(0))
-    least = F.least(n, m)
-    return F.when(F.col(f) != F.col(g), least).otherwise(F.least(F.col(n) - only(x, y), F.col(m) - only(y, x)))
+def _overlap(a: str, b: str) -> Column:
+    """The most that the sets of two columns of the sign kind can share, by their sizes and, if these are of one fold, their bitmaps."""
+    n, m, x, y = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.bits"), F.col(f"{b}.bits")
+    common = sum((F.bit_count(x[k].bitwiseAND(y[k])) for k in range(1, BITS // 64)), F.bit_count(x[0].bitwiseAND(y[0])))
+    bound = F.least(n - F.col(f"{a}.ones") + common, m - F.col(f"{b}.ones") + common)
+    return F.when(F.col(f"{a}.fold") != F.col(f"{b}.fold"), F.least(n, m)).otherwise(bound)
 
 
-def _may_link(n: str, m: str, f: str, g: str, x: str, y: str, percent: int) -> Column:
+def _may_link(a: str, b: str, percent: int) -> Column:
     """Whether two sets can reach the threshold; sizes are compared first."""
-    n_m = F.col(n) + F.col(m)
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * _overlap(n, m, f, g, x, y) >= percent * n_m)
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * _overlap(a, b) >= percent * (n + m))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -196,11 +197,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = signed.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     heads = signed.filter("n_shingles > 0").join(classes, (signed.digest == classes.digest) & (signed.doc_id == classes.rep), "left_semi")
     heads = stored(heads.drop("digest").dropDuplicates(["doc_id"]))
-    placed = heads.select("doc_id", "n_shingles", F.explode("keys").alias("key"))
+    placed = heads.select("doc_id", F.explode("keys").alias("key"))
     # tiles of two or more, with the member that all others are compared with first
     tiles = stored(placed.groupBy("key").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    members = stored(placed.join(tiles, "key").select("key", "doc_id", "n_shingles", "first", "n"))
-    sign = heads.select("doc_id", "n_shingles", "fold", "bits")
+    members = stored(placed.join(tiles, "key").select("key", "doc_id", "first", "n"))
+    ones = F.aggregate("bits", F.lit(0), lambda s, x: s + F.bit_count(x))
+    sign = heads.select("doc_id", F.struct(F.col("n_shingles").alias("n"), ones.alias("ones"), "fold", "bits").alias("sign"))
     to_first = members.filter("doc_id <> first").select("doc_id", "first").distinct()
     able = _bounded(to_first.toDF("b", "a"), sign, percent)
     one = stored(able.groupBy("b").agg(F.max_by("a", F.struct("most", -F.col("a"))).alias("a")).select("a", "b"))
@@ -217,12 +219,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def _bounded(pairs: DataFrame, sign: DataFrame, percent: int) -> DataFrame:
     """Those (a, b) that may link, with the bound of their overlap against their sizes."""
-    left = sign.toDF("a", "n_a", "fold_a", "bits_a")
-    right = sign.toDF("b", "n_b", "fold_b", "bits_b")
-    each = pairs.join(left, "a").join(right, "b")
-    names = ("n_a", "n_b", "fold_a", "fold_b", "bits_a", "bits_b")
-    share = _overlap(*names) / (F.col("n_a") + F.col("n_b"))
-    return each.filter(_may_link(*names, percent)).select("a", "b", share.alias("most"))
+    each = pairs.join(sign.toDF("a", "sign_a"), "a").join(sign.toDF("b", "sign_b"), "b")
+    share = _overlap("sign_a", "sign_b") / (F.col("sign_a.n") + F.col("sign_b.n"))
+    return each.filter(_may_link("sign_a", "sign_b", percent)).select("a", "b", share.alias("most"))
 
 
 def _across(members: DataFrame, found: DataFrame, sign: DataFrame, percent: int) -> DataFrame:
@@ -233,9 +232,9 @@ def _across(members: DataFrame, found: DataFrame, sign: DataFrame, percent: int)
     members, those of other components.
     """
     parts = found.toDF("doc_id", "part")
-    known = members.select("key", "doc_id", "n_shingles", "n").join(parts, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
+    known = members.select("key", "doc_id", "n").join(parts, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
     mixed = known.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi")
-    known = stored(known.join(mixed.select("key"), "key").join(sign.drop("n_shingles"), "doc_id"))
+    known = stored(known.join(mixed.select("key"), "key").join(sign, "doc_id"))
     sizes = known.groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"))
     most = sizes.groupBy("key").agg(F.max(F.struct("size", "part")).alias("top"), F.sum("size").alias("all")).select(
         "key", F.col("top.part").alias("main"), (F.col("all") - F.col("top.size")).alias("others")
@@ -243,13 +242,12 @@ def _across(members: DataFrame, found: DataFrame, sign: DataFrame, percent: int)
     known = known.join(most, "key")
     slot = lambda n: F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.ceil(F.col(n) / TILE).cast("long")))
     n_slots = lambda n: F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0), F.ceil(F.col(n) / TILE).cast("long") - 1))
-    columns = ["key", "doc_id", "n_shingles", "part", "main", "fold", "bits"]
+    columns = ["key", "doc_id", "part", "main", "sign"]
     drive = known.filter("part <> main").select(*columns, slot("others").alias("s"), F.explode(n_slots("n")).alias("t"))
     meet = known.select(*columns, F.explode(n_slots("others")).alias("s"), slot("n").alias("t"))
     a = drive.select("key", "s", "t", *(F.col(c).alias(c + "_a") for c in columns[1:]))
     b = meet.select("key", "s", "t", *(F.col(c).alias(c + "_b") for c in columns[1:]))
     # of two members outside the main component, the smaller drives
     once = (F.col("part_a") != F.col("part_b")) & ((F.col("part_b") == F.col("main_b")) | (F.col("doc_id_a") < F.col("doc_id_b")))
-    able = _may_link("n_shingles_a", "n_shingles_b", "fold_a", "fold_b", "bits_a", "bits_b", percent)
-    pairs = a.join(b, ["key", "s", "t"]).filter(once & able)
+    pairs = a.join(b, ["key", "s", "t"]).filter(once & _may_link("sign_a", "sign_b", percent))
     return pairs.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
