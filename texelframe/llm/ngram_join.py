@@ -162,15 +162,8 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * _overlap(a, b) >= percent * (n + m))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Those (a, b) of pairs whose sets reach the threshold exactly; texts are read again for the documents concerned.
-
-    Pairs are dealt by a and b together, so that one document may be in any number of them.
-    """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-    # rows of one id count as one document: any of them
-    texts = texts.groupBy("doc_id").agg(F.first("text").alias("text"))
+def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Those (a, b) of pairs whose sets reach the threshold exactly; texts: (doc_id, text) of the documents concerned."""
     each = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,13 +196,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     members = stored(placed.join(tiles, "key").select("key", "doc_id", "first", "n"))
     ones = F.aggregate("bits", F.lit(0), lambda s, x: s + F.bit_count(x))
     sign = heads.select("doc_id", F.struct(F.col("n_shingles").alias("n"), ones.alias("ones"), "fold", "bits").alias("sign"))
+    # only documents that share a tile are compared: their texts are set apart once
+    shared = members.select("doc_id").distinct()
+    texts = stored(docs.select("doc_id", "text").join(shared, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     to_first = members.filter("doc_id <> first").select("doc_id", "first").distinct()
     able = _bounded(to_first.toDF("b", "a"), sign, percent)
     one = stored(able.groupBy("b").agg(F.max_by("a", F.struct("most", -F.col("a"))).alias("a")).select("a", "b"))
-    links = stored(verified(one, docs, percent))
+    links = stored(verified(one, texts, percent))
     found = stored(connected_components(links))
     rest = _across(members, found, sign, percent).join(one, ["a", "b"], "left_anti")
-    more = stored(verified(stored(rest), docs, percent))
+    more = stored(verified(stored(rest), texts, percent))
     parts = connected_components(found.toDF("b", "a").unionByName(more))
     by_class = classes.join(parts, classes.rep == parts.node, "left").select("digest", F.coalesce("component", "rep").alias("component"))
     # the smallest member of a class is its smallest id, so that components are those of all documents
