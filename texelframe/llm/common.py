@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from texelframe.session import shared_folder
 
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
