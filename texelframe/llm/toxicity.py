@@ -33,7 +33,7 @@ from texelframe.llm.common import Words, slices
 TRAIN_DOCS = 8000
 MIN_TOXIC = 4  # documents of the sample that a mined word is in
 MIN_SHARE = 0.75  # of these, toxic ones
-STEMS = (4, 5, 6)  # lengths of word beginnings
+STEMS = (3, 4, 5, 6)  # lengths of word beginnings
 MINED_VOTERS = 4  # voters that the mined words, and the stems of each length, are dealt to
 THRESHOLD = 0.3
 
@@ -176,9 +176,9 @@ def fit_label_model(votes: np.ndarray, label: np.ndarray, rounds: int = 12, trus
             for y, weight in ((0, 1 - q), (1, q)):
                 seen = np.bincount(above * 2 + votes[:, j], weights=weight, minlength=4).reshape(2, 2) + 0.5
                 tables[j, y] = seen / seen.sum(axis=1, keepdims=True)
-        # a label that is given is right more often than not
+        # a label that is given is right more often than not, but not beyond `trust`: else it comes to be the truth by itself
         for y in (0, 1):
-            right = max(tables[-1, y, 0, y], 0.9)
+            right = float(np.clip(tables[-1, y, 0, y], min(0.9, trust), trust))
             tables[-1, y, :, y], tables[-1, y, :, 1 - y] = right, 1 - right
         model = LabelModel(float(np.clip(q.mean(), 1e-4, 1 - 1e-4)), parent, tables)
         q = model.posterior(votes)
