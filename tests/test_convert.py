@@ -8,6 +8,7 @@ import __spark_entry__ as entry_points
 from texelframe.operators import metrics, samples
 from texelframe.plans import compare, convert
 from tests.helpers import image, random_image, to_array
+from workload.queries import ORACLES, QUERIES
 
 
 def test_unknown_format_is_refused(spark):
@@ -55,4 +56,5 @@ def test_named_rgbm_images_compare_as_equal(spark):
 def test_entry_points(spark):
     assert entry_points.entry(spark).count() == 4
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == {"s1_scan_files"}
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(QUERIES) - set(ORACLES) == {"s1_scan_files"}
