@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from texelframe.llm import huffman, lattice_dedup, mixing, ngram_join, packing, quality, token_counts, toxicity, url_filter, vector_tree
+from texelframe.llm import (
+    anchor_lists, divergence, huffman, lattice_dedup, mixing, ngram_join, packing, quality, repetition, token_counts, toxicity, url_filter,
+    vector_tree,
+)
 from texelframe.llm.common import crc_mod, stored, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -88,6 +91,25 @@ def op10_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_tree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, n=20)
 
 
+def op11_shared_anchor_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of each vector whose id is divisible by 100, among all vectors in steps of 1/256."""
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    steps = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), F.when(finite, steps).alias("vector"))
+    return anchor_lists.mine(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=5, lowest=80)
+
+
+def op12_repetition_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repetition within every whole text, and the verdict of the rules on it."""
+    return repetition.measure(table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of the sources of each language, and the terms most in excess."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -101,9 +123,45 @@ QUERIES = {
         op8_weak_toxicity,
         op9_sum_of_squares_packing,
         op10_kmeans_tree,
+        op11_shared_anchor_lists,
+        op12_repetition_coverage,
+        op13_source_divergence,
     )
 }
 
+def _repetition_sql() -> str:
+    """The words of all texts with the number of copies of the windows that begin there, then what they cover."""
+    lengths = (repetition.REPEAT_WINDOW, *repetition.COVERED)
+    ahead = lambda n: ", ' ', ".join(["w", *(f"lead(w, {k}) OVER o" for k in range(1, n))])
+    grams = ", ".join(f"CASE WHEN lead(w, {n - 1}) OVER o IS NOT NULL THEN concat({ahead(n)}) END AS g{n}" for n in lengths)
+    twice = ", ".join(f"g{n} IS NOT NULL AND count(*) OVER (PARTITION BY row, g{n}) > 1 AS d{n}" for n in lengths)
+    under = ", ".join(f"bool_or(d{n}) OVER (PARTITION BY row ORDER BY i ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) AS c{n}" for n in lengths)
+    sums = ", ".join(f"coalesce(sum(length(w)) FILTER (c{n}), 0) AS covered_{n}" for n in repetition.COVERED)
+    names = ", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in repetition.COUNTS)
+    too_much = " OR ".join(f"100 * covered_{n} > {most} * word_chars" for n, most in repetition.COVERED.items())
+    return rf"""
+        WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+        words AS (SELECT row, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+                  FROM (SELECT row, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d)),
+        grams AS (SELECT row, i, w, {grams} FROM words WINDOW o AS (PARTITION BY row ORDER BY i)),
+        twice AS (SELECT row, i, w, {twice} FROM grams),
+        under AS (SELECT row, i, w, {under} FROM twice),
+        by_words AS (SELECT row, count(*) AS n_words, sum(length(w)) AS word_chars, count(*) FILTER (c{repetition.REPEAT_WINDOW}) AS n_repeat_words, {sums}
+                     FROM under GROUP BY row),
+        lines AS (SELECT row, line, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars, count(*) AS n
+                  FROM (SELECT row, unnest(string_split(text, chr(10))) AS line FROM d)
+                  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY row, line),
+        by_lines AS (SELECT row, sum(n) AS n_lines, sum(n - 1) AS n_dup_lines, sum(chars * (n - 1)) AS dup_line_chars FROM lines GROUP BY row),
+        counts AS (SELECT doc_id, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, by_words.*, n_lines, n_dup_lines, dup_line_chars
+                   FROM d LEFT JOIN by_words USING (row) LEFT JOIN by_lines USING (row)),
+        filled AS (SELECT doc_id, {names} FROM counts),
+        judged AS (SELECT *, n_words < {repetition.MIN_WORDS} OR 100 * n_repeat_words > {repetition.MAX_REPEAT_WORDS} * n_words AS base_failed,
+                          100 * dup_line_chars > {repetition.LINE_CHARS} * word_chars OR 100 * n_dup_lines > {repetition.LINES} * n_lines OR {too_much} AS too_much
+                   FROM filled)
+        SELECT * EXCLUDE too_much, NOT base_failed AND NOT too_much AS kept FROM judged
+    """
+
+
 # The others learn, tokenize, hash or round at random; tests hold them against brute force.
 ORACLES = {
     "op2_url_aliases": r"""
@@ -138,4 +196,54 @@ ORACLES = {
                CASE WHEN own IS NOT NULL THEN own WHEN host || path IN (SELECT node FROM reached) THEN 'block' ELSE 'allow' END AS verdict
         FROM ruled
     """,
+    "op11_shared_anchor_lists": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        scores AS (
+            SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, positive_id,
+               CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives p JOIN scores s
+          ON p.anchor_id = s.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+        QUALIFY rank <= 5
+    """,
+    "op12_repetition_coverage": _repetition_sql(),
+    "op13_source_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        words AS (SELECT row, lang, source, unnest(terms) AS term FROM d),
+        q AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+        langs AS (SELECT lang, sum(n) AS total, count(*) AS v FROM q GROUP BY lang),
+        found AS (SELECT w.lang, source, w.term, count(*) AS n FROM words w JOIN q ON w.lang = q.lang AND w.term = q.term GROUP BY ALL),
+        groups AS (SELECT lang, source, coalesce((SELECT sum(n) FROM found f WHERE f.lang = g.lang AND f.source = g.source), 0) AS total
+                   FROM (SELECT DISTINCT lang, source FROM d) g),
+        p AS (
+            SELECT g.lang, g.source, q.term, coalesce(f.n, 0) AS n, 1 + (1000000000 * (coalesce(f.n, 0) + 2)) // (g.total + 2 * l.v) AS p,
+                   1 + (1000000000 * (q.n + 2)) // (l.total + 2 * l.v) AS q
+            FROM groups g JOIN langs l ON g.lang = l.lang JOIN q ON g.lang = q.lang
+            LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = q.term),
+        pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+            FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+            UNION ALL
+            SELECT a.lang, a.source, 'pair', b.source, 0 FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            WHERE a.lang NOT IN (SELECT lang FROM langs)),
+        terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM p WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+               CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+        FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+        QUALIFY part = 'pair' OR rank <= 10
+    """,
 }

@@ -14,17 +14,17 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def matrix(column: pa.Array) -> np.ndarray:
-    """Rows of equal length in double precision."""
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+def matrix(column: pa.Array, kind: type = np.float64) -> np.ndarray:
+    """Rows of equal length, in double precision unless another kind of number is asked for."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(kind)
     return flat.reshape(len(column), -1)
 
 
-def by_length(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+def by_length(column: pa.Array, kind: type = np.float64) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each length of vectors: which rows, and their matrix."""
     sizes = column.value_lengths().to_numpy(zero_copy_only=False)
     out = []
     for n in np.unique(sizes):
         rows = np.flatnonzero(sizes == n)
-        out.append((rows, matrix(column.take(pa.array(rows)))))
+        out.append((rows, matrix(column.take(pa.array(rows)), kind)))
     return out
