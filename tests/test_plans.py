@@ -37,6 +37,34 @@ def test_two_filter_passes_share_one_exchange(sized, name):
     assert exchanges(resample.next_mip(sized, name)) == 1
 
 
+def test_a_thumbnail_is_made_under_many_keys_from_combined_sums(spark):
+    """Neither its samples nor its sums meet in one task, and few rows are exchanged."""
+    x, y = (F.col("id") % 256).cast("int"), F.floor(F.col("id") / 256).cast("int")
+    big = spark.range(0, 256 * 256, 1, 4).select(
+        F.lit(1).alias("texture_id"), y.alias("y"), x.alias("x"), F.rand(1).alias("r"), F.lit(256).alias("width"), F.lit(256).alias("height")
+    )
+    thumb = resample.resize(big, 16, 16, "kaiser")
+    assert "Python" not in plan(thumb) and "partial_sum" in plan(thumb)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        sums = resample._resize_by_sums(big.withColumns({"out_w": F.lit(16), "out_h": F.lit(16)}), "kaiser", "clamp", "xy")
+        per_task = [r["count"] for r in sums.groupBy(F.spark_partition_id()).count().collect()]
+        dealt = sums._jdf.queryExecution().executedPlan()
+        written, nodes = [], [dealt]
+        sums.collect()
+        while nodes:
+            node = nodes.pop()
+            nodes += [node.children().apply(k) for k in range(node.children().size())]
+            if "Exchange" in node.nodeName():
+                written.append(node.metrics().apply("shuffleRecordsWritten").value())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(per_task) > 10 and sum(per_task) == 256  # one image, many keys
+    assert len(written) == 2 and sum(written) < 256 * 256 / 4
+
+
 def test_other_neighbourhood_work_takes_one_exchange(sized):
     assert exchanges(resample.next_mip(sized, "box")) == 1
     assert exchanges(resample.next_mip(sized, "max")) == 1

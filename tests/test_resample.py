@@ -26,6 +26,24 @@ def test_resize_up_and_down(spark, name):
     assert out == pytest.approx(resized(array, 13, 23, name), abs=1e-9)
 
 
+@pytest.mark.parametrize("name", ["triangle", "mitchell", "kaiser"])
+@pytest.mark.parametrize("wrap", ["clamp", "repeat"])
+@pytest.mark.parametrize("size", [(5, 7), (1, 3), (60, 2), (3, 50)])
+def test_strong_reductions(spark, name, wrap, size):
+    array = random_image(53, 66)
+    out = resample.resize(image(spark, array), *size, name, wrap)
+    assert to_array(out) == pytest.approx(resized(array, *size, name, wrap), abs=1e-9)
+    assert {(r.width, r.height) for r in out.select("width", "height").distinct().collect()} == {size}
+
+
+def test_images_of_one_table_go_each_their_way(spark):
+    arrays = [random_image(9, 12, 1), random_image(80, 9, 2), random_image(6, 90, 3)]
+    df = image(spark, arrays[0], 0).unionByName(image(spark, arrays[1], 1)).unionByName(image(spark, arrays[2], 2))
+    out = resample.resize(df, 6, 6, "mitchell", "repeat")
+    for k, array in enumerate(arrays):
+        assert to_array(out.filter(F.col("texture_id") == k)) == pytest.approx(resized(array, 6, 6, "mitchell", "repeat"), abs=1e-9)
+
+
 def test_extremes_bound_the_mean_and_join_odd_edges(spark):
     array = random_image(7, 5)
     low, mean, high = (to_array(resample.next_mip(image(spark, array), n)) for n in ("min", "box", "max"))

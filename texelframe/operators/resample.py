@@ -24,6 +24,8 @@ MITCHELL_C = 1 / 3
 KAISER_ALPHA = 4.0
 KAISER_STRETCH = 1.0
 BESSEL_TERMS = 14
+# Reductions from this on are made by sums over the whole image, others tile by tile.
+STRONG = 4
 
 FILTERS = ("box", "min", "max", *SUPPORT)
 
@@ -99,42 +101,82 @@ def _resize_box(df: DataFrame) -> DataFrame:
     return _finish(cells)
 
 
-def _resize_kernel(df: DataFrame, name: str, mode: str) -> DataFrame:
-    """Two passes, x then y, both inside the tiles of one placement."""
-    support = SUPPORT[name]
+def _reach(size: str, out: str, support: float) -> str:
+    """How many positions beyond an edge the filter reads."""
+    return f"int(ceil(greatest({size} / {out}, 1D) * {support!r}D))"
+
+
+def _center(j: str, size: str, out: str) -> str:
+    return f"(({j} + 0.5D) * {out} / {size} - 0.5D)"
 
-    def reach(size: str, out: str) -> str:
-        return f"int(ceil(greatest({size} / {out}, 1D) * {support!r}D))"
 
-    def center(j: str, size: str, out: str) -> str:
-        return f"(({j} + 0.5D) * {out} / {size} - 0.5D)"
+def _targets(j: str, size: str, out: str, support: float) -> Span:
+    """Output samples whose taps include source position j."""
+    around = f"{support!r}D / least(1D, {size} / {out})"
+    low = f"greatest(0, int(ceil({_center(j, size, out)} - {around})))"
+    return low, f"least({out} - 1, int(floor({_center(j, size, out)} + {around})))"
 
-    def targets(j: str, size: str, out: str) -> Span:
-        around = f"{support!r}D / least(1D, {size} / {out})"
-        low = f"greatest(0, int(ceil({center(j, size, out)} - {around})))"
-        return low, f"least({out} - 1, int(floor({center(j, size, out)} + {around})))"
+
+def _taps(rows: DataFrame, j: str, target: str, size: str, out: str, name: str, span: Span) -> DataFrame:
+    """A row for each target in span of every source position, with its weight."""
+    distance = f"({_center(j, size, out)} - {target}) * least(1D, {size} / {out})"
+    return (
+        rows.withColumn(target, explode_span(span))
+        .withColumn("_u", F.expr(distance))
+        .withColumn("_uu", F.expr("_u * _u"))
+        .withColumn("_w", F.expr(kernel("_u", "_uu", name)))
+    )
+
+
+def _resize_by_tile(df: DataFrame, name: str, mode: str) -> DataFrame:
+    """Two passes, x then y, both inside the tiles of one placement."""
+    support = SUPPORT[name]
 
     def one_pass(rows: DataFrame, j: str, target: str, size: str, out: str, tile: str, other: str) -> DataFrame:
-        distance = f"({center(j, size, out)} - {target}) * least(1D, {size} / {out})"
-        hit = (
-            rows.withColumn(target, explode_span(within_tile(targets(j, size, out), tile)))
-            .withColumn("_u", F.expr(distance))
-            .withColumn("_uu", F.expr("_u * _u"))
-            .withColumn("_w", F.expr(kernel("_u", "_uu", name)))
-        )
+        hit = _taps(rows, j, target, size, out, name, within_tile(_targets(j, size, out, support), tile))
         keys = [*_sized_keys(df), "tile", "ty", "tx", other, target]
         return hit.groupBy(*keys).agg(*_weighted_means(channels(df)))
 
-    rows = df.withColumn("_jx", virtual_positions("x", "width", reach("width", "out_w"), mode))
-    rows = rows.withColumn("_jy", virtual_positions("y", "height", reach("height", "out_h"), mode))
+    rows = df.withColumn("_jx", virtual_positions("x", "width", _reach("width", "out_w", support), mode))
+    rows = rows.withColumn("_jy", virtual_positions("y", "height", _reach("height", "out_h", support), mode))
     rows = rows.select(*_sized_keys(df), "_jy", "_jx", *channels(df))
-    placed = place_by_tile(rows, targets("_jy", "height", "out_h"), targets("_jx", "width", "out_w"))
+    placed = place_by_tile(rows, _targets("_jy", "height", "out_h", support), _targets("_jx", "width", "out_w", support))
     across = one_pass(placed, "_jx", "_dx", "width", "out_w", "tx", "_jy")
     down = one_pass(across, "_jy", "_dy", "height", "out_h", "ty", "_dx")
     cells = down.withColumnsRenamed({"_dy": "y", "_dx": "x"}).drop("tile", "ty", "tx")
     return _finish(cells)
 
 
+def _resize_by_sums(df: DataFrame, name: str, mode: str, axes: str) -> DataFrame:
+    """Two aggregates, one per axis, whose sums are combined before they are exchanged.
+
+    For strong reductions: most samples of a task go into the same few sums, so that the exchange carries
+    the reduced image, and its keys are the samples of the result, many for one image however
+    small that is made. Samples at an edge also stand for the positions beyond it, at most twice the filter's half-width
+    over the result's side as many again.
+    """
+    support = SUPPORT[name]
+    size = {"x": ("width", "out_w"), "y": ("height", "out_h")}
+    rows = df
+    for axis, other in (axes, axes[::-1]):
+        rows = rows.withColumn("_j", virtual_positions(axis, size[axis][0], _reach(*size[axis], support), mode))
+        hit = _taps(rows, "_j", "_d", *size[axis], name, _targets("_j", *size[axis], support))
+        rows = hit.groupBy(*_sized_keys(df), other, F.col("_d").alias(axis)).agg(*_weighted_means(channels(df)))
+    return _finish(rows)
+
+
+def _resize_kernel(df: DataFrame, name: str, mode: str) -> DataFrame:
+    """Each image by the way that suits its reduction; its stronger axis first where sums are combined."""
+    across, down = F.col("width") / F.col("out_w"), F.col("height") / F.col("out_h")
+    strong = F.greatest(across, down) >= STRONG
+    ways = [
+        _resize_by_tile(df.filter(~strong), name, mode),
+        _resize_by_sums(df.filter(strong & (across >= down)), name, mode, "xy"),
+        _resize_by_sums(df.filter(strong & (across < down)), name, mode, "yx"),
+    ]
+    return ways[0].unionByName(ways[1]).unionByName(ways[2])
+
+
 def _halve_extreme(df: DataFrame, name: str) -> DataFrame:
     """Minimum or maximum of each 2x2 cell; a last odd row or column joins the cell before."""
     extreme = F.min if name == "min" else F.max
@@ -167,7 +209,7 @@ def next_mip(df: DataFrame, name: str = "box", wrap: str = "clamp") -> DataFrame
     elif name == "box":
         level = _resize_box(sized)
     elif name in SUPPORT:
-        level = _resize_kernel(sized, name, wrap)
+        level = _resize_by_tile(sized, name, wrap)
     else:
         raise ValueError(f"filter must be one of {FILTERS}, got {name!r}")
     return level.withColumn("mip", F.col("mip") + 1) if "mip" in df.columns else level

@@ -313,6 +313,19 @@ register(
     resize_sql("px", "kaiser", wrap="repeat"),
 )
 register("m7_resize_box", on(fx.px, lambda d: sample_columns(resample.resize(d, 7, 5))), resize_sql("px", "box", out=("7", "5")))
+THUMBS = [("kaiser", "clamp"), ("kaiser", "repeat"), ("mitchell", "clamp"), ("mitchell", "repeat")]
+
+
+def _thumbs(px: DataFrame) -> DataFrame:
+    """Images at an eighth of their side, by two filters and both ways beyond the edge."""
+    each = [sample_columns(resample.resize(px, 2, 2, name, wrap)).withColumn("way", F.lit(f"{name} {wrap}")) for name, wrap in THUMBS]
+    return each[0].unionByName(each[1]).unionByName(each[2]).unionByName(each[3])
+
+
+register(
+    "m7_resize_thumb", on(fx.px, _thumbs),
+    " UNION ALL ".join(f"SELECT *, '{name} {wrap}' AS way FROM ({resize_sql('px', name, out=('2', '2'), wrap=wrap)})" for name, wrap in THUMBS),
+)
 register("m7_resize_up", on(fx.hm_alpha, lambda d: sample_columns(resample.resize(d, 13, 11, "mitchell"))), resize_sql("hma", "mitchell", "a", out=("13", "11")))
 
 
