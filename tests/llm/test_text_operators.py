@@ -52,10 +52,10 @@ def test_words_are_those_of_ascii_white_space():
 
 
 def test_memo_forgets_but_keeps_its_bound():
-    memo = Memo(3)
+    memo = Memo(6 * Memo.OVERHEAD)
     for k in range(20):
-        memo.put(k, k)
-        assert memo.get(k) == k and len(memo.young) + len(memo.old) <= 6
+        memo.put(str(k), bytes([k]))
+        assert memo.get(str(k)) == bytes([k]) and len(memo.young) + len(memo.old) <= 6
 
 
 @settings(max_examples=60, deadline=None)
@@ -151,14 +151,25 @@ def test_packing_places_whole_documents_by_sum_of_squares():
         packer.add(k, size)
     # 6 opens a level, 4 fills it rather than opening another
     assert [[p[0] for p in w] for w in packer.closed] == [[0, 1], [2, 3], [4, 5]]
-    bounded = packing.Packer(1000, open_windows=5)
+    bounded = packing.Packer(1000, open_ids=2500)
     for k in range(100):
         bounded.add(k, 501)
-        assert bounded.n_open < 5
+        assert bounded.held < 2500
+        assert bounded.held == (bounded.counts * np.arange(1001)).sum()
     bounded.level_out()
     assert sum(p[2] for w in bounded.closed for p in w) == 50_100
 
 
+def test_a_cache_of_words_is_bounded_by_bytes():
+    memo = Memo(100_000)
+    for k in range(5000):
+        memo.put(f"w{k}", b"x" * (k % 50))
+        memo.put("y" * 1000 + str(k), b"long")
+    kept = memo.young | memo.old
+    assert sum(memo.OVERHEAD + len(v) for v in kept.values()) <= 101_000 and len(kept) > 100
+    assert memo.get("w4999") is not None and not any(k.startswith("y") for k in kept)
+
+
 def plain_tokens(word, trie):
     text = token_counts.WORD_MARK + word
     best = [(0.0, 0)]
@@ -179,6 +190,10 @@ def test_trie_counts_are_those_of_each_word_alone(spark, words_docs):
     words = sorted({w for t in words_docs for w in (t or "").encode().split()})
     for w in [w.decode() for w in words if len(w) < 60]:
         assert trie.count(w) == small.count(w) == plain_tokens(w, trie)
+    for w in [w.decode() for w in words][:200] + ["", "a" * 300, "这是" * 200, "the" * 100 + "é"]:
+        assert trie.count_long(w) == trie.insert(w)
+    long = token_counts.Trie(scores, max_nodes=1000)
+    assert long.count("abc" * 100_000) > 0 and len(long.best) <= 1000  # not in the trie
     got = {r.doc_id: (r.n_words, r.n_tokens) for r in token_counts.count_tokens(spark.createDataFrame(rows_of(words_docs), DOCS), PIECES).collect()}
     for k, t in enumerate(words_docs):
         own = [w.decode() for w in (t or "").encode().split()]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -79,12 +80,19 @@ class Words:
 
 
 class Memo:
-    """A cache of bounded size: two generations, of which the older is forgotten when the younger is full."""
+    """A cache of words that holds at most about `limit` bytes.
+
+    It has two generations, of which the older is forgotten when the younger is full. Words of more than
+    `LONG_WORD` characters aren't kept: they are rare, and as many of them as short ones would be any size.
+    """
+
+    LONG_WORD = 64
+    OVERHEAD = 250  # bytes of an entry besides its value: the word, objects and their place in a dictionary
 
     def __init__(self, limit: int):
-        self.limit, self.young, self.old = limit, {}, {}
+        self.limit, self.held, self.young, self.old = limit // 2, 0, {}, {}
 
-    def get(self, key):
+    def get(self, key: str):
         value = self.young.get(key)
         if value is None:
             value = self.old.get(key)
@@ -92,10 +100,19 @@ class Memo:
                 self.put(key, value)
         return value
 
-    def put(self, key, value) -> None:
-        if len(self.young) >= self.limit:
-            self.old, self.young = self.young, {}
+    def put(self, key: str, value: bytes) -> None:
+        if len(key) > self.LONG_WORD:
+            return
+        if self.held >= self.limit:
+            self.old, self.young, self.held = self.young, {}, 0
         self.young[key] = value
+        self.held += self.OVERHEAD + len(value)
+
+
+def release() -> None:
+    """At the end of a task: give unused memory back, as its Python worker goes on to other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:

@@ -2,7 +2,7 @@
 
 The tokenizer file drops white space and splits the rest into pre-tokens, so that a text's
 ids are those of its pre-tokens in turn. Distinct pre-tokens of a batch are encoded once
-and kept in a bounded cache of the Python worker; ids of texts are gathered from them.
+and kept in a cache of at most `CACHED_BYTES`, which is the task's own and ends with it; ids of texts are gathered from them.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 from texelframe.llm.common import Memo, Words, ranges
 
-CACHED_WORDS = 400_000
+CACHED_BYTES = 40_000_000
 
 # The tokenizer file's pre-tokens (but for runs of letters, which remain) and
 # the end mark of its pieces.
@@ -26,16 +26,6 @@ WORD_END = "</w>"
 # no other white space, and lower-case one to one. Others go to the library word by word.
 PLAIN = r"^[\x09-\x0D\x20-\x7E\x{A1}-\x{AC}\x{AE}-\x{12F}\x{132}-\x{24F}]*$"
 
-_encoders: dict[str, "Encoder"] = {}
-
-
-def encoder(path: str) -> "Encoder":
-    """The Python worker's encoder of a tokenizer file."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
-
-
 class Encoder:
     """Encodes texts with a word-end BPE tokenizer file, without special tokens."""
 
@@ -51,7 +41,7 @@ class Encoder:
         self.last = np.zeros(self.whole.get_vocab_size() + 1, dtype=bool)
         for token, i in self.whole.get_vocab().items():
             self.last[i] = token.endswith(WORD_END)
-        self.plain, self.odd = Memo(CACHED_WORDS), Memo(CACHED_WORDS // 8)
+        self.plain, self.odd = Memo(CACHED_BYTES), Memo(CACHED_BYTES // 8)
 
     def _plain(self, new: list[str]) -> list[bytes]:
         """Ids, as bytes, of pre-tokens in lower case."""

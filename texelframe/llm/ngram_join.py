@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from texelframe.llm.common import Memo, Words, ranges, slices, stored
+from texelframe.llm.common import Words, ranges, release, slices, stored
 from texelframe.llm.components import connected_components
 
 SHINGLE = 5
@@ -41,21 +41,10 @@ BANDS = 40
 ROWS = 4
 BITS = 2048
 TILE = 256  # members of a tile that meet in a task at once
-CACHED_WORDS = 300_000
-
-_hashes = Memo(CACHED_WORDS)
 
 
 def _word_hashes(words: pa.Array) -> np.ndarray:
-    out = np.empty(len(words), dtype=np.uint64)
-    get, put = _hashes.get, _hashes.put
-    for k, w in enumerate(words.to_pylist()):
-        h = get(w)
-        if h is None:
-            h = xxhash.xxh3_64_intdigest(w)
-            put(w, h)
-        out[k] = h
-    return out
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), dtype=np.uint64, count=len(words))
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -144,6 +133,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     [part.column("doc_id").cast(pa.int64()), pa.array(counts), pa.array(digest, pa.binary()), keys, bits, pa.array(fold(counts))],
                     names=["doc_id", "n_shingles", "digest", "keys", "bits", "fold"],
                 )
+        release()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, keys array<long>, bits array<long>, fold long")
 
@@ -180,6 +170,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                     keep.append(100 * both >= percent * (i2 - i + j2 - j - both))
                     i, j = i2, j2
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(keep))
+        release()
 
     return each.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 

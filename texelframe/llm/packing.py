@@ -7,9 +7,8 @@ level in a stack. At the end of a task the windows still open are levelled: piec
 emptiest are cut to fill the fullest, so that at most one is left over; it is dealt out
 in sequences of powers of two, which need no padding.
 
-No rows are shuffled. A task holds the open windows' piece descriptions (a few numbers per
-piece); their number is bounded by twice the window for documents of one stream, and they
-are closed in full whenever `OPEN_WINDOWS` are open.
+No rows are shuffled. A task holds the ids of the pieces in open windows, of which it closes all whenever
+these are more than `OPEN_IDS` together, and the ids of a slice of texts.
 
 Defined results: a null text is an empty one; an empty document is its end id alone; repeated
 rows and ids are packed each by themselves; an empty table gives no rows; other columns are
@@ -26,10 +25,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from texelframe.llm.common import slices
-from texelframe.llm.encoding import encoder, with_end
+from texelframe.llm.common import release, slices
+from texelframe.llm.encoding import Encoder, with_end
 
-OPEN_WINDOWS = 20_000
+OPEN_IDS = 16_000_000  # of two bytes each
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, `offset` long"
 )
@@ -41,11 +40,11 @@ class Packer:
     Closed windows are lists of pieces in `closed`, to be taken by the caller.
     """
 
-    def __init__(self, window: int, open_windows: int = OPEN_WINDOWS):
-        self.window, self.limit = window, open_windows
+    def __init__(self, window: int, open_ids: int = OPEN_IDS):
+        self.window, self.limit = window, open_ids
         self.counts = np.zeros(window + 1, dtype=np.int64)  # open windows by fill level
         self.stacks: list[list[list[tuple]]] = [[] for _ in range(window)]
-        self.n_open = 0
+        self.held = 0  # ids in open windows
         self.closed: list[list[tuple]] = []
 
     def add(self, doc: int, tokens: int) -> None:
@@ -69,7 +68,7 @@ class Packer:
         if level:
             content = self.stacks[level].pop()
             counts[level] -= 1
-            self.n_open -= 1
+            self.held -= level
             content.append(piece)
         else:
             content = [piece]
@@ -78,8 +77,8 @@ class Packer:
         else:
             self.stacks[level + size].append(content)
             counts[level + size] += 1
-            self.n_open += 1
-            if self.n_open >= self.limit:
+            self.held += level + size
+            if self.held >= self.limit:
                 self.level_out()
 
     def level_out(self) -> None:
@@ -87,7 +86,7 @@ class Packer:
         left = [(level, content) for level in range(self.window - 1, 0, -1) for content in self.stacks[level]]
         self.stacks = [[] for _ in range(self.window)]
         self.counts[:] = 0
-        self.n_open = 0
+        self.held = 0
         loose: list[tuple] = []
         k, last = 0, len(left) - 1
         while k <= last:
@@ -140,7 +139,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 4096) -> Da
         packer, sequence = Packer(window), 0
         sums: dict[int, tuple] = {}  # documents with pieces in open windows
         n_docs = 0
-        enc = encoder(tokenizer)
+        enc = Encoder(tokenizer)
 
         def emit() -> Iterator[pa.RecordBatch]:
             nonlocal sequence
@@ -185,6 +184,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 4096) -> Da
                         sums[doc] = (doc_id, n, ids.copy(), gone)
         packer.level_out()
         yield from emit()
+        del enc
+        release()
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from texelframe.llm.common import Words, slices
+from texelframe.llm.common import Words, release, slices
 
 TRAIN_DOCS = 4000
 TRAIN_LINES = 500
@@ -281,6 +281,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 p = model.probability(model.raw(part.column("text")))
                 keep = [part.column(c) for c in wanted]
                 yield pa.RecordBatch.from_arrays([*keep, pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=[*wanted, "score", "predicted"])
+        release()
 
     wanted = kept.columns
     schema = StructType([*kept.schema.fields]).add("score", "double").add("predicted", "integer")

@@ -8,8 +8,9 @@ end. Pieces are those of a public vocabulary file, which lists them by rank; the
 log-probabilities by Zipf's law of that rank, so that no tokenizer is trained. A character that is no
 piece costs one token for each of its UTF-8 bytes.
 
-The trie and the counts of its pre-tokens live in the Python worker and are started anew when they reach `MAX_NODES`,
-which changes no result. Nothing is shuffled.
+The trie is the task's own. At `MAX_NODES` it is started anew, and the counts of the pre-tokens of the last one are kept beside it,
+which changes no result. A word of more than `LONG_WORD` characters isn't put into it: the scores of its last prefixes, as many as a
+piece has characters, are enough. Nothing is shuffled.
 
 Defined results: a null, empty or blank text has no word and no token; repeated rows are
 counted each by themselves; an empty table gives no rows; other columns are ignored.
@@ -18,19 +19,19 @@ counted each by themselves; an empty table gives no rows; other columns are igno
 from __future__ import annotations
 
 import math
+from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from texelframe.llm.common import Words, slices
+from texelframe.llm.common import Words, release, slices
 
 MAX_NODES = 400_000
 UNKNOWN = 10.0  # a byte's score below that of the last piece
 WORD_MARK = "▁"
-
-_tries: dict[str, "Trie"] = {}
+LONG_WORD = 100
 
 
 def load_scores(path: str) -> dict[str, float]:
@@ -50,6 +51,7 @@ class Trie:
         self.scores, self.max_nodes = scores, max_nodes
         self.longest = max(map(len, scores), default=1)
         self.byte = min(scores.values(), default=0.0) - UNKNOWN
+        self.older: dict[str, int] = {}
         self.clear()
 
     def clear(self) -> None:
@@ -60,10 +62,34 @@ class Trie:
     def count(self, word: str) -> int:
         """Tokens of a pre-token; the word mark is put before it."""
         found = self.ends.get(word)
-        return found if found is not None else self.insert(word)
+        if found is None:
+            found = self.older.get(word)
+            if found is None:
+                return self.insert(word) if len(word) <= LONG_WORD else self.count_long(word)
+            self.ends[word] = found
+        return found
+
+    def count_long(self, word: str) -> int:
+        """The count of `insert`, from the scores of the prefixes that a piece may reach back to."""
+        text = WORD_MARK + word
+        last = deque([(0.0, 0)], maxlen=self.longest)  # best score and tokens of the last prefixes
+        for end, char in enumerate(text, 1):
+            size = len(char.encode("utf-8", "surrogatepass"))
+            top, n = last[-1][0] + size * self.byte, last[-1][1] + size
+            first = end - len(last)
+            for begin in range(first, end):
+                score = self.scores.get(text[begin:end])
+                if score is not None:
+                    above, count = last[begin - first]
+                    score += above
+                    if score > top or (score == top and count + 1 < n):
+                        top, n = score, count + 1
+            last.append((top, n))
+        return last[-1][1]
 
     def insert(self, word: str) -> int:
-        if len(self.best) >= self.max_nodes:
+        if len(self.best) >= self.max_nodes or len(self.ends) >= self.max_nodes:
+            self.older = self.ends
             self.clear()
         step, best, tokens, scores, longest = self.next, self.best, self.tokens, self.scores, self.longest
         text = WORD_MARK + word
@@ -90,17 +116,11 @@ class Trie:
         return tokens[node]
 
 
-def _trie(path: str) -> Trie:
-    if path not in _tries:
-        _tries[path] = Trie(load_scores(path))
-    return _tries[path]
-
-
 def count_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
     """(doc_id, n_words, n_tokens) of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = _trie(vocabulary)
+        trie = Trie(load_scores(vocabulary))
         for batch in batches:
             for part in slices(batch, "text"):
                 words = Words(part.column("text"))
@@ -109,5 +129,7 @@ def count_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").cast(pa.int64()), pa.array(words.counts.astype(np.int64)), pa.array(np.diff(total, prepend=0))], names=["doc_id", "n_words", "n_tokens"]
                 )
+        del trie
+        release()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_words long, n_tokens long")

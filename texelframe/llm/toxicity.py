@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from texelframe.llm.common import Words, slices
+from texelframe.llm.common import Words, release, slices
 
 TRAIN_DOCS = 8000
 MIN_TOXIC = 4  # documents of the sample that a mined word is in
@@ -284,6 +284,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
                 p = model.probability(part.column("text"))
                 keep = [part.column(c) for c in wanted]
                 yield pa.RecordBatch.from_arrays([*keep, pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=[*wanted, "score", "predicted"])
+        release()
 
     wanted = kept.columns
     schema = StructType([*kept.schema.fields]).add("score", "double").add("predicted", "integer")
