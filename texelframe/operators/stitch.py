@@ -20,7 +20,10 @@ MAX_INDEX = 2**32 - 1
 MAX_FACES = 6
 # Layers per join key: a texture with very many layers spreads over many keys.
 LAYER_BAND = 64
-GRID_BLOCK = 4096
+# Places that a word of a bitmap tells of, as the lower bits of a long.
+WORD = 32
+# Places of a file grid that are looked at together when some of them are missing.
+GRID_BLOCK = WORD * WORD
 
 
 def parse_parts(files: DataFrame, layers: bool = True, faces: bool = True, mips: bool = True) -> DataFrame:
@@ -66,9 +69,10 @@ def _parsed(files: DataFrame, layers: bool, faces: bool, mips: bool) -> DataFram
     pattern += r"_F(0|[1-9]\d*)" if faces else "()"
     pattern += r"_(M?)(0|[1-9]\d*)" if mips else "()()"
     pattern += r"\.dds$"
-    # one match per name: its groups, joined by a character no name holds
+    # one match per name: its groups, joined by a character no name holds. It stands behind a generator,
+    # for the optimizer would put a match into every expression that uses one of the groups
     groups = F.split(F.regexp_replace("file", pattern, "$1\0$2\0$3\0$4\0$5"), "\0")
-    return files.withColumn("_groups", groups).filter(F.size("_groups") == 5)
+    return files.withColumn("_groups", F.explode(F.array(groups))).filter(F.size("_groups") == 5)
 
 
 def resolve_part_names(parsed: DataFrame) -> DataFrame:
@@ -86,30 +90,50 @@ def _is_first() -> Column:
     return at_zero
 
 
+def _bit(index: str) -> str:
+    """SQL expression of the bit that an index has in its word."""
+    return f"shiftleft(1L, int({index} % {WORD}))"
+
+
+def _first_zero(bits: str) -> str:
+    """SQL expression of the place of the lowest zero in a word, WORD if it has none."""
+    return f"bit_count((({bits} + 1) & ~{bits}) - 1)"
+
+
+def _axis_words(places: DataFrame) -> DataFrame:
+    """Bitmaps of (base, axis, i) in two steps: per WORD indices, then per WORD words.
+
+    ``_end`` is the lowest index within the step's span that is absent, null if none is.
+    """
+    words = places.groupBy("base", "axis", F.expr(f"i div {WORD}").alias("_word")).agg(F.expr(f"bit_or({_bit('i')})").alias("_bits"))
+    ends = f"CASE WHEN {_first_zero('_bits')} < {WORD} THEN _word * {WORD} + {_first_zero('_bits')} END"
+    blocks = words.withColumn("_end", F.expr(ends)).groupBy("base", "axis", F.expr(f"_word div {WORD}").alias("_block")).agg(
+        F.expr(f"bit_or({_bit('_word')})").alias("_bits"), F.min("_end").alias("_end")
+    )
+    absent = f"CASE WHEN {_first_zero('_bits')} < {WORD} THEN (_block * {WORD} + {_first_zero('_bits')}) * {WORD} END"
+    return blocks.select("base", "axis", "_block", F.expr(f"least(_end, {absent})").alias("_end"))
+
+
 def stitch_extent(parts: DataFrame) -> DataFrame:
     """Files per axis: counted along the axis, others at 0, up to the first gap.
 
-    An index ends its axis when its successor is absent; the smallest such end
-    is the length. Needs no ordered pass over a texture's parts. Bases without a
+    Places become bits: the first zero ends an axis, in no order and without a join. A base's
+    blocks of WORD * WORD indices, at most a few million, meet in one row at last. Bases without a
     first file are absent (see stitch_empty).
     """
     def on_axis(axis: str) -> Column:
         others_at_zero = [F.col(o) == 0 for o in FILE_KEYS if o != axis]
-        entry = F.struct(F.lit(axis).alias("axis"), F.col(axis).alias("i"))
+        entry = F.struct(F.lit(axis).alias("axis"), F.col(axis).cast("bigint").alias("i"))
         return F.when(others_at_zero[0] & others_at_zero[1], entry)
 
-    places = (
-        parts.select("base", F.explode(F.array_compact(F.array(*map(on_axis, FILE_KEYS)))).alias("_e"))
-        .select("base", "_e.axis", "_e.i")
-        .distinct()
-    )
-    followed = places.select("base", "axis", (F.col("i") - 1).alias("i"))
-    ends = places.join(followed, ["base", "axis", "i"], "left_anti")
-    lengths = [
-        (F.min(F.when(F.col("axis") == axis, F.col("i"))) + 1).alias(axis + "s") for axis in FILE_KEYS
-    ]
-    first = parts.filter(_is_first()).select("base")
-    return ends.groupBy("base").agg(*lengths).join(first, "base", "left_semi")
+    places = parts.select("base", F.explode(F.array_compact(F.array(*map(on_axis, FILE_KEYS)))).alias("_e")).select("base", "_e.axis", "_e.i")
+    span = WORD * WORD
+    # blocks are a gapless run from 0 on nearly always; else the first absent one is looked for
+    after = "CASE WHEN count(*) = max(_block) + 1 THEN max(_block) + 1 ELSE array_min(array_except(sequence(0L, max(_block) + 1), collect_set(_block))) END"
+    axes = _axis_words(places).groupBy("base", "axis").agg(F.expr(f"least(min(_end), {span} * ({after}))").alias("n"))
+    lengths = [F.max(F.when(F.col("axis") == axis, F.col("n"))).alias(axis + "s") for axis in FILE_KEYS]
+    # every axis of a base with a first file has index 0
+    return axes.groupBy("base").agg(*lengths).filter(" AND ".join(f"{axis}s > 0" for axis in FILE_KEYS))
 
 
 def _first_files(parts: DataFrame) -> DataFrame:
@@ -142,38 +166,52 @@ def stitch_empty(bases: DataFrame, parts: DataFrame) -> DataFrame:
     return bases.select("base").distinct().join(first, "base", "left_anti")
 
 
+EXTENTS = ("layer_files", "face_files", "mip_files")
+GRID_SIZE = "layer_files * face_files * mip_files"
+GRID_CELL = "(layer_file * face_files + face_file) * mip_files + mip_file"
+
+
+def _grid_words(placed: DataFrame, *aggregates: Column) -> DataFrame:
+    """Bitmaps of the places of each base's file grid that some file fills, in words, with other aggregates of their files."""
+    cell = placed.withColumn("_cell", F.expr(GRID_CELL))
+    return cell.groupBy("base", *EXTENTS, F.expr(f"_cell div {WORD}").alias("_word")).agg(
+        F.expr(f"bit_or({_bit('_cell')})").alias("_bits"), *aggregates
+    )
+
+
 def stitch_missing(parts: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """Places of the layer x face x mip file grid that no file fills.
 
-    Bases whose file count is complete are settled by the count; only the others'
-    grids are laid out, in blocks of bounded length spread over tasks.
+    Files become bits, and the words of GRID_BLOCK places meet with the block they should fill, of which
+    only the extents know. Blocks that are full are settled by counting bits; the zeros of others are
+    the result. No grid is laid out beside that, nothing is joined to it.
     """
-    placed = _with_first(parts, firsts).select("base", *FILE_KEYS, "layer_files", "face_files", "mip_files").distinct()
-    size = F.col("layer_files").cast("bigint") * F.col("face_files") * F.col("mip_files")
-    extents = ["layer_files", "face_files", "mip_files"]
-    short = placed.groupBy("base", *extents).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") < size)
-    last = F.least(size, (F.col("_block") + 1) * GRID_BLOCK) - 1
-    blocks = short.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((size - 1) / GRID_BLOCK))))
-    cells = blocks.repartition("base", "_block").withColumn(
-        "_cell", F.explode(F.sequence(F.col("_block") * GRID_BLOCK, last))
+    firsts = _first_files(parts) if firsts is None else firsts
+    words = _grid_words(_with_first(parts, firsts))
+    held = words.select(
+        "base", *EXTENTS, F.expr(f"_word div {WORD}").alias("_block"),
+        F.expr(f"struct(_word % {WORD} AS slot, _bits AS bits)").alias("_held"), F.expr("bit_count(_bits)").alias("_n"),
+    )
+    whole = firsts.select(
+        "base", *EXTENTS, F.expr(f"explode(sequence(0L, ({GRID_SIZE} - 1) div {GRID_BLOCK}))").alias("_block"),
+        F.lit(None).cast(held.schema["_held"].dataType).alias("_held"), F.lit(0).alias("_n"),
     )
-    grid = cells.select(
+    blocks = held.unionByName(whole).groupBy("base", *EXTENTS, "_block").agg(F.collect_list("_held").alias("_held"), F.sum("_n").alias("_n"))
+    last = f"least({GRID_SIZE}, (_block + 1) * {GRID_BLOCK}) - 1"
+    short = blocks.filter(F.expr(f"_n < {last} - _block * {GRID_BLOCK} + 1")).withColumn("_words", F.map_from_entries("_held"))
+    bits = f"coalesce(element_at(_words, c div {WORD} % {WORD}), 0L)"
+    zeros = f"filter(sequence(_block * {GRID_BLOCK}, {last}), c -> {bits} & shiftleft(1L, int(c % {WORD})) = 0)"
+    cells = short.select("base", *EXTENTS, F.expr(f"explode({zeros})").alias("_cell"))
+    return cells.select(
         "base",
-        F.floor(F.col("_cell") / (F.col("face_files") * F.col("mip_files"))).alias("layer_file"),
-        F.floor(F.col("_cell") / F.col("mip_files") % F.col("face_files")).alias("face_file"),
-        (F.col("_cell") % F.col("mip_files")).alias("mip_file"),
+        F.expr("_cell div (face_files * mip_files)").alias("layer_file"),
+        F.expr("_cell div mip_files % face_files").alias("face_file"),
+        F.expr("_cell % mip_files").alias("mip_file"),
     )
-    return grid.join(placed.select("base", *FILE_KEYS), ["base", *FILE_KEYS], "left_anti")
 
 
-def stitch_errors(parts: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
-    """Files that disagree with the first file of their base, one row per fault.
-
-    Compared are the size expected at the file's first mip, the part counts, the
-    format, the alpha mode and the colour transform. Dimension, normal flag and
-    user version may differ.
-    """
-    files = _with_first(parts, firsts).filter((F.col("layer") == 0) & (F.col("face") == 0) & (F.col("mip") == 0))
+def _checks() -> dict[str, tuple[Column, Column]]:
+    """What a file has to share with the first one of its base: for each fault, whether it is there, and the file's own value."""
     first_mip = F.col("first_n_mips").cast("bigint") * F.col("mip_file")
 
     def differs(*pairs) -> Column:
@@ -190,20 +228,33 @@ def stitch_errors(parts: DataFrame, firsts: DataFrame | None = None) -> DataFram
     }
     for field in ("format", "alpha_mode", "color_transform"):
         checks[field] = (differs((F.col(field), F.col(f"first_{field}"))), F.col(field))
+    return checks
+
+
+def _is_checked() -> Column:
+    """Whether a part stands for its file, and the file isn't the first of its base."""
+    return (F.col("layer") == 0) & (F.col("face") == 0) & (F.col("mip") == 0) & ~_is_first()
+
+
+def stitch_errors(parts: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
+    """Files that disagree with the first file of their base, one row per fault.
+
+    Compared are the size expected at the file's first mip, the part counts, the
+    format, the alpha mode and the colour transform. Dimension, normal flag and
+    user version may differ.
+    """
     faults = [
         F.when(wrong, F.struct(F.lit(code).alias("code"), detail.alias("detail")))
-        for code, (wrong, detail) in checks.items()
+        for code, (wrong, detail) in _checks().items()
     ]
     return (
-        files.filter(~_is_first())
+        _with_first(parts, firsts).filter(_is_checked())
         .withColumn("_fault", F.explode(F.array_compact(F.array(*faults))))
         .select("base", "file", *FILE_KEYS, "_fault.*")
     )
 
 
-def stitch_limits(parts: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
-    """Bases whose joined texture would exceed an index or face limit."""
-    firsts = _first_files(parts) if firsts is None else firsts
+def _limit_faults() -> list[Column]:
     totals = {
         axis: F.col(f"first_n_{axis}s").cast("bigint") * F.col(f"{axis}_files") for axis in ("layer", "face", "mip")
     }
@@ -212,8 +263,13 @@ def stitch_limits(parts: DataFrame, firsts: DataFrame | None = None) -> DataFram
         for axis, total in totals.items()
     ]
     too_many = (totals["face"] > MAX_FACES) & (totals["face"] <= MAX_INDEX)
-    faults.append(F.when(too_many, F.struct(F.lit("too_many_faces").alias("code"), totals["face"].alias("total"))))
-    return firsts.withColumn("_fault", F.explode(F.array_compact(F.array(*faults)))).select("base", "_fault.*")
+    return [*faults, F.when(too_many, F.struct(F.lit("too_many_faces").alias("code"), totals["face"].alias("total")))]
+
+
+def stitch_limits(parts: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
+    """Bases whose joined texture would exceed an index or face limit."""
+    firsts = _first_files(parts) if firsts is None else firsts
+    return firsts.withColumn("_fault", F.explode(F.array_compact(F.array(*_limit_faults())))).select("base", "_fault.*")
 
 
 def cube_flags(faces: Column, positive_x: int, strict: bool = False) -> Column:
@@ -227,13 +283,15 @@ def cube_flags(faces: Column, positive_x: int, strict: bool = False) -> Column:
 
 def stitch(parts: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """Subresources of the joined textures, under their global indices."""
-    joined = _with_first(parts, firsts)
-    placed = {
+    return _placed(_with_first(parts, firsts))
+
+
+def _placed(joined: DataFrame) -> DataFrame:
+    places = {
         axis: F.col(f"first_n_{axis}s").cast("bigint") * F.col(f"{axis}_file") + F.col(axis)
         for axis in ("layer", "face", "mip")
     }
-    drop = [f"first_{h}" for h in HEADER] + ["layer_files", "face_files", "mip_files"]
-    return joined.withColumns(placed).drop(*drop)
+    return joined.withColumns(places).drop(*[f"first_{h}" for h in HEADER], *EXTENTS)
 
 
 def first_files(parts: DataFrame) -> DataFrame:
@@ -256,7 +314,17 @@ def stitch_faults(parts: DataFrame, firsts: DataFrame | None = None) -> DataFram
 
 
 def stitch_clean(parts: DataFrame) -> DataFrame:
-    """Joined textures of the bases without any fault."""
-    firsts = first_files(parts)
-    bad = stitch_faults(parts, firsts).select("base").distinct()
-    return stitch(parts, firsts).join(bad, "base", "left_anti")
+    """Joined textures of the bases without any fault.
+
+    One join of the parts to their first files serves the checks and the result. Checks only need to
+    know whether there is a fault: the bits of a base's grid are counted, and its files' faults or-ed.
+    """
+    joined = _with_first(parts, _first_files(parts))
+    wrong = F.lit(False)
+    for fault, _ in _checks().values():
+        wrong = wrong | fault
+    limits = F.array_compact(F.array(*_limit_faults()))
+    words = _grid_words(joined, F.bool_or((_is_checked() & wrong) | (F.size(limits) > 0)).alias("_wrong"))
+    bases = words.groupBy("base", *EXTENTS).agg(F.sum(F.expr("bit_count(_bits)")).alias("_n"), F.bool_or("_wrong").alias("_wrong"))
+    clean = bases.filter(F.expr(f"_n = {GRID_SIZE} AND NOT _wrong")).select("base")
+    return _placed(joined.join(clean, "base", "left_semi"))
