@@ -8,7 +8,7 @@ documents hold. A term's smoothed share in a group of documents is
 (N: the group's occurrences of kept terms, V: their number), and two shares of a term differ by
 f = floor((p - q)^2 / (p + q)). Everything is whole-number arithmetic.
 
-1. Occurrences and documents are counted within slices of texts and summed by (language, source, term).
+1. Occurrences and documents are tallied by each task, whose tallies are summed by (language, source, term).
 2. Kept terms are dealt by hash to blocks of about `BLOCK` terms, fewer where a language has very many sources, so that no
    task holds more than about `CELLS` counts.
 3. Within a block each source's counts, in the order of terms, are the leaves of a segment tree. Trees are hash-consed:
@@ -43,43 +43,77 @@ SMOOTH = 2
 BLOCK = 4096
 CELLS = 2_000_000
 TILE = 64
+TALLY = 600_000
+BATCH = 50_000
 
 NO_TERM = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 
 
-def _sums(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct keys and the sums of their values."""
-    distinct, inverse = np.unique(keys, return_inverse=True)
-    return distinct, *(np.bincount(inverse, weights=v, minlength=len(distinct)).astype(np.int64) for v in values)
+class Tally:
+    """Occurrences, and documents, of terms in groups, of the slices of a task so far.
 
+    It is emptied when it holds `TALLY` rows, or as many terms or groups.
+    """
 
-def count_terms(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs): occurrences of each term, and the documents that hold it."""
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.groups: dict[tuple[str, str], int] = {}
+        self.terms: dict[str, int] = {}
+        self.key = self.n = self.docs = np.zeros(0, dtype=np.int64)
+
+    def full(self) -> bool:
+        return max(len(self.key), len(self.terms), len(self.groups)) >= TALLY
+
+    def add(self, part: pa.RecordBatch) -> None:
+        words = Words(pc.ascii_lower(pc.replace_substring_regex(part.column("text"), NO_TERM, " ")))
+        n_words = max(1, len(words.distinct))
+        in_doc, n = np.unique(words.rows() * n_words + words.codes, return_counts=True)
+        names = zip(part.column("lang").to_pylist(), part.column("source").to_pylist())
+        group = np.array([self.groups.setdefault(g, len(self.groups)) for g in names], dtype=np.int64)
+        term = np.array([self.terms.setdefault(t, len(self.terms)) for t in words.distinct.to_pylist()], dtype=np.int64)
+        key = np.concatenate([self.key, (group[in_doc // n_words] << 32) + term[in_doc % n_words] if len(in_doc) else in_doc])
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
+        add = lambda old, new: np.add.reduceat(np.concatenate([old, new])[order], starts) if len(starts) else old
+        self.n, self.docs, self.key = add(self.n, n), add(self.docs, np.ones_like(n)), key[starts]
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """What is held, which is then forgotten."""
+        lang, source = ([g[k] for g in self.groups] for k in (0, 1))
+        terms = pa.array(list(self.terms), pa.string())
+        for at in range(0, len(self.key), BATCH):
+            some = slice(at, at + BATCH)
+            group, term = pa.array(self.key[some] >> 32), pa.array(self.key[some] & 0xFFFFFFFF)
+            columns = [pa.array(lang, pa.string()).take(group), pa.array(source, pa.string()).take(group), terms.take(term)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(self.n[some]), pa.array(self.docs[some])], names=["lang", "source", "term", "n", "docs"])
+        self.clear()
+
+
+def kept_terms(docs: DataFrame, min_docs: int) -> DataFrame:
+    """(lang, source, term, n, lang_n): occurrences of each term that enough documents of its language hold.
+
+    Tallies go to their term's task, which sums them by source, then over the term's sources: one exchange.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = Tally()
         for batch in batches:
             for part in slices(batch, "text"):
-                words = Words(pc.ascii_lower(pc.replace_substring_regex(part.column("text"), NO_TERM, " ")))
-                n_words = max(1, len(words.distinct))
-                lang, source = (pc.dictionary_encode(part.column(c)) for c in ("lang", "source"))
-                of = lang.indices.to_numpy().astype(np.int64) * len(source.dictionary) + source.indices.to_numpy()
-                in_doc, n = np.unique(words.rows() * n_words + words.codes, return_counts=True)
-                keys, n, docs = _sums(of[in_doc // n_words] * n_words + in_doc % n_words, n, np.ones(len(in_doc)))
-                group = keys // n_words
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        lang.dictionary.take(pa.array(group // len(source.dictionary))),
-                        source.dictionary.take(pa.array(group % len(source.dictionary))),
-                        words.distinct.take(pa.array(keys % n_words)).cast(pa.string()),
-                        pa.array(n),
-                        pa.array(docs),
-                    ],
-                    names=["lang", "source", "term", "n", "docs"],
-                )
+                tally.add(part)
+                if tally.full():
+                    yield from tally.rows()
+        yield from tally.rows()
+        del tally
         release()
 
     found = docs.select("lang", "source", "text").mapInArrow(run, "lang string, source string, term string, n long, docs long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    counts = found.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    of_term = Window.partitionBy("lang", "term")
+    all_sources = counts.withColumns({"docs": F.sum("docs").over(of_term), "lang_n": F.sum("n").over(of_term)})
+    return all_sources.filter(F.col("docs") >= min_docs).drop("docs")
 
 
 def shares(counts: np.ndarray, total: int, n_terms: int) -> np.ndarray:
@@ -176,9 +210,7 @@ def _block(terms: pa.Table, groups: pa.Table) -> pa.Table:
 def audit(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(lang, source, part, item, value, rank): every other source of the language, and the terms most in excess."""
     docs = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")))
-    counts = stored(count_terms(docs))
-    kept = counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n")).filter(F.col("docs") >= min_docs)
-    used = stored(counts.select("lang", "source", "term", "n").join(kept.drop("docs"), ["lang", "term"]))
+    used = stored(kept_terms(docs, min_docs))
     langs = used.groupBy("lang", "term").agg(F.first("lang_n").alias("lang_n")).groupBy("lang")
     langs = langs.agg(F.count(F.lit(1)).alias("n_terms"), F.sum("lang_n").alias("lang_total"))
     totals = used.groupBy("lang", "source").agg(F.sum("n").alias("total"))
