@@ -92,6 +92,44 @@ def test_extent_ends_at_first_gap(spark):
     assert stitch.stitch(grid(spark, places)).count() == 2
 
 
+@pytest.mark.parametrize("n, gone", [(1, []), (31, []), (32, []), (33, []), (70, [31]), (70, [32]), (70, [63, 64]), (1024, []), (1025, [1024]), (3000, [1023]),
+                                     (3000, [1024]), (3000, range(32, 64)), (5000, range(1024, 2048)), (5000, range(1024, 3072)), (2500, [0])])
+def test_an_axis_ends_at_its_first_zero(spark, n, gone):
+    places = [("t", i, 0, 0) for i in range(n) if i not in gone] + [("u", 0, 0, i) for i in range(n) if i not in gone]
+    want = min(gone, default=n)
+    got = {r.base: (r.layer_files, r.face_files, r.mip_files) for r in stitch.stitch_extent(grid(spark, places)).collect()}
+    assert got == ({"t": (want, 1, 1), "u": (1, 1, want)} if want else {})
+
+
+def test_missing_places_of_large_grids(spark):
+    """Zeros in words, whole words, whole blocks and the last, shorter block; faces and mips beside layers."""
+    gone = {(5, 1, 0), (699, 2, 1), (699, 1, 1)} | {(k, f, m) for k in range(300, 650) for f in range(3) for m in (0, 1) if (f, m) != (0, 0)}
+    places = [("t", k, f, m) for k in range(700) for f in range(3) for m in (0, 1) if (k, f, m) not in gone]
+    places += [("whole", k, 0, m) for k in range(40) for m in range(40)] + [("twice", 0, 0, 0), ("twice", 0, 0, 0), ("twice", 0, 1, 0), ("twice", 1, 0, 0)]
+    rows = stitch.stitch_missing(grid(spark, places)).collect()
+    assert len(rows) == len(gone) + 1
+    assert {(r.layer_file, r.face_file, r.mip_file) for r in rows if r.base == "t"} == gone
+    assert [(r.layer_file, r.face_file, r.mip_file) for r in rows if r.base == "twice"] == [(1, 1, 0)]
+    assert {r.base for r in stitch.stitch_clean(grid(spark, places)).collect()} == {"whole"}
+
+
+def test_clean_bases_are_those_without_a_fault_row(spark):
+    rng = np.random.default_rng(3)
+    parts = None
+    for k in range(25):
+        places = [(f"b{k}", x, y, z) for x in range(3) for y in range(2) for z in range(2) if rng.random() > 0.02]
+        header = [{}, {}, {"format": "bc1"}, {"n_faces": 4}][k % 4]
+        more = grid(spark, places, **({} if k % 4 == 2 else header))
+        if k % 4 == 2:  # one file of another format
+            more = more.withColumn("format", F.when((F.col("layer_file") == 1) & (F.col("mip_file") == k % 3), "bc1").otherwise("bc7"))
+        parts = more if parts is None else parts.unionByName(more)
+    parts = parts.cache()
+    faulty = {r.base for r in stitch.stitch_faults(parts).collect()}
+    every = {r.base for r in stitch.stitch_extent(parts).collect()}
+    assert faulty and every - faulty
+    assert {r.base for r in stitch.stitch_clean(parts).collect()} == every - faulty
+
+
 def test_one_base_with_very_many_layers(spark):
     """Bands, grid blocks and the missing report over a single huge base."""
     n = 10_000

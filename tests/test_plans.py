@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from texelframe.operators import metrics, pairs, resample, samples, stencil, tiles
+from texelframe.operators import metrics, pairs, resample, samples, stencil, stitch, tiles
 from texelframe.plans import pyramid as pyramids
 from texelframe.sources import tables
 from workload import fixtures as fx
@@ -108,6 +108,28 @@ def test_kernel_code_stays_below_the_compile_limit(spark, sized):
     assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
 
 
+def test_part_names_are_matched_once(spark, folder):
+    parsed = stitch.parse_parts(fx.parts(spark, folder).select("file"))
+    assert plan(parsed).count("regexp_replace") == 1
+    assert plan(stitch.part_name_errors(fx.parts(spark, folder).select("file"))).count("regexp_replace") == 1
+
+
+def test_stitch_moves_words_and_joins_once(spark, folder):
+    """Parts are exchanged for their words, for first files, and for one join with them; all else is smaller."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = fx.file_parts(spark, folder)
+        # words, blocks, bases
+        assert exchanges(stitch.stitch_extent(parts)) == 3
+        # and first files, parts and first files by band
+        assert exchanges(stitch.stitch_errors(parts)) == 6
+        for df in (stitch.stitch_extent(parts), stitch.stitch_errors(parts), stitch.stitch_missing(parts), stitch.stitch_clean(parts)):
+            assert "Python" not in plan(df) and "LeftAnti" not in plan(df)
+        assert plan(stitch.stitch_missing(parts)).count("SortMergeJoin") == 3  # extents and firsts, and theirs with parts
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_catalogue_reads_only_its_columns(spark, folder):
     text = plan(tables.catalog_summary(fx.textures(spark, folder)))
     assert "ReadSchema: struct<p_partkey:bigint,p_size:int>" in text

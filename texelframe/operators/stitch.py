@@ -128,12 +128,16 @@ def stitch_extent(parts: DataFrame) -> DataFrame:
 
     places = parts.select("base", F.explode(F.array_compact(F.array(*map(on_axis, FILE_KEYS)))).alias("_e")).select("base", "_e.axis", "_e.i")
     span = WORD * WORD
-    # blocks are a gapless run from 0 on nearly always; else the first absent one is looked for
-    after = "CASE WHEN count(*) = max(_block) + 1 THEN max(_block) + 1 ELSE array_min(array_except(sequence(0L, max(_block) + 1), collect_set(_block))) END"
-    axes = _axis_words(places).groupBy("base", "axis").agg(F.expr(f"least(min(_end), {span} * ({after}))").alias("n"))
-    lengths = [F.max(F.when(F.col("axis") == axis, F.col("n"))).alias(axis + "s") for axis in FILE_KEYS]
+
+    def length(axis: str) -> Column:
+        of = f"FILTER (WHERE axis = '{axis}')"
+        after = f"max(_block) {of} + 1"
+        # blocks are a gapless run from 0 on nearly always; else the first absent one is looked for
+        gap = f"array_min(array_except(sequence(0L, {after}), collect_set(_block) {of}))"
+        return F.expr(f"least(min(_end) {of}, {span} * (CASE WHEN count(*) {of} = {after} THEN {after} ELSE {gap} END))").alias(axis + "s")
+
     # every axis of a base with a first file has index 0
-    return axes.groupBy("base").agg(*lengths).filter(" AND ".join(f"{axis}s > 0" for axis in FILE_KEYS))
+    return _axis_words(places).groupBy("base").agg(*map(length, FILE_KEYS)).filter(" AND ".join(f"{axis}s > 0" for axis in FILE_KEYS))
 
 
 def _first_files(parts: DataFrame) -> DataFrame:
