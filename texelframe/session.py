@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators are tuned for. Partition counts are left to the
@@ -11,8 +13,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # drop checkpoint files once nothing refers to them
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -37,9 +37,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write df to reliable storage once and go on from there."""
+    """df written once, as a Parquet table in the shared folder, and read from there.
+
+    Unlike a checkpoint this runs df once only, and readers get the columns and rows they ask for. The
+    session's tables are removed when it ends.
+    """
     spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    folder = f"{shared_folder(spark)}/stored-{spark.sparkContext.applicationId}"
+    path = f"{folder}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    of_session = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    of_session.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(of_session)
+    return spark.read.schema(df.schema).parquet(path)
