@@ -39,6 +39,74 @@ def test_format_that_adds_its_own_multiplier_keeps_alpha(spark):
     assert to_array(levels, "a") == pytest.approx(np.floor(array[..., 3:] * 255 + 0.5) / 255)
 
 
+def two_levels(spark, size=8):
+    base = image(spark, random_image(size, size), sized=True).withColumn("mip", F.lit(0))
+    stored = image(spark, np.full((size // 2, size // 2, 4), 0.9), sized=True).withColumn("mip", F.lit(1))
+    return base.unionByName(stored)
+
+
+def level(df, mip, channel="r"):
+    return to_array(df.filter(F.col("mip") == mip), channel)
+
+
+def test_stored_levels_are_kept_unless_the_image_changes(spark):
+    df = two_levels(spark)
+    kept = convert.convert(df, "bc6")
+    assert level(kept, 1) == pytest.approx(0.9) and level(kept, 2) == pytest.approx(0.9)
+    again = convert.convert(df, "bc6", reuse_levels=False)
+    assert abs(level(again, 1) - 0.9).max() > 0.05
+    for changed in ({"rgbm": True}, {"format": "bc3_rgbm"}, {"to_normal": True}):
+        made = convert.convert(df, **{"format": "bc6", **changed})
+        assert {r.mip for r in made.select("mip").distinct().collect()} == {0, 1, 2, 3}
+        assert level(made, 1).std() > 0
+        with pytest.raises(ValueError):
+            convert.convert(df, reuse_levels=True, **changed)
+    # without sizes in the table as well
+    assert level(convert.convert(df.drop("width", "height"), "bc6"), 2) == pytest.approx(0.9)
+
+
+def test_dithering_outside_bc1a_and_bc2_needs_alpha(spark):
+    df = image(spark, random_image(8, 8))
+    alpha = lambda *a, **k: to_array(convert.quantize_for_format(df, *a, alpha_dithering=True, **k), "a")
+    plain = to_array(convert.quantize_for_format(df, "bc7"), "a")
+    assert (alpha("bc7") == plain).all() and (alpha("bc7", alpha=False) == plain).all()
+    assert (alpha("bc7", alpha=True, alpha_bits=2) * 3 == pytest.approx(np.round(alpha("bc7", alpha=True, alpha_bits=2) * 3)))
+    assert set(alpha("bc1a").ravel()) == {0.0, 1.0} and (alpha("bc1a") != to_array(convert.quantize_for_format(df, "bc1a"), "a")).any()
+    with pytest.raises(ValueError):
+        convert.quantize_for_format(df, "bc7", alpha_bits=9)
+
+
+def test_a_mixed_job_gives_what_each_format_alone_gives(spark):
+    formats = ["bc7", "bc1a", "bc2", "bc4s", "bc6", "lumi", "bc3_rgbm", "rgb"]
+    df, rows = None, []
+    for k, name in enumerate(formats):
+        one = two_levels(spark, 8).withColumn("texture_id", F.lit(k).cast("long"))
+        df = one if df is None else df.unionByName(one)
+        rows.append((k, 8, 8, name, True, True, False))
+    rows += [(50, 8, 8, "rgb", True, True, True), (60, 8, 8, "what", True, True, False), (61, 8, 8, None, True, True, False), (62, 0, 8, "bc7", True, True, False)]
+    for k in (50, 60, 77):
+        df = df.unionByName(two_levels(spark, 8).withColumn("texture_id", F.lit(k).cast("long")))
+    textures = spark.createDataFrame(rows, "texture_id long, width int, height int, format string, alpha boolean, alpha_dithering boolean, rgbm boolean")
+    mixed = convert.convert_mixed(df, textures, max_mips=3).cache()
+    assert {r.texture_id for r in mixed.select("texture_id").distinct().collect()} == {*range(8), 50}
+    for k, name in [*enumerate(formats), (50, "rgb")]:
+        own = df.filter(F.col("texture_id") == k)
+        alone = convert.convert(own, name, max_mips=3, alpha_dithering=True, alpha=True, rgbm=k == 50, rangescale=k in (6, 50))
+        for mip in range(3):
+            for c in "r" if name == "lumi" else "rgba":
+                assert level(mixed.filter(F.col("texture_id") == k), mip, c) == pytest.approx(level(alone, mip, c)), (name, mip, c)
+    assert mixed.filter("texture_id = 5 AND (g IS NOT NULL OR b IS NOT NULL OR a IS NOT NULL)").count() == 0
+    faults = {(r.texture_id, r.code) for r in convert.conversion_faults(df, textures).collect()}
+    assert faults == {(60, "format"), (61, "format"), (62, "size"), (77, "texture")}
+
+
+def test_plans_settle_alpha(spark):
+    rows = [(1, "bc7", "straight", None), (2, "bc7", "straight", True), (3, "bc7", "straight", False), (4, "bc6", "straight", True)]
+    textures = spark.createDataFrame(rows, "texture_id long, format string, alpha_mode string, alpha boolean").withColumns({"width": F.lit(4), "height": F.lit(4)})
+    plan = {r.texture_id: r.alpha_mode for r in convert.plan_conversion(textures).collect()}
+    assert plan == {1: "straight", 2: "transparency", 3: "none", 4: "none"}
+
+
 def test_named_rgbm_images_compare_as_equal(spark):
     """Decoding what the name announces brings an encoded image back to the reference."""
     array = random_image(6, 5) * 0.9 + 0.1

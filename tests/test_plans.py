@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from texelframe.operators import metrics, pairs, resample, samples, stencil, stitch, tiles
+from texelframe.plans import convert
 from texelframe.plans import pyramid as pyramids
 from texelframe.sources import tables
 from workload import fixtures as fx
@@ -108,6 +109,20 @@ def test_kernel_code_stays_below_the_compile_limit(spark, sized):
     assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) < 8000
 
 
+def test_a_mixed_conversion_is_one_plan_without_python(spark, folder):
+    """Formats are a CASE in generated code; one format's literal leaves nothing of the others."""
+    mixed = convert.convert_mixed(fx.px(spark, folder), fx.px_textures(spark, folder))
+    assert "Python" not in plan(mixed) and "Cartesian" not in plan(mixed)
+    source = plan(fx.px(spark, folder)).count("CASE WHEN")
+    assert plan(convert.quantize_for_format(fx.px(spark, folder), "bc7")).count("CASE WHEN") == source
+
+
+def test_what_is_made_of_an_image_is_made_once(spark, folder):
+    """The levels of a changed image read a stored table, not the changes above it."""
+    out = convert.convert(fx.px(spark, folder), rgbm=True, rangescale=True)
+    assert "events.parquet" not in plan(out) and "stored-" in plan(out)
+
+
 def test_part_names_are_matched_once(spark, folder):
     parsed = stitch.parse_parts(fx.parts(spark, folder).select("file"))
     assert plan(parsed).count("regexp_replace") == 1

@@ -39,9 +39,28 @@ def above_threshold(c: Column, threshold: int) -> Column:
     return F.when(F.floor(clamp(c) * 255 + 0.5) > threshold, 1.0).otherwise(0.0)
 
 
-def ordered_dither(c: Column, x: Column, y: Column, bits: int) -> Column:
-    """Round to ``bits`` bits with a position-dependent threshold."""
-    steps = 2 ** check_bits(bits, high=8) - 1
+def ordered_dither(c: Column, x: Column, y: Column, bits: int | Column) -> Column:
+    """Round to ``bits`` bits with a position-dependent threshold. A column of bits has to hold 1 to 8."""
+    steps = F.pow(F.lit(2.0), bits) - 1 if isinstance(bits, Column) else 2 ** check_bits(bits, high=8) - 1
     cell = (y % 4) * 4 + x % 4 + 1
     threshold = F.element_at(F.array(*[F.lit(t / 16) for t in BAYER_4X4]), cell.cast("int"))
     return F.floor(clamp(c) * steps + threshold) / steps
+
+
+# How a format stores channels. Colour and alpha are unsigned fractions of 8 bits, if nothing else is said.
+PLAIN, SIGNED, FLOAT, ONE_BIT_ALPHA, RED_ONLY = range(5)
+KIND_SHIFT = 16  # a storage code is a kind times this, plus the bits that alpha is dithered to, 0 for no dithering
+
+
+def stored_colour(c: Column, storage: Column, is_red: bool) -> Column:
+    """A colour channel as images of that storage code hold it; null where they don't."""
+    kind = F.floor(storage / KIND_SHIFT)
+    other = F.lit(None) if not is_red else unorm(c, 8)
+    return F.when(kind == FLOAT, c).when(kind == SIGNED, snorm(c, 8)).when(kind == RED_ONLY, other).otherwise(unorm(c, 8))
+
+
+def stored_alpha(c: Column, x: Column, y: Column, storage: Column) -> Column:
+    kind, bits = F.floor(storage / KIND_SHIFT), storage % KIND_SHIFT
+    plain = F.when(kind == ONE_BIT_ALPHA, above_threshold(c, 127)).otherwise(unorm(c, 8))
+    fraction = F.when(bits > 0, ordered_dither(c, x, y, bits)).otherwise(plain)
+    return F.when(kind == FLOAT, c).when(kind == SIGNED, snorm(c, 8)).when(kind == RED_ONLY, F.lit(None)).otherwise(fraction)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from texelframe.operators.placement import Span, explode_span, place_by_tile, virtual_positions, within_tile
-from texelframe.schema import channels, int_div, plane_keys, with_size
+from texelframe.schema import carried, channels, int_div, plane_keys, with_size
 
 # Half-widths in output samples, Mitchell's B and C, and the
 # Kaiser window's alpha and stretch.
@@ -69,8 +69,8 @@ def kernel(u: str, square: str, name: str) -> str:
 
 def _sized_keys(df: DataFrame) -> list[str]:
     """Plane keys plus the sizes, which are constant per image and ride along."""
-    carried = [c for c in ("n_mips",) if c in df.columns]
-    return plane_keys(df) + ["width", "height", "out_w", "out_h", *carried]
+    counted = [c for c in ("n_mips",) if c in df.columns]
+    return plane_keys(df) + ["width", "height", "out_w", "out_h", *counted, *carried(df)]
 
 
 def _finish(df: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from texelframe.operators import samples
 from texelframe.operators.placement import TILE, colocate_tiles
 from texelframe.operators.resample import next_mip
 from texelframe.schema import (
-    channels, has_size, image_keys, image_sizes, image_stats, int_div, join_image_stats, plane_keys,
+    carried, channels, has_size, image_keys, image_sizes, image_stats, int_div, join_image_stats, plane_keys, with_size,
 )
 from texelframe.session import cut_lineage
 
@@ -49,7 +49,7 @@ def _nested_levels(base: DataFrame, name: str, deepest: int) -> DataFrame:
     """
     combine = NESTING[name]
     names = channels(base)
-    keys = [*plane_keys(base), "width", "height", "n_mips"]
+    keys = [*plane_keys(base), "width", "height", "n_mips", *carried(base)]
 
     def fold(rows: DataFrame, *extra: str) -> DataFrame:
         return rows.groupBy(*keys, *extra, "y", "x").agg(*[combine(c).alias(c) for c in names])
@@ -140,7 +140,7 @@ def _pyramid(
         # worked out once, then read by the probe and by every use of the base
         sizes = cut_lineage(image_sizes(df))
         sized = join_image_stats(df, sizes)
-    base = sized.select(*plane_keys(df), "width", "height", count, "y", "x", *channels(df))
+    base = sized.select(*plane_keys(df), "width", "height", count, *carried(df), "y", "x", *channels(df))
     start = to_state(base) if to_state else base
     levels = levels_below(start, sizes.select("width", "height", "mip", count), name, wrap, each_level)
     if levels is None:
@@ -211,6 +211,7 @@ def pyramid_from_source(
     """
     gamma = gamma and not normal
     each = samples.normalize_normals if normal and renormalize else None
+    df = with_size(df)
     faces = [k for k in image_keys(df) if k != "mip"]
     at_base = F.col("mip") == 0
     mips = F.collect_set("mip")
@@ -232,7 +233,7 @@ def pyramid_from_source(
         last_mip.alias("mip"), "n_mips",
     )
     stored = join_image_stats(df, per_face, faces)
-    columns = [*plane_keys(df), "width", "height", "n_mips", "y", "x", *channels(df)]
+    columns = [*plane_keys(df), "width", "height", "n_mips", *carried(df), "y", "x", *channels(df)]
     kept = stored.filter((F.col("mip") < F.col("_gap")) & (F.col("mip") < F.col("n_mips"))).select(*columns)
     last = stored.filter(F.col("mip") == last_mip).select(*columns)
     start = samples.to_linear_from_srgb_unclamped(last) if gamma else last

@@ -17,6 +17,9 @@ PIXELS = T.StructType(
     + [T.StructField(c, T.DoubleType()) for c in CHANNELS]
 )
 
+# Columns that are constant per image and ride along through levels where a table has them.
+CARRIED = ("storage",)
+
 # Rows of one image whose y falls into the same band share a join key, so a
 # huge image spreads over as many keys as it has bands.
 BAND_ROWS = 16
@@ -32,6 +35,10 @@ def plane_keys(df: DataFrame) -> list[str]:
     return image_keys(df) + [k for k in ("z",) if k in df.columns]
 
 
+def carried(df: DataFrame) -> list[str]:
+    return [c for c in CARRIED if c in df.columns]
+
+
 def sample_keys(df: DataFrame) -> list[str]:
     return [k for k in SAMPLE_KEYS if k in df.columns]
 

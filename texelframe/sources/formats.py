@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from texelframe.functions import quantize
 from texelframe.functions.sizes import UNLIMITED_MIPS, block_count, mip_count, mip_size
 
 # Formats with 4x4 blocks and their bytes per block.
@@ -50,6 +51,40 @@ def with_format(textures: DataFrame) -> DataFrame:
     return textures.join(F.broadcast(format_dim(textures.sparkSession)), "format", "left")
 
 
+def storage(
+    format: Column, alpha_dithering: Column, alpha: Column, alpha_bits: Column, luminance: Column
+) -> Column:
+    """Code of what a format stores (see functions.quantize), null for an unknown one.
+
+    Dithered alpha has 1 bit in bc1a and 4 in bc2. Other plain formats dither it, to 8 bits, only where
+    transparency is asked for (``alpha`` true). ``alpha_bits``, where it isn't null, is the
+    number of bits instead, but for bc1a.
+    """
+    kinds: dict[int, list[str]] = {}
+    for name, *_, pixel_type, _ in format_rows():
+        kind = quantize.PLAIN
+        if pixel_type == "signed_norm":
+            kind = quantize.SIGNED
+        elif pixel_type.endswith("float"):
+            kind = quantize.FLOAT
+        elif name in ("bc1a", "lumi"):
+            kind = {"bc1a": quantize.ONE_BIT_ALPHA, "lumi": quantize.RED_ONLY}[name]
+        kinds.setdefault(kind, []).append(name)
+    code = F.when(luminance & format.isNotNull(), quantize.RED_ONLY)
+    for kind, names in kinds.items():
+        code = code.when(format.isin(names), kind)
+    wanted = F.coalesce(alpha_dithering, F.lit(False))
+    plain = format.isin(kinds[quantize.PLAIN]) & F.coalesce(alpha, F.lit(False))
+    bits = (
+        F.when(~wanted | luminance, 0)
+        .when(format == "bc1a", 1)
+        .when(format == "bc2", F.coalesce(alpha_bits, F.lit(4)))
+        .when(plain, F.coalesce(alpha_bits, F.lit(8)))
+        .otherwise(0)
+    )
+    return (code * quantize.KIND_SHIFT + bits).cast("int")
+
+
 def unknown_formats(textures: DataFrame) -> DataFrame:
     """Textures whose format is null or none that is known."""
     return textures.join(F.broadcast(format_dim(textures.sparkSession).select("format")), "format", "left_anti").select(*textures.columns)

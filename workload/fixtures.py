@@ -35,6 +35,23 @@ def px(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+FORMATS = ("bc7", "bc1a", "bc2", "bc5s", "bc6", "lumi", "bc3_rgbm", "rgb", "astc_ldr_4x4", "nonsense")
+
+
+def px_textures(spark: SparkSession, folder: str) -> DataFrame:
+    """A row per image with its target format and all that may go with one."""
+    sized = px(spark, folder).groupBy("texture_id").agg((F.max("x") + 1).alias("width"), (F.max("y") + 1).alias("height"))
+    t = F.col("texture_id")
+    return sized.withColumns({
+        "format": F.element_at(F.array(*map(F.lit, FORMATS)), (t % len(FORMATS) + 1).cast("int")),
+        "alpha_mode": F.when(t % 3 == 0, "premultiplied").otherwise("transparency"),
+        "alpha": F.when(t % 4 == 1, True).when(t % 4 == 2, False),
+        "alpha_dithering": t % 4 < 3,
+        "alpha_bits": F.when(t % 5 == 2, 3).when(t % 50 == 1, 9).cast("int"),
+        "rgbm": t % 20 == 8,
+    })
+
+
 def px_low(spark: SparkSession, folder: str) -> DataFrame:
     """The same images at 4 bits per channel."""
     return quantize_unorm(px(spark, folder), 4)

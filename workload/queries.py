@@ -377,23 +377,41 @@ register(
 )
 
 
-def _from_source_sql() -> str:
-    """Level 1 is stored for bright images only and 2 never, so all from there is generated."""
-    channels = "rgba"
-    stored1 = q.resize_ctes("st", "px", "max", where="n_w > 1 OR n_h > 1")
+def _from_source_levels(source: str = "px", normal: bool = False) -> tuple[list[tuple[str, str]], list[tuple]]:
+    """CTEs, and (mip, CTE, way back from the state of the chain) of its levels.
+
+    Level 1 is stored for bright images only and 2 never, so all from there is generated.
+    """
+    lin = (lambda c: c) if normal else to_lin
+    back = (lambda c: c) if normal else to_s
+    stored1 = q.resize_ctes("st", source, "max", where="n_w > 1 OR n_h > 1")
     kept1 = ("kept1", "SELECT * FROM st WHERE texture_id IN (SELECT texture_id FROM st GROUP BY 1 HAVING max(r) > 30.3e0)")
-    linear = ", ".join(f"{to_lin(c)} AS {c}" for c in "rgb")
-    start = ("start", f"SELECT texture_id, y, x, {linear}, a FROM px WHERE texture_id NOT IN (SELECT texture_id FROM kept1)")
-    made1 = q.resize_ctes("mk", "start", "box", channels, where="n_w > 1 OR n_h > 1")
-    second = ("lv1", f"SELECT texture_id, y, x, {linear}, a FROM kept1 UNION ALL SELECT texture_id, y, x, r, g, b, a FROM mk")
-    ctes, names = q.chain_ctes("up", "lv1", "box", 3)
-    same = q.rounded(**{c: c for c in channels})
-    back = q.rounded(**{c: to_s(c) for c in "rgb"}, a="a")
-    selects = [f"SELECT texture_id, 0 AS face, 0 AS mip, y, x, {same} FROM px",
-               f"SELECT texture_id, 0 AS face, 1 AS mip, y, x, {same} FROM kept1",
-               f"SELECT texture_id, 0 AS face, 1 AS mip, y, x, {back} FROM mk"]
-    selects += [f"SELECT texture_id, 0 AS face, {k} AS mip, y, x, {back} FROM {n}" for k, n in enumerate(names, 2)]
-    return q.query(" UNION ALL ".join(selects), "px", ctes=[*stored1, kept1, start, *made1, second, *ctes])
+    linear = ", ".join(f"{lin(c)} AS {c}" for c in "rgb")
+    start = ("start", f"SELECT texture_id, y, x, {linear}, a FROM {source} WHERE texture_id NOT IN (SELECT texture_id FROM kept1)")
+    made1 = q.resize_ctes("mk", "start", "box", where="n_w > 1 OR n_h > 1")
+    made = "mk"
+    if normal:
+        made1, made = [*made1, ("mkn", q.normalized("mk"))], "mkn"
+    second = ("lv1", f"SELECT texture_id, y, x, {linear}, a FROM kept1 UNION ALL SELECT texture_id, y, x, r, g, b, a FROM {made}")
+    ctes, names = q.chain_ctes("up", "lv1", "box", 3, step=q.normalized if normal else None)
+    same = lambda c: c
+    levels = [(0, source, same), (1, "kept1", same), (1, made, back), *((k, n, back) for k, n in enumerate(names, 2))]
+    return [*stored1, kept1, start, *made1, second, *ctes], levels
+
+
+ODD_ALPHA = (0.97, 0.0123)  # of a mean of alpha, no half of an 8-bit step
+PX_ODD = ("px_odd", f"SELECT texture_id, y, x, r, g, b, a * {ODD_ALPHA[0]}e0 + {ODD_ALPHA[1]}e0 AS a FROM px")
+
+
+def _from_source_sql(source: str = "px", normal: bool = False, stored: Callable[[str], str | None] = lambda c: c) -> str:
+    """All levels; ``stored`` makes of a channel's value what is stored, or nothing."""
+    ctes, levels = _from_source_levels(source, normal)
+    ctes = [PX_ODD, *ctes]
+    selects = []
+    for mip, name, back in levels:
+        values = {c: stored(back(c) if c != "a" else c) for c in "rgba" if stored(c) is not None}
+        selects.append(f"SELECT texture_id, 0 AS face, {mip} AS mip, y, x, {q.rounded(**values)} FROM {name}")
+    return q.query(" UNION ALL ".join(selects), "px", ctes=ctes)
 
 
 register(
@@ -401,6 +419,11 @@ register(
     lambda s, d: sample_columns(pyramids.pyramid_from_source(stored_textures(s, d))),
     _from_source_sql(),
 )
+register(
+    "m12_pyramid_normal_from_source",
+    lambda s, d: sample_columns(pyramids.pyramid_from_source(stored_textures(s, d), normal=True)),
+    _from_source_sql(normal=True),
+)
 ORACLES["s7_extract_planes"] = q.query(
     "SELECT concat('out/t', CAST(texture_id AS VARCHAR), '_mipmap', CAST(mip AS VARCHAR), '.tga') AS out_name,"
     f" count(*) AS n_samples, {q.r6('max(r)')} AS max_r FROM (SELECT texture_id, 0 AS mip, r FROM px"
@@ -855,12 +878,17 @@ register(
 )
 
 
-def _convert_sql() -> str:
-    """RGBM conversion: range scaling, sRGB, RGBM, then a gamma-correct box pyramid at 8 bits."""
+def _rgbm_ctes(source: str = "px") -> list[tuple[str, str]]:
+    """Range scaling and sRGB (en), then RGBM (co)."""
     scaled = ("sc", f"SELECT texture_id, y, x, {', '.join(f'{c} / p / {SCALED_PEAK} AS {c}' for c in 'rgb')}, {q.clamp01('a')} AS a"
-                    " FROM px JOIN peaks USING (texture_id)")
+                    f" FROM {source} JOIN peaks USING (texture_id)")
     encoded = ("en", f"SELECT texture_id, y, x, {', '.join(f'{to_s(c)} AS {c}' for c in 'rgb')}, a FROM sc")
     coded = ("co", f"SELECT texture_id, y, x, {', '.join(q.clamp01(f'{c} / {M}') + f' AS {c}' for c in 'rgb')}, ({M} - 0.15e0) / 0.85e0 AS a FROM en")
+    return [PEAKS, scaled, encoded, coded]
+
+
+def _convert_sql() -> str:
+    """RGBM conversion: range scaling, sRGB, RGBM, then a gamma-correct box pyramid at 8 bits."""
     start = ("start", f"SELECT texture_id, y, x, {', '.join(f'{to_lin(c)} AS {c}' for c in 'rgb')}, a FROM co")
     ctes, names = q.chain_ctes("lv", "start", "box", 4)
     first = f"SELECT texture_id, 0 AS mip, y, x, {q.rounded(**{c: q.unorm(c, 8) for c in 'rgba'})} FROM co"
@@ -868,7 +896,7 @@ def _convert_sql() -> str:
         f"SELECT texture_id, {k} AS mip, y, x, {q.rounded(**{c: q.unorm(to_s(c), 8) for c in 'rgb'}, a=q.unorm('a', 8))} FROM {n}"
         for k, n in enumerate(names, 1)
     ]
-    return q.query(" UNION ALL ".join([first, *rest]), "px", ctes=[PEAKS, scaled, encoded, coded, start, *ctes])
+    return q.query(" UNION ALL ".join([first, *rest]), "px", ctes=[*_rgbm_ctes(), start, *ctes])
 
 
 register(
@@ -895,3 +923,60 @@ register(
             ("bc5s", {c: f"floor(least(1e0, greatest(-1e0, {c})) * 127 + 0.5e0) / 127" for c in "rgba"}),
         )), "px"),
 )
+register(
+    "x3_convert_stored", lambda s, d: sample_columns(convert.convert(samples.scale_bias(stored_textures(s, d), "a", *ODD_ALPHA))),
+    _from_source_sql("px_odd", stored=lambda c: q.unorm(c, 8)),
+)
+register(
+    "x4_convert_lumi", lambda s, d: sample_columns(convert.convert(stored_textures(s, d), "lumi")),
+    _from_source_sql(stored=lambda c: None if c in "gba" else q.unorm(c, 8)),
+)
+FLAWS = "format = 'nonsense' OR coalesce(alpha_bits, 1) > 8"
+
+
+def _mixed_sql() -> str:
+    """Plain textures from their stored levels, RGBM ones from level 0, each value as its own format stores it."""
+    ways = [
+        PX_ODD,
+        ("plain", f"SELECT px_odd.* FROM px_odd JOIN px_textures USING (texture_id) WHERE NOT rgbm AND NOT ({FLAWS})"),
+        ("hdr", f"SELECT px_odd.* FROM px_odd JOIN px_textures USING (texture_id) WHERE rgbm AND NOT ({FLAWS})"),
+    ]
+    ctes, levels = _from_source_levels("plain")
+    start = ("rstart", "SELECT texture_id, y, x, " + ", ".join(f"{to_lin(c)} AS {c}" for c in "rgb") + ", a FROM rg")
+    either = ("rg", "SELECT * FROM en WHERE texture_id % 10 = 6 UNION ALL SELECT * FROM co WHERE texture_id % 10 <> 6")
+    more, names = q.chain_ctes("rl", "rstart", "box", 4)
+    levels += [(0, "rg", lambda c: c), *((k, n, to_s) for k, n in enumerate(names, 1))]
+    every = " UNION ALL ".join(
+        f"SELECT texture_id, {mip} AS mip, y, x, {', '.join(f'{back(c)} AS {c}' for c in 'rgb')}, a FROM {name}" for mip, name, back in levels
+    )
+
+    def colour(c: str) -> str:
+        signed = f"floor(least(1e0, greatest(-1e0, {c})) * 127 + 0.5e0) / 127"
+        lumi = f"WHEN format = 'lumi' AND '{c}' <> 'r' THEN NULL "
+        return f"CASE WHEN format = 'bc6' THEN {c} WHEN format = 'bc5s' THEN {signed} {lumi}ELSE {q.unorm(c, 8)} END"
+
+    bits = ("CASE WHEN NOT dither THEN 0 WHEN format = 'bc1a' THEN 1 WHEN format = 'bc2' THEN coalesce(alpha_bits, 4)"
+            " WHEN coalesce(alpha, FALSE) THEN coalesce(alpha_bits, 8) ELSE 0 END")
+    alpha = (f"CASE WHEN format = 'bc6' THEN a WHEN format = 'bc5s' THEN floor(least(1e0, greatest(-1e0, a)) * 127 + 0.5e0) / 127"
+             f" WHEN format = 'lumi' THEN NULL WHEN bits > 0 THEN floor({q.clamp01('a')} * (pow(2e0, bits) - 1) + {DITHER}) / nullif(pow(2e0, bits) - 1, 0)"
+             f" WHEN format = 'bc1a' THEN CASE WHEN floor({q.clamp01('a')} * 255 + 0.5e0) > 127 THEN 1e0 ELSE 0e0 END ELSE {q.unorm('a', 8)} END")
+    body = (f"SELECT texture_id, 0 AS face, mip, y, x, {q.rounded(**{c: colour(c) for c in 'rgb'}, a=alpha)}"
+            f" FROM ({every}) JOIN (SELECT *, {bits} AS bits FROM px_textures) USING (texture_id)")
+    return q.query(body, "px", "px_textures", ctes=[*ways, *ctes, *_rgbm_ctes("hdr"), either, start, *more])
+
+
+register(
+    "x5_convert_mixed",
+    lambda s, d: sample_columns(convert.convert_mixed(samples.scale_bias(stored_textures(s, d), "a", *ODD_ALPHA), fx.px_textures(s, d))),
+    _mixed_sql(),
+)
+register(
+    "x6_conversion_plan",
+    lambda s, d: convert.plan_conversion(fx.px_textures(s, d), max_mips=3).select("texture_id", "format", "alpha_mode", "rgbm", "n_mips", "dds10", "code"),
+    q.query(f"""
+        SELECT texture_id, format, CASE WHEN format IN ('bc6') OR (rgbm AND format <> 'bc3_rgbm') THEN 'none' WHEN alpha THEN 'transparency'
+                                        WHEN NOT alpha THEN 'none' ELSE alpha_mode END AS alpha_mode, rgbm, {q.mip_count('width', 'height', 3, 1)} AS n_mips,
+               CASE WHEN format <> 'nonsense' THEN format IN ('bc6', 'bc7') OR starts_with(format, 'astc') END AS dds10,
+               CASE WHEN format = 'nonsense' THEN 'format' WHEN alpha_bits > 8 THEN 'alpha_bits' END AS code
+        FROM px_textures""", "px", "px_textures"),
+)

@@ -73,6 +73,13 @@ FIXTURES = {
                 SELECT base, mip, row_number() OVER (PARTITION BY base ORDER BY mip) - 1 AS i
                 FROM parts_gaps WHERE layer = 0 AND face = 0) WHERE mip = i GROUP BY base) m ON l.base = m.base
         JOIN (SELECT * FROM parts_gaps WHERE layer = 0 AND face = 0 AND mip = 0) f ON l.base = f.base""",
+    "px_textures": """
+        SELECT texture_id, ['bc7', 'bc1a', 'bc2', 'bc5s', 'bc6', 'lumi', 'bc3_rgbm', 'rgb', 'astc_ldr_4x4', 'nonsense'][texture_id % 10 + 1] AS format,
+               CASE WHEN texture_id % 3 = 0 THEN 'premultiplied' ELSE 'transparency' END AS alpha_mode,
+               CASE texture_id % 4 WHEN 1 THEN TRUE WHEN 2 THEN FALSE END AS alpha, texture_id % 4 < 3 AS dither,
+               CASE WHEN texture_id % 5 = 2 THEN 3 WHEN texture_id % 50 = 1 THEN 9 END AS alpha_bits, texture_id % 20 = 8 OR texture_id % 10 = 6 AS rgbm,
+               max(x) + 1 AS width, max(y) + 1 AS height
+        FROM px GROUP BY ALL""",
     "textures": """
         SELECT p_partkey AS texture_id, CAST(p_size * 13 + p_partkey % 7 AS INT) AS width,
                CAST(p_size * 5 + p_partkey % 11 + 1 AS INT) AS height, 1 AS depth,
@@ -81,7 +88,7 @@ FIXTURES = {
         FROM part""",
 }
 NEEDS = {
-    "px_pair": ["px"], "hm": ["e"], "hma": ["e", "hm"], "px4": ["e"], "raw": ["e"], "parts_gaps": ["parts"],
+    "px_textures": ["px"], "px_pair": ["px"], "hm": ["e"], "hma": ["e", "hm"], "px4": ["e"], "raw": ["e"], "parts_gaps": ["parts"],
     "extents": ["parts", "parts_gaps"],
 }
 
