@@ -83,6 +83,50 @@ def test_undecodable_images_are_named(spark, tmp_path):
     assert [(r.path.rsplit("/")[-1], r.code) for r in rows] == [("broken.png", "decode")]
 
 
+def test_one_read_gives_samples_and_faults(spark, tmp_path):
+    from pyspark.sql import Observation
+
+    write_png(tmp_path / "fine.png", [[(1, 2, 3), (4, 5, 6)]], alpha=False)
+    (tmp_path / "broken.png").write_bytes(b"not an image")
+    (tmp_path / "empty.png").write_bytes(b"")
+    seen = Observation("scan")
+    rows, faults = images.scan_with_faults(spark, str(tmp_path), seen)
+    assert {(r.path.rsplit("/")[-1], r.code) for r in faults.collect()} == {("broken.png", "decode"), ("empty.png", "empty")}
+    assert [round(r.r * 255) for r in rows.orderBy("x").collect()] == [1, 4] and "code" not in rows.columns
+    assert seen.get == {"n_samples": 2, "n_images": 1, "n_faults": 1}
+    for df in (rows, faults):  # neither reads the images again
+        assert "stored-" in df._jdf.queryExecution().executedPlan().toString() and "image" not in df._jdf.queryExecution().executedPlan().toString().split("Location")[1][:60]
+
+
+def test_images_of_a_wrong_length_are_faults(spark):
+    def row(k, h, w, n, data):
+        return (k, ("p", h, w, n, 0, data))
+
+    schema = "texture_id long, image struct<origin string, height int, width int, nChannels int, mode int, data binary>"
+    rows = [row(1, 1, 2, 1, b"\xff\x80"), row(2, 1, 2, 3, b"\x01\x02"), row(3, 1, 1, 3, None), row(4, 0, 0, 3, b""), row(5, -1, -1, -1, b""), row(6, 2, 1, 4, bytes(range(8)))]
+    got = images.checked_samples(spark.createDataFrame(rows, schema)).collect()
+    assert {(r.texture_id, r.code) for r in got if r.code} == {(2, "size"), (3, "decode"), (4, "decode"), (5, "decode")}
+    assert all((r.y, r.x, r.r, r.a) == (None,) * 4 for r in got if r.code)
+    assert sorted((r.texture_id, r.y, r.x, round(r.r * 255), round(r.b * 255), r.a) for r in got if not r.code) == [
+        (1, 0, 0, 255, 255, 1.0), (1, 0, 1, 128, 128, 1.0), (6, 0, 0, 2, 0, 3 / 255), (6, 1, 0, 6, 4, 7 / 255)]
+
+
+def test_every_byte_is_decoded(spark):
+    df = spark.createDataFrame([(bytearray(range(256)),)] * 3, "content binary")  # no key, equal lines
+    out = images.explode_raw(df, 16, 4)
+    assert sorted(round(r[c] * 255) for r in out.collect() for c in "rgba") == sorted([*range(256)] * 3)
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "hex(" not in text and "conv(" not in text and "hashpartitioning(_buffer" in text
+
+
+def test_reports_name_every_reason(spark):
+    expected = spark.createDataFrame([(p,) for p in ("fine", "empty", "gone", "broken", "both")], "path string")
+    scanned = spark.createDataFrame([("fine", 9), ("empty", 0), ("broken", 5), ("other", 0), ("both", 0)], "path string, n_bytes int")
+    faults = spark.createDataFrame([("broken", "decode"), ("both", "size"), ("other", "decode")], "path string, code string")
+    got = {(r.path, r.code) for r in files.scan_report(expected, scanned, faults).collect()}
+    assert got == {("empty", "empty"), ("gone", "missing"), ("broken", "decode"), ("both", "size")}
+
+
 def test_raw_bgra_buffer(spark):
     df = spark.createDataFrame([(1, bytearray.fromhex("1E140A28463C3250"))], "texture_id long, content binary")
     rows = images.explode_raw(df, 2, 1).orderBy("x").collect()

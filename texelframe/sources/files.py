@@ -39,10 +39,24 @@ def with_output_path(files: DataFrame, extension: str = ".dds", out_dir: Column
     return files.withColumn("out_path", F.when(target == source, renamed).otherwise(target))
 
 
-def scan_report(expected: DataFrame, scanned: DataFrame) -> DataFrame:
-    """Expected paths that could not be read or were empty."""
-    readable = scanned.filter(F.col("n_bytes") > 0).select("path")
-    return expected.select("path").join(readable, "path", "left_anti")
+def scan_report(expected: DataFrame, scanned: DataFrame, faults: DataFrame | None = None) -> DataFrame:
+    """Expected paths that could not be read or were empty, one row each.
+
+    With ``faults``, (path, code) of files that were read but not understood, these are
+    part of the report and every row says why it is there: the fault's code, ``empty`` or ``missing``.
+    """
+    if faults is None:
+        readable = scanned.filter(F.col("n_bytes") > 0).select("path")
+        return expected.select("path").join(readable, "path", "left_anti")
+    # a path's listing and its faults meet in one aggregate
+    each = (
+        expected.select("path", F.lit(None).cast("bigint").alias("n_bytes"), F.lit(None).cast("string").alias("code"), F.lit(True).alias("wanted"))
+        .unionByName(scanned.select("path", F.col("n_bytes").cast("bigint").alias("n_bytes"), F.lit(None).cast("string").alias("code"), F.lit(False).alias("wanted")))
+        .unionByName(faults.select("path", F.lit(None).cast("bigint").alias("n_bytes"), "code", F.lit(False).alias("wanted")))
+    )
+    found = each.groupBy("path").agg(F.max("n_bytes").alias("n_bytes"), F.max("code").alias("code"), F.bool_or("wanted").alias("wanted"))
+    code = F.when(F.coalesce("n_bytes", F.lit(0)) == 0, F.when(F.col("n_bytes").isNull() & F.col("code").isNull(), "missing").otherwise(F.coalesce("code", F.lit("empty"))))
+    return found.filter("wanted").select("path", F.coalesce("code", code).alias("code")).filter("code IS NOT NULL")
 
 
 def raw_size_check(files: DataFrame, channels: int = 4) -> DataFrame:

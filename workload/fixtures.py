@@ -114,6 +114,14 @@ def image_rows(spark: SparkSession, folder: str) -> DataFrame:
     return raw_buffers(spark, folder).select("texture_id", image.alias("image"))
 
 
+def broken_image_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, some of them cut short, without data or with no channels."""
+    key, whole = F.col("texture_id"), F.col("image")
+    data = F.when(key % 5 == 1, F.substring("image.data", 1, 60)).when(key % 7 != 2, F.col("image.data"))
+    broken = whole.withField("data", data).withField("nChannels", F.when(key % 11 == 3, -1).otherwise(F.col("image.nChannels")))
+    return image_rows(spark, folder).withColumn("image", broken)
+
+
 def files(spark: SparkSession, folder: str) -> DataFrame:
     """A listing with tags in the names, 20 folders."""
     doc = F.col("doc_id")

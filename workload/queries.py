@@ -94,6 +94,15 @@ register(
 )
 RAW_SQL = q.query(f"SELECT texture_id, 4 AS width, 4 AS height, y, x, {q.rounded(r='r', g='g', b='b', a='a')} FROM raw", "raw")
 register("s4_image_samples", on(fx.image_rows, images.image_samples), RAW_SQL)
+FAULT_SQL = "CASE WHEN texture_id % 11 = 3 OR (texture_id % 5 <> 1 AND texture_id % 7 = 2) THEN 'decode' WHEN texture_id % 5 = 1 THEN 'size' END"
+register(
+    "s4_checked_samples", on(fx.broken_image_rows, images.checked_samples),
+    q.query(f"""
+        SELECT texture_id, NULL AS code, 4 AS width, 4 AS height, y, x, {q.rounded(r='r', g='g', b='b', a='a')} FROM raw WHERE {FAULT_SQL} IS NULL
+        UNION ALL
+        SELECT vec_id, code, 0, 0, NULL, NULL, NULL, NULL, NULL, NULL
+        FROM (SELECT vec_id, {FAULT_SQL.replace('texture_id', 'vec_id')} AS code FROM embeddings) WHERE code IS NOT NULL""", "raw"),
+)
 register("s5_explode_raw", on(fx.raw_buffers, lambda d: images.explode_raw(d, 4, 4)), RAW_SQL)
 
 
@@ -126,6 +135,24 @@ register(
     ),
     q.query("SELECT concat(dir, '/', name) AS path FROM files WHERE n_bytes < 500", "files"),
 )
+def _fault_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Every reason why a file gives no image: missing, empty or undecodable."""
+    listed = fx.files(spark, folder).withColumn("path", F.concat_ws("/", "dir", "name"))
+    n_bytes = F.when(F.col("n_bytes") < 500, 0).otherwise(F.col("n_bytes"))
+    rows = listed.select("path", F.col("doc_id").alias("texture_id")).join(fx.broken_image_rows(spark, folder), "texture_id")
+    faults = rows.withColumn("code", images.decode_fault()).filter("code IS NOT NULL").select("path", "code")
+    return file_source.scan_report(listed, listed.filter("doc_id % 13 <> 4").withColumn("n_bytes", n_bytes), faults)
+
+
+register(
+    "s8_fault_report", _fault_report,
+    q.query(f"""
+        SELECT path, code FROM (
+            SELECT concat(dir, '/', name) AS path,
+                   coalesce((SELECT {FAULT_SQL.replace('texture_id', 'vec_id')} FROM embeddings WHERE vec_id = doc_id),
+                            CASE WHEN doc_id % 13 = 4 THEN 'missing' WHEN n_bytes < 500 THEN 'empty' END) AS code
+            FROM files) WHERE code IS NOT NULL""", "files"),
+)
 register(
     "s9_catalog", on(fx.textures, tables.catalog),
     q.query("SELECT texture_id, width, height, depth, format FROM textures", "textures"),
