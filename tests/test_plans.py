@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from texelframe.operators import metrics, pairs, resample, samples, stencil, stitch, tiles
-from texelframe.plans import convert
+from texelframe.plans import compare, convert
 from texelframe.plans import pyramid as pyramids
 from texelframe.sources import tables
 from workload import fixtures as fx
@@ -90,6 +90,25 @@ def test_pair_and_report_place_each_side_once(spark, sized):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_stored_tables_are_paired_where_they_lie(spark, sized, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, df in (("ours", sized), ("theirs", samples.quantize_unorm(sized, 4))):
+            tables.store_samples(df, name, 6, str(tmp_path / name))
+        ours, theirs = (tables.stored_samples(spark, name) for name in ("ours", "theirs"))
+        for how in ("inner", "full"):
+            assert exchanges(pairs.pair(ours, theirs, how)) == 0
+        assert exchanges(pairs.copy_channel_from(ours, theirs, "r", "a")) == 0
+        assert exchanges(pairs.add_channel(ours, theirs, "r", "a")) == 0
+        assert exchanges(compare.compare_images(ours, theirs)) == 1  # partial sums by image
+        assert pairs.pair(ours, theirs).count() == sized.count()
+        assert len(list((tmp_path / "ours").glob("part-*"))) == 6
+    finally:
+        spark.sql("DROP TABLE IF EXISTS ours")
+        spark.sql("DROP TABLE IF EXISTS theirs")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_report_is_one_aggregate(spark, folder):
     text = plan(metrics.diff_report(fx.px_pair(spark, folder), normals=True))
     assert text.count("HashAggregate") == 2 and "Python" not in text

@@ -5,6 +5,7 @@ import struct
 import zlib
 
 import pytest
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from texelframe.functions.names import is_container
@@ -186,27 +187,55 @@ def test_sql_functions_leave_no_udf(spark):
 
 
 def test_sql_functions_equal_the_operators(spark, folder):
+    """Each registered function against its operator, over samples."""
+    from texelframe.functions import color, quantize
+    from texelframe.functions.sql import FUNCTIONS
     from workload import fixtures as fx
 
     register_functions(spark)
     px = fx.px(spark, folder)
-
-    def same(df, **expressions):
-        direct = px.selectExpr("texelframe_id", *[f"{e} AS s_{c}" for c, e in expressions.items()])
-        both = df.join(direct, "texelframe_id")
-        wrong = " OR ".join(f"abs({c} - s_{c}) > 1e-12" for c in expressions)
-        return both.count() > 0 and both.filter(wrong).count() == 0
-
-    px = px.withColumn("texelframe_id", F.struct("texture_id", "y", "x"))
-    rgb = lambda f: {c: f.format(c=c) for c in "rgb"}
-    assert same(samples.tone_map_linear(px), **rgb("tf_tone_map({c}, r, g, b)"))
-    assert same(samples.to_rgbm(px), **rgb("tf_rgbm_encode({c}, r, g, b, 0.15D)"), a="tf_rgbm_alpha(r, g, b, 0.15D)")
-    assert same(samples.from_rgbm(px), **rgb("tf_rgbm_decode({c}, a, 0.15D)"))
-    assert same(samples.normalize_normals(px), r="tf_normalize(r, r, g, b, 0.5D)", b="tf_normalize(b, r, g, b, 1D)")
-    assert same(samples.to_srgb_unclamped(px), **rgb("tf_srgb_encode_unclamped({c})"))
-    assert same(samples.to_linear_from_srgb(px), **rgb("tf_srgb_decode({c})"))
-    assert same(samples.to_gamma(px, 2.2), **rgb("tf_gamma_encode({c}, 2.2D)"))
-    assert same(samples.to_grey(px, 2.0, 4.0, 1.0, 0.0), r="tf_grey(r, g, b, a, 2D, 4D, 1D, 0D)")
+    rgb, a = [F.col(c) for c in "rgb"], F.col("a")
+    calls = {  # arguments in SQL, and what an operator does with the same numbers
+        "tf_clamp": ("r, 0.25D, 2D", color.clamp(F.col("r"), 0.25, 2.0)),
+        "tf_scale_bias": ("r, 3D, -1D", color.scale_bias(F.col("r"), 3.0, -1.0)),
+        "tf_gamma_encode": ("r, 2.2D", samples.to_gamma(px, 2.2)), "tf_gamma_decode": ("r, 2.2D", samples.to_linear(px, 2.2)),
+        "tf_srgb_decode_unclamped": ("r", samples.to_linear_from_srgb_unclamped(px)), "tf_srgb_encode_unclamped": ("r", samples.to_srgb_unclamped(px)),
+        "tf_srgb_decode": ("r", samples.to_linear_from_srgb(px)), "tf_srgb_encode": ("r", samples.to_srgb(px)),
+        "tf_unorm": ("r, 5", samples.quantize_unorm(px, 5)), "tf_snorm": ("r, 5", samples.quantize_snorm(px, 5)),
+        "tf_binary_alpha": ("a, 100", quantize.above_threshold(a, 100)), "tf_premultiply": ("r, a", samples.premultiply(px)),
+        "tf_demultiply": ("r, a", samples.demultiply(px)), "tf_slope": ("r, b", samples.to_slope_space(px)),
+        "tf_tone_map": ("r, r, g, b", samples.tone_map_linear(px)), "tf_rgbm_multiplier": ("r, g, b, 0.15D", color.rgbm_multiplier(*rgb)),
+        "tf_rgbm_encode": ("r, r, g, b, 0.15D", samples.to_rgbm(px)), "tf_rgbm_alpha": ("r, g, b, 0.15D", color.rgbm_alpha(*rgb)),
+        "tf_rgbm_decode": ("r, a, 0.15D", samples.from_rgbm(px)), "tf_normalize": ("r, r, g, b, 0.5D", samples.normalize_normals(px)),
+        "tf_grey": ("r, g, b, a, 2D, 4D, 1D, 0D", samples.to_grey(px, 2.0, 4.0, 1.0, 0.0)), "tf_dither": ("a, x, y, 3", quantize.ordered_dither(a, F.col("x"), F.col("y"), 3)),
+        "tf_reinhard": ("r, 2.2D", color.reinhard(F.col("r"), 2.2)),
+    }
+    assert set(calls) == set(FUNCTIONS)
+    key = ["texture_id", "y", "x"]
+    wanted = px.select(*key, *[v.alias(f) for f, (_, v) in calls.items() if isinstance(v, Column)])
+    for f, (_, v) in calls.items():
+        if not isinstance(v, Column):
+            wanted = wanted.join(v.select(*key, F.col("r").alias(f)), key)
+    got = px.selectExpr(*key, *[f"{f}({args}) AS s_{f}" for f, (args, _) in calls.items()])
+    both = wanted.join(got, key)
+    off = both.agg(*[F.count(F.when(~F.col(f).eqNullSafe(F.col(f"s_{f}")) & ~(F.abs(F.col(f) - F.col(f"s_{f}")) < 1e-12), 1)).alias(f) for f in calls]).first()
+    assert both.count() == px.count() and off.asDict() == dict.fromkeys(calls, 0)
+
+
+def test_table_functions_give_plans_and_sizes(spark):
+    from texelframe.functions.sql import register_table_functions
+
+    register_table_functions(spark)
+    rows = [(1, 704, 618, "bc7"), (2, 9, 5, "bc1"), (3, 1, 1, "rgb"), (4, 13, 40, "astc_ldr_12x10"), (5, 8, 8, "what"), (6, 8, 8, None)]
+    textures = spark.createDataFrame(rows, "texture_id long, width int, height int, format string").withColumn("depth", F.lit(1))
+    textures.createOrReplaceTempView("some_textures")
+    for most, least in ((32, 1), (3, 1), (32, 4), (32, 1000), (0, 1)):
+        plan = spark.sql(f"SELECT texture_id, mip, mip_width, mip_height FROM some_textures, LATERAL tf_mip_plan(width, height, {most}, {least})")
+        assert sorted(plan.collect()) == sorted(formats.mip_plan(textures, most, least).select(*plan.columns).collect())
+    sizes = spark.sql("SELECT texture_id, n_mips, total_bytes FROM some_textures, LATERAL tf_size_estimate(width, height, format)")
+    assert sorted(sizes.collect()) == sorted(formats.size_estimate(textures).select("texture_id", F.col("n_mips").cast("int"), "total_bytes").collect())
+    text = sizes._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in text and "NestedLoop" not in text and "UDF" not in text
 
 
 def test_rebalanced_write_keeps_every_sample(spark, folder, tmp_path):

@@ -22,26 +22,33 @@ def check_bits(bits: int, low: int = 1, high: int = 32) -> int:
     return bits
 
 
-def unorm(c: Column, bits: int) -> Column:
+def _steps(bits: int | Column, sign_bits: int = 0, high: int = 32) -> Column | int:
+    """Steps between 0 and 1. A column of bits has to hold numbers that are in range."""
+    if isinstance(bits, Column):
+        return F.pow(F.lit(2.0), bits - sign_bits) - 1
+    return 2 ** (check_bits(bits, low=1 + sign_bits, high=high) - sign_bits) - 1
+
+
+def unorm(c: Column, bits: int | Column) -> Column:
     """Nearest k / (2^bits - 1) in [0, 1]."""
-    steps = 2 ** check_bits(bits) - 1
+    steps = _steps(bits)
     return F.floor(clamp(c) * steps + 0.5) / steps
 
 
-def snorm(c: Column, bits: int) -> Column:
+def snorm(c: Column, bits: int | Column) -> Column:
     """Nearest k / (2^(bits-1) - 1) in [-1, 1]."""
-    steps = 2 ** (check_bits(bits, low=2) - 1) - 1
+    steps = _steps(bits, sign_bits=1)
     return F.floor(clamp(c, -1.0, 1.0) * steps + 0.5) / steps
 
 
-def above_threshold(c: Column, threshold: int) -> Column:
+def above_threshold(c: Column, threshold: int | Column) -> Column:
     """1 where the 8-bit value exceeds the threshold, else 0."""
     return F.when(F.floor(clamp(c) * 255 + 0.5) > threshold, 1.0).otherwise(0.0)
 
 
 def ordered_dither(c: Column, x: Column, y: Column, bits: int | Column) -> Column:
-    """Round to ``bits`` bits with a position-dependent threshold. A column of bits has to hold 1 to 8."""
-    steps = F.pow(F.lit(2.0), bits) - 1 if isinstance(bits, Column) else 2 ** check_bits(bits, high=8) - 1
+    """Round to ``bits`` bits, 1 to 8, with a position-dependent threshold."""
+    steps = _steps(bits, high=8)
     cell = (y % 4) * 4 + x % 4 + 1
     threshold = F.element_at(F.array(*[F.lit(t / 16) for t in BAYER_4X4]), cell.cast("int"))
     return F.floor(clamp(c) * steps + threshold) / steps

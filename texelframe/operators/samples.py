@@ -33,8 +33,7 @@ def clamp(df: DataFrame, channel: str, low: float = 0.0, high: float = 1.0) -> D
 
 def tone_map_linear(df: DataFrame) -> DataFrame:
     """Bring rgb into range by one common factor, which keeps the hue."""
-    peak = color.largest([F.col(c) for c in RGB])
-    return map_channels(df, lambda c: F.when(peak > 1, c / peak).otherwise(c))
+    return map_channels(df, lambda c: color.tone_map(c, *map(F.col, RGB)))
 
 
 def to_gamma(df: DataFrame, gamma: float = 2.2) -> DataFrame:
@@ -62,30 +61,28 @@ def to_linear_from_srgb_unclamped(df: DataFrame) -> DataFrame:
 
 
 def premultiply(df: DataFrame) -> DataFrame:
-    return map_channels(df, lambda c: c * F.col("a"))
+    return map_channels(df, lambda c: color.premultiply(c, F.col("a")))
 
 
 def demultiply(df: DataFrame, epsilon: float = 1e-12) -> DataFrame:
-    return map_channels(df, lambda c: c / F.greatest(F.col("a"), F.lit(epsilon)))
+    return map_channels(df, lambda c: color.demultiply(c, F.col("a"), epsilon))
 
 
-def to_rgbm(df: DataFrame, value_range: float = 1.0, threshold: float = 0.15) -> DataFrame:
+def to_rgbm(df: DataFrame, value_range: float = 1.0, threshold: float = color.RGBM_THRESHOLD) -> DataFrame:
     """Store HDR colour as colour times a multiplier kept in alpha."""
-    peak = color.largest([F.col(c) for c in RGB]) / value_range
-    multiplier = F.least(F.lit(1.0), F.greatest(F.lit(threshold), peak))
-    encoded = {c: color.clamp(F.col(c) / (multiplier * value_range)) for c in RGB}
-    return df.withColumns({**encoded, "a": (multiplier - threshold) / (1 - threshold)})
+    rgb = [F.col(c) for c in RGB]
+    encoded = {c: color.rgbm_encode(F.col(c), *rgb, threshold, value_range) for c in RGB}
+    return df.withColumns({**encoded, "a": color.rgbm_alpha(*rgb, threshold, value_range)})
 
 
-def from_rgbm(df: DataFrame, value_range: float = 1.0, threshold: float = 0.15) -> DataFrame:
-    multiplier = F.col("a") * (1 - threshold) + threshold
-    decoded = {c: F.col(c) * multiplier * value_range for c in RGB}
+def from_rgbm(df: DataFrame, value_range: float = 1.0, threshold: float = color.RGBM_THRESHOLD) -> DataFrame:
+    decoded = {c: color.rgbm_decode(F.col(c), F.col("a"), threshold, value_range) for c in RGB}
     return df.withColumns({**decoded, "a": F.lit(1.0)})
 
 
 def to_grey(df: DataFrame, wr: float = 1.0, wg: float = 1.0, wb: float = 1.0, wa: float = 0.0) -> DataFrame:
     """Weighted mean of the channels, written to all four."""
-    grey = color.weighted_mean([F.col(c) for c in CHANNELS], [wr, wg, wb, wa])
+    grey = color.grey(*map(F.col, CHANNELS), wr, wg, wb, wa)
     return df.withColumns({c: grey for c in CHANNELS})
 
 
@@ -99,12 +96,8 @@ def abs_channel(df: DataFrame, channel: str) -> DataFrame:
 
 def normalize_normals(df: DataFrame) -> DataFrame:
     """Rescale the packed normals to unit length; a zero vector points up."""
-    n = {c: F.col(c) * 2 - 1 for c in RGB}
-    length = F.sqrt(n["r"] * n["r"] + n["g"] * n["g"] + n["b"] * n["b"])
     up = {"r": 0.5, "g": 0.5, "b": 1.0}
-    return df.withColumns(
-        {c: F.when(length > 0, n[c] / length * 0.5 + 0.5).otherwise(F.lit(up[c])) for c in RGB}
-    )
+    return df.withColumns({c: color.normalized(F.col(c), *map(F.col, RGB), up[c]) for c in RGB})
 
 
 def pack_normals(df: DataFrame, scale: float = 0.5, bias: float = 0.5) -> DataFrame:
@@ -113,11 +106,7 @@ def pack_normals(df: DataFrame, scale: float = 0.5, bias: float = 0.5) -> DataFr
 
 def to_slope_space(df: DataFrame) -> DataFrame:
     """Slopes of the normal, centred at 0.5. Samples with blue 0 stay as they are."""
-    def slope(c: Column) -> Column:
-        # nullif keeps the untaken branch from dividing by zero
-        return (c * 2 - 1) / F.nullif(F.col("b"), F.lit(0.0)) * 0.5 + 0.5
-
-    return map_channels(df, lambda c: F.when(F.col("b") == 0, c).otherwise(slope(c)), ("r", "g"))
+    return map_channels(df, lambda c: color.slope(c, F.col("b")), ("r", "g"))
 
 
 def quantize_unorm(df: DataFrame, bits: int = 8) -> DataFrame:

@@ -21,9 +21,8 @@ def apply_name_transforms(pairs: DataFrame, path: Column, basename_only: bool =
     """
     tags = name_tags(path, basename_only)
     pairs = pairs.withColumns({f"_{t}": flag for t, flag in tags.items()})
-    multiplier = F.col("a2") * (1 - 0.15) + 0.15
     decoded = {
-        second(c): F.when(F.col("_rgbm"), color.gamma_decode(F.col(second(c)) * multiplier, 2.2)).otherwise(
+        second(c): F.when(F.col("_rgbm"), color.gamma_decode(color.rgbm_decode(F.col(second(c)), F.col("a2")), 2.2)).otherwise(
             F.col(second(c))
         )
         for c in RGB

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from texelframe.functions.names import plane_name, replace_extension
-from texelframe.schema import with_default_keys
+from texelframe.schema import sample_keys, with_default_keys
 
 
 def write_pixels(df: DataFrame, path: str, mode: str = "errorifexists", rebalance: bool = False) -> None:
@@ -26,6 +26,22 @@ def read_pixels(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def store_samples(df: DataFrame, name: str, buckets: int, path: str | None = None, mode: str = "errorifexists") -> None:
+    """Store samples as a table in buckets by sample key, for joins with tables stored alike.
+
+    Two tables of as many buckets and the same keys are paired without moving a sample: pair, channel
+    exchange and comparisons read bucket by bucket. All sample keys make the bucket, so that buckets are
+    even whatever the images' sizes; a bucket is one file. Without ``path`` the files are in the warehouse.
+    """
+    keys = sample_keys(df)
+    writer = df.repartition(buckets, *keys).write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
+
+
+def stored_samples(spark: SparkSession, name: str) -> DataFrame:
+    return spark.table(name)
+
+
 def extract_planes(
     df: DataFrame, path: Column, faces: bool = False, mips: bool = False, extension: str = ".tga"
 ) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from texelframe.functions import names as fn_names
 from texelframe.functions import sizes as fn_sizes
-from texelframe.functions.sql import register_functions
+from texelframe.functions.sql import register_functions, register_table_functions
 from texelframe.operators import batches, detach, metrics, pairs, resample, samples, stencil, stitch, tiles
 from texelframe.operators.placement import wrap
 from texelframe.plans import compare, convert
@@ -585,6 +585,20 @@ NAMED = [
            + ", ".join(f"{c}2 * CASE WHEN name LIKE '%rgbm%' THEN p ELSE 1e0 END AS {c}2" for c in "rgb")
            + " FROM t2 JOIN peaks USING (texture_id)"),
 ]
+def _stored_pair(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The images and their coarse versions, as bucketed tables."""
+    tables_ = []
+    for df in (fx.px(spark, folder), fx.px_low(spark, folder)):
+        name = "samples_" + uuid.uuid4().hex
+        tables.store_samples(df, name, int(spark.conf.get("spark.sql.shuffle.partitions")), f"{shared_folder(spark)}/{name}")
+        tables_.append(tables.stored_samples(spark, name))
+    return tables_[0], tables_[1]
+
+
+register(
+    "a9_compare_stored", lambda s, d: compare.compare_images(*_stored_pair(s, d), normals=True).drop("code"),
+    q.query(report_sql("px_pair", normals=True), "px_pair"),
+)
 register("a9_compare_by_name", _named_pairs, q.query(report_sql("t3"), "px_pair", "files", ctes=NAMED))
 HIST_BIN = "CAST(floor(least(1535, floor(" + q.clamp01("pow(greatest(0e0, {0} / 2.2e0), 1 / 2.2e0)") + " * 1536)) / 3) AS INT)"
 register(
@@ -905,6 +919,24 @@ register(
 )
 
 
+def _table_functions(spark: SparkSession, folder: str) -> DataFrame:
+    """Every level of every texture, with its share of the texture's bytes, in SQL."""
+    register_table_functions(spark)
+    fx.textures(spark, folder).createOrReplaceTempView("u2_textures")
+    return spark.sql("""
+        SELECT texture_id, format, mip, mip_width, mip_height, n_mips, total_bytes
+        FROM u2_textures, LATERAL tf_mip_plan(width, height, 32, 1), LATERAL tf_size_estimate(width, height, format)""")
+
+
+register(
+    "u2_table_functions", _table_functions,
+    q.query("""
+        SELECT texture_id, format, mip, mip_width, mip_height,
+               CAST(count(*) OVER (PARTITION BY texture_id) AS INT) AS n_mips,
+               CAST(sum(CAST(ceil(mip_width / bw) * ceil(mip_height / bh) AS BIGINT) * bb) OVER (PARTITION BY texture_id) AS BIGINT) AS total_bytes
+        FROM plan JOIN fmt USING (format)""", "textures", ctes=[PLAN_SQL, FORMATS]),
+)
+
 def _rgbm_ctes(source: str = "px") -> list[tuple[str, str]]:
     """Range scaling and sRGB (en), then RGBM (co)."""
     scaled = ("sc", f"SELECT texture_id, y, x, {', '.join(f'{c} / p / {SCALED_PEAK} AS {c}' for c in 'rgb')}, {q.clamp01('a')} AS a"
