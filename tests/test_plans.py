@@ -90,6 +90,43 @@ def test_pair_and_report_place_each_side_once(spark, sized):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("axis, last", [("x", 65535), ("z", 40)])
+def test_per_image_values_reach_strips_and_volumes_under_many_keys(spark, axis, last):
+    """One image, a single row high: its samples still meet their value in many tasks."""
+    keys = {c: F.lit(0) for c in "zyx"} | {axis: F.col("id").cast("int")}
+    df = spark.range(last + 1).select(F.lit(1).alias("texture_id"), *[v.alias(c) for c, v in keys.items()], *[(F.col("id") / last).alias(c) for c in "rgba"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        scaled = metrics.range_scale(df)
+        tasks = scaled.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert scaled.filter(f"abs(r - {axis} / {last}) > 1e-12").count() == 0
+    finally:
+        for name in ("sql.autoBroadcastJoinThreshold", "sql.adaptive.enabled"):
+            spark.conf.unset(f"spark.{name}")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(tasks) > 5 and sum(r["count"] for r in tasks) == last + 1
+
+
+def test_a_stencil_sends_each_sample_at_most_twice(spark):
+    x, y = (F.col("id") % 256).cast("int"), F.floor(F.col("id") / 256).cast("int")
+    df = spark.range(256 * 256).select(F.lit(1).alias("texture_id"), y.alias("y"), x.alias("x"), F.rand(1).alias("a"), F.lit(256).alias("width"), F.lit(256).alias("height"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        normals = stencil.to_normal_map(df, 1.0, 1.0, 1.0, 1.0)
+        nodes, rows = [normals._jdf.queryExecution().executedPlan()], []
+        assert normals.collect()
+        while nodes:
+            node = nodes.pop()
+            nodes += [node.children().apply(k) for k in range(node.children().size())]
+            if "Exchange" in node.nodeName():
+                rows.append(node.metrics().apply("shuffleRecordsWritten").value())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(rows) == 1 and rows[0] <= 2 * 256 * 256
+
+
 def test_stored_tables_are_paired_where_they_lie(spark, sized, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -183,3 +183,28 @@ def test_mip_count(spark, width, height, cap, small, expected):
 def test_block_count(spark):
     row = spark.range(1).select(sizes.block_count(F.lit(704), F.lit(618), 4, 4)).first()
     assert row[0] == 27_280
+
+
+@pytest.mark.parametrize("wrap", ["clamp", "repeat"])
+def test_normals_of_images_with_holes(spark, wrap):
+    """Absent samples add nothing to slopes and have no normal, whole absent lines included."""
+    rng = np.random.default_rng(5)
+    h, w = 75, 70
+    heights = rng.random((h, w))
+    there = rng.random((h, w)) > 0.1
+    there[10:22], there[:, 64:66], there[0, 0], there[-1, -1] = False, False, True, True
+    df = image(spark, np.dstack([heights] * 4)).filter(F.col("y") >= 0)
+    keep = spark.createDataFrame([(int(y), int(x)) for y, x in zip(*np.nonzero(there))], "y int, x int")
+    weights = (1.0, 0.5, 0.25, 2.0)
+    got = {(r.y, r.x): (r.r, r.g, r.b, r.a) for r in stencil.to_normal_map(df.join(keep, ["y", "x"]), *weights, wrap=wrap).collect()}
+    assert set(got) == {(y, x) for y, x in zip(*np.nonzero(there))}
+    held = np.where(there, heights, 0.0)
+
+    def at(y, x):
+        return held[y % h, x % w] if wrap == "repeat" else held[min(max(y, 0), h - 1), min(max(x, 0), w - 1)]
+
+    for (y, x), (r, g, b, a) in list(got.items())[::7]:
+        sx = sum(v / (2 * k) * (at(y, x + k) - at(y, x - k)) for k, v in enumerate(weights, 1))
+        sy = sum(v / (2 * k) * (at(y + k, x) - at(y - k, x)) for k, v in enumerate(weights, 1))
+        length = np.sqrt(sx * sx + sy * sy + 1)
+        assert (r, g, b, a) == pytest.approx((-sx / length, -sy / length, 1 / length, heights[y, x]))

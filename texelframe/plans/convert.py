@@ -13,7 +13,7 @@ from texelframe.functions import quantize
 from texelframe.functions.sizes import UNLIMITED_MIPS, mip_count, mip_size
 from texelframe.operators import metrics, samples, stencil
 from texelframe.plans.pyramid import pyramid, pyramid_from_source, pyramid_normal
-from texelframe.schema import BAND_ROWS, RGB, channels, int_div
+from texelframe.schema import RGB, channels, join_image_stats
 from texelframe.session import cut_lineage
 from texelframe.sources.formats import format_rows, storage, with_format
 
@@ -165,15 +165,15 @@ def convert_mixed(
     them belong to no image.
     """
     plan = plan_conversion(textures, max_mips, min_size).filter("code IS NULL")
-    # by texture and band of rows, so that no texture's samples meet under one key
-    bands = F.explode(F.sequence(F.lit(0), int_div(F.col("height") - 1, BAND_ROWS)))
-    per_band = plan.select(
-        "texture_id", "storage", "rgbm", F.col("format").alias("_format"), F.col("width").alias("_w"), F.col("height").alias("_h"), bands.alias("_band")
-    )
+    per_texture = plan.select(
+        "texture_id", "storage", "rgbm", F.col("format").alias("_format"), F.col("width").alias("_w"), F.col("height").alias("_h"),
+        (F.col("height") - 1).alias("_last_y"), (F.col("width") - 1).alias("_last_x"),
+        *([(F.col("depth") - 1).alias("_last_z")] if "depth" in plan.columns else []),
+    )
     at_level = df if "mip" in df.columns else df.withColumn("mip", F.lit(0))
-    rows = at_level.withColumn("_band", int_div(F.col("y"), BAND_ROWS)).join(per_band, ["texture_id", "_band"])
+    rows = join_image_stats(at_level, per_texture, ["texture_id"])
     sizes = {side: mip_size(F.col(f"_{side[0]}"), F.col("mip")) for side in ("width", "height")}
-    rows = rows.withColumns(sizes).drop("_band", "_w", "_h")
+    rows = rows.withColumns(sizes).drop("_w", "_h")
     plain = pyramid_from_source(rows.filter("NOT rgbm").drop("rgbm", "_format"), mip_filter, gamma, wrap, max_mips, min_size)
     four = (*RGB, "a")
     prepared = prepare_rgbm(rows.filter("rgbm AND mip = 0"), rangescale, gamma, encode=False)

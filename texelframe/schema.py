@@ -20,9 +20,9 @@ PIXELS = T.StructType(
 # Columns that are constant per image and ride along through levels where a table has them.
 CARRIED = ("storage",)
 
-# Rows of one image whose y falls into the same band share a join key, so a
-# huge image spreads over as many keys as it has bands.
-BAND_ROWS = 16
+# Samples of one image within the same block of slices, rows and columns share a join key, so
+# that a huge image of any shape spreads over as many keys as it has blocks.
+BLOCK = {"z": 1, "y": 16, "x": 4096}
 
 
 def image_keys(df: DataFrame) -> list[str]:
@@ -68,20 +68,26 @@ def ceil_div(col: Column, n: Column | int) -> Column:
 
 def image_stats(df: DataFrame, *aggregates: Column, keys: list[str] | None = None) -> DataFrame:
     """One row of aggregates per image (or other leading keys), for ``join_image_stats``."""
-    return df.groupBy(*(image_keys(df) if keys is None else keys)).agg(F.max("y").alias("_last_y"), *aggregates)
+    last = [F.max(axis).alias(f"_last_{axis}") for axis in BLOCK if axis in df.columns]
+    return df.groupBy(*(image_keys(df) if keys is None else keys)).agg(*last, *aggregates)
 
 
 def join_image_stats(df: DataFrame, stats: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Add per-image values to every sample of the image.
 
-    They are joined by image and row band, so no image, however large, meets its
-    samples under a single key; each image repeats its short row once per band.
+    They are joined by image and block (see BLOCK), so no image, however large, meets its
+    samples under a single key; each image repeats its short row once per block. ``stats`` says how far
+    an image goes, by its largest coordinates ``_last_z``, ``_last_y`` and ``_last_x``.
     """
     keys = image_keys(df) if keys is None else keys
-    bands = F.sequence(F.lit(0), int_div(F.col("_last_y"), BAND_ROWS))
-    per_band = stats.withColumn("_band", F.explode(bands)).drop("_last_y")
-    banded = df.withColumn("_band", int_div(F.col("y"), BAND_ROWS))
-    return banded.join(per_band, [*keys, "_band"]).drop("_band")
+    per_block, placed, blocks = stats, df, []
+    for axis, size in BLOCK.items():
+        if f"_last_{axis}" in stats.columns and axis in df.columns:
+            blocks.append(f"_block_{axis}")
+            per_block = per_block.withColumn(blocks[-1], F.explode(F.sequence(F.lit(0), int_div(F.col(f"_last_{axis}"), size))))
+            placed = placed.withColumn(blocks[-1], int_div(F.col(axis), size))
+    per_block = per_block.drop(*[f"_last_{axis}" for axis in BLOCK])
+    return placed.join(per_block, [*keys, *blocks]).drop(*blocks)
 
 
 def attach_image_stats(df: DataFrame, *aggregates: Column, keys: list[str] | None = None) -> DataFrame:
