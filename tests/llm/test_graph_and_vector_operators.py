@@ -144,6 +144,19 @@ def test_tree_search_against_all_vectors(spark, monkeypatch, slot):
         assert own.vec_id.tolist() == [k for _, k in near] and own.score.to_numpy() == pytest.approx([-s for s, _ in near])
 
 
+def test_queries_outside_dense_groups_get_all_their_rows(spark):
+    """Nearly all neighbours are in leaves full of near copies; the leaves of other vectors hold a few each."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(3, 12))
+    rows = [(k, (centres[k % 3] + rng.normal(size=12) * 1e-3).tolist(), 0, 0) for k in range(3000)]
+    rows += [(3000 + k, (rng.normal(size=12) * 3).tolist(), 0, 0) for k in range(100)]
+    frame = spark.createDataFrame(rows, VECTORS)
+    got = vector_tree.nearest(frame, F.col("vec_id") % 20 == 0, n=20, leaf=4).toPandas()
+    assert got.groupby("query_id").size().to_dict() == {k: 20 for k in range(0, 3100, 20)}
+    few = vector_tree.nearest(frame.filter("vec_id >= 3080"), F.col("vec_id") == 3080, n=20, leaf=2).toPandas()
+    assert len(few) == 19  # all candidates there are
+
+
 def test_tree_search_of_few_equal_or_no_vectors(spark):
     same = spark.createDataFrame([(k, [1.0, 1.0], 0, 0) for k in range(0, 140, 2)], VECTORS)
     got = vector_tree.nearest(same, F.col("vec_id") == 100, n=3, leaf=4).collect()

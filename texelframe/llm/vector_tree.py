@@ -8,10 +8,12 @@ vectors by distance are then those of largest inner product.
 A query walks the tree best bin first: a priority queue holds unopened branches by distance
 from the query to their centroids; the nearest is opened until enough leaves are. How many leaves is
 calibrated: for `CALIBRATION` queries, the true neighbours are found in all rows, and
-visits widen until the wanted share of these neighbours is in visited leaves.
+visits widen until the wanted share of these neighbours is in visited leaves. A query whose leaves hold fewer
+other vectors than it asks for walks on until they do.
 
-Leaves hang together in groups by the root's branches, dealt to slots of bounded size, so that no
-task holds more than a slot's vectors, whatever their distribution; queries stream past each slot that holds leaves they visit.
+Leaves are laid out one after another and cut into slots of about `SLOT` vectors, so that no
+task holds more than a slot's vectors, whatever their distribution: small leaves share a slot, a large one spans several.
+Queries stream past the slots of leaves they visit, and are scored against the vectors of these leaves only.
 Scores are inner products of the original vectors in double precision.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part,
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from texelframe.llm.common import stored
+from texelframe.llm.common import ranges, stored
 from texelframe.llm.vectors import matrix, usable
 
 SAMPLE = 20_000
@@ -44,12 +46,11 @@ SEED = 5
 
 @dataclass
 class Tree:
-    """Nodes in order of creation: children[k] of a node, none for a leaf; its centroid, leaf number and root branch."""
+    """Nodes in order of creation: children[k] of a node, none for a leaf; its centroid and leaf number."""
 
     children: list[list[int]]
     centroids: np.ndarray
     leaf: np.ndarray
-    branch: np.ndarray
     top: float  # no indexed vector's squared norm is above
 
     @property
@@ -73,16 +74,17 @@ class Tree:
                 at += [(int(kids[k]), rows[nearest == k]) for k in range(len(kids))]
         return out
 
-    def visits(self, q: np.ndarray, n: int) -> list[np.ndarray]:
-        """For each raised query, its first n leaves, best bin first."""
+    def visits(self, q: np.ndarray, n: int, sizes: np.ndarray, least: int) -> list[np.ndarray]:
+        """For each raised query, its first n leaves, best bin first, and more until they hold `least` vectors. sizes: of leaves."""
         d = _distances(q, self.centroids)
         out = []
         for row in d:
-            queue, found = [(0.0, 0)], []
-            while queue and len(found) < n:
+            queue, found, held = [(0.0, 0)], [], 0
+            while queue and (len(found) < n or held < least):
                 _, node = heapq.heappop(queue)
                 if not self.children[node]:
                     found.append(self.leaf[node])
+                    held += sizes[self.leaf[node]]
                 for k in self.children[node]:
                     heapq.heappush(queue, (row[k], k))
             out.append(np.array(found, dtype=np.int64))
@@ -111,9 +113,9 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) ->
 def fit_tree(x: np.ndarray, top: float, branches: int = BRANCHES, leaf: int = LEAF, seed: int = SEED) -> Tree:
     """x: the sample."""
     rng = np.random.default_rng(seed)
-    tree = Tree([[]], np.zeros((1, x.shape[1] + 1)), np.zeros(0), np.zeros(0), top)
+    tree = Tree([[]], np.zeros((1, x.shape[1] + 1)), np.zeros(0), top)
     x = tree.raised(x)
-    centroids, branch, work = [x.mean(axis=0)], [0], [(0, np.arange(len(x)))]
+    centroids, work = [x.mean(axis=0)], [(0, np.arange(len(x)))]
     while work:
         node, rows = work.pop()
         if len(rows) <= leaf:
@@ -125,12 +127,11 @@ def fit_tree(x: np.ndarray, top: float, branches: int = BRANCHES, leaf: int = LE
         for k in range(len(c)):
             tree.children.append([])
             centroids.append(c[k])
-            branch.append(len(tree.children[0]) if node == 0 else branch[node])
             tree.children[node].append(len(tree.children) - 1)
             work.append((len(tree.children) - 1, rows[part == k]))
     is_leaf = np.array([not c for c in tree.children])
     tree.leaf = np.where(is_leaf, np.cumsum(is_leaf) - 1, -1)
-    tree.centroids, tree.branch = np.array(centroids), np.array(branch)
+    tree.centroids = np.array(centroids)
     return tree
 
 
@@ -148,6 +149,40 @@ def _best(scores: np.ndarray, ids: np.ndarray, x: np.ndarray, q: np.ndarray, own
     return ids[near][order], exact[order]
 
 
+class _Slot:
+    """Indexed vectors in the order of their leaves."""
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray, leaves: np.ndarray):
+        order = np.argsort(leaves, kind="stable")
+        self.x, self.ids = x[order], ids[order]
+        self.leaves, self.starts, self.sizes = np.unique(leaves[order], return_index=True, return_counts=True)
+
+    def best(self, q: np.ndarray, own: np.ndarray, open_: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, id, score) of each query's n best of the vectors in the leaves it opened. A leaf is scored for all that opened it at once."""
+        scores: list[list[np.ndarray]] = [[] for _ in q]
+        rows: list[list[np.ndarray]] = [[] for _ in q]
+        visitor = np.repeat(np.arange(len(q)), [len(o) for o in open_])
+        leaf = np.concatenate(open_)
+        order = np.argsort(leaf, kind="stable")
+        visitor, leaf = visitor[order], leaf[order]
+        for at, a, m in zip(self.leaves, self.starts, self.sizes):
+            lo, hi = np.searchsorted(leaf, [at, at + 1])
+            if lo < hi:
+                block = q[visitor[lo:hi]] @ self.x[a : a + m].T
+                for k, s in zip(visitor[lo:hi], block):
+                    scores[k].append(s)
+                    rows[k].append(np.arange(a, a + m))
+        out = []
+        for k, own_id in enumerate(own):
+            if rows[k]:
+                at = np.concatenate(rows[k])
+                near, s = _best(np.concatenate(scores[k]), self.ids[at], self.x[at], q[k], own_id, n)
+                out.append((np.full(len(near), own_id), near, s))
+        if not out:
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
+        return tuple(np.concatenate(c) for c in zip(*out))
+
+
 def _ranked(found: DataFrame, n: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n).select("query_id", "rank", "vec_id", "score")
@@ -183,7 +218,7 @@ def needed_visits(tree: Tree, queries: list[tuple[int, list[float]]], truth: lis
     ids = [q for q, _ in queries]
     x = np.column_stack([np.array([v for _, v in queries]), np.zeros(len(queries))])
     place = {}
-    for q, order in zip(ids, tree.visits(x, tree.n_leaves)):
+    for q, order in zip(ids, tree.visits(x, tree.n_leaves, np.ones(tree.n_leaves), 0)):
         place[q] = np.empty(tree.n_leaves, dtype=np.int64)
         place[q][order] = np.arange(len(order))
     ranks = np.sort([place[q][leaf] for q, leaf in truth])
@@ -212,13 +247,16 @@ def nearest(
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = shared.value
-        branch = np.zeros(tree.n_leaves, dtype=np.int64)
-        branch[tree.leaf[tree.leaf >= 0]] = tree.branch[tree.leaf >= 0]
         for batch in batches:
             found = tree.descend(tree.raised(matrix(batch.column("embedding"))))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found), pa.array(branch[found])], names=[*batch.schema.names, "leaf", "branch"])
-
-    index = stored(rows.mapInArrow(place, "vec_id long, embedding array<double>, leaf long, branch long"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, "leaf"])
+
+    index = stored(rows.mapInArrow(place, "vec_id long, embedding array<double>, leaf long"))
+    sizes = np.zeros(tree.n_leaves, dtype=np.int64)
+    for r in index.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per leaf
+        sizes[r.leaf] = r.n
+    # leaves along a line of all vectors, cut into slots
+    first = np.cumsum(sizes) - sizes
     asked = rows.filter(is_query)
     trial = [(r.vec_id, list(r.embedding)) for r in asked.orderBy(F.xxhash64("vec_id", F.lit(seed + 1)), "vec_id").limit(calibration).collect()]
     truth = [(r.query_id, r.leaf) for r in _true_neighbours(index, trial, n).collect()] if trial else []
@@ -226,66 +264,56 @@ def nearest(
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree = shared.value
-        branch = np.zeros(tree.n_leaves, dtype=np.int64)
-        branch[tree.leaf[tree.leaf >= 0]] = tree.branch[tree.leaf >= 0]
         for batch in batches:
             if not len(batch):
                 continue
             q = matrix(batch.column("embedding"))
-            rows, branches_, leaves = [], [], []
-            for k, order in enumerate(tree.visits(np.column_stack([q, np.zeros(len(q))]), visits)):
-                of = branch[order]
-                for b in np.unique(of):
-                    rows.append(k)
-                    branches_.append(int(b))
-                    leaves.append(order[of == b].tolist())
+            rows, slots, leaves = [], [], []
+            # one of a leaf's vectors may be the query itself
+            for k, order in enumerate(tree.visits(np.column_stack([q, np.zeros(len(q))]), visits, sizes, n + 1)):
+                order = order[sizes[order] > 0]
+                lo, hi = first[order] // SLOT, (first[order] + sizes[order] - 1) // SLOT
+                slot, leaf = ranges(lo, hi - lo + 1), np.repeat(order, hi - lo + 1)
+                by_slot = np.argsort(slot, kind="stable")
+                slot, leaf = slot[by_slot], leaf[by_slot]
+                cuts = np.flatnonzero(np.diff(slot, prepend=-1))
+                rows += [k] * len(cuts)
+                slots += slot[cuts].tolist()
+                leaves += [x.tolist() for x in np.split(leaf, cuts[1:])]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id").take(pa.array(rows)), batch.column("embedding").take(pa.array(rows)), pa.array(branches_, pa.int64()), pa.array(leaves, pa.list_(pa.int64()))],
-                names=["vec_id", "embedding", "branch", "leaves"],
+                [batch.column("vec_id").take(pa.array(rows)), batch.column("embedding").take(pa.array(rows)), pa.array(slots, pa.int64()), pa.array(leaves, pa.list_(pa.int64()))],
+                names=["vec_id", "embedding", "slot", "leaves"],
             )
 
-    walked = asked.mapInArrow(walk, "vec_id long, embedding array<double>, branch long, leaves array<long>")
-    sizes = index.groupBy("branch").agg(F.ceil(F.count(F.lit(1)) / SLOT).cast("long").alias("slots"))
-    sizes = F.broadcast(sizes)  # a row per branch of the root
-    items = index.join(sizes, "branch").select("branch", F.pmod(F.xxhash64("vec_id"), "slots").alias("slot"), F.lit(0).alias("kind"), "vec_id", "embedding", F.array("leaf").alias("leaves"))
-    passing = walked.join(sizes, "branch").select(
-        "branch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot"), F.lit(1).alias("kind"), "vec_id", "embedding", "leaves"
-    )
-    dealt = items.union(passing).repartition("branch", "slot").sortWithinPartitions("branch", "slot", "kind", "vec_id")
+    walked = asked.mapInArrow(walk, "vec_id long, embedding array<double>, slot long, leaves array<long>")
+    line = F.broadcast(spark.createDataFrame([(k, int(f), int(m)) for k, (f, m) in enumerate(zip(first, sizes))], "leaf long, first long, size long"))  # a row per leaf
+    place_of = F.col("first") + F.pmod(F.xxhash64("at"), F.col("size"))
+    items = index.withColumn("at", F.monotonically_increasing_id()).join(line, "leaf").select(F.floor(place_of / SLOT).alias("slot"), F.lit(0).alias("kind"), "vec_id", "embedding", F.array("leaf").alias("leaves"))
+    passing = walked.select("slot", F.lit(1).alias("kind"), "vec_id", "embedding", "leaves")
+    dealt = items.union(passing).repartition("slot").sortWithinPartitions("slot", "kind", "vec_id")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, ids, xs, leaves, whole = None, [], [], [], None
+        at, held, slot = None, [], None
         for batch in batches:
             if not len(batch):
                 continue
-            key = batch.column("branch").to_numpy() * (1 << 32) + batch.column("slot").to_numpy()
-            kind = batch.column("kind").to_numpy()
+            key, kind = batch.column("slot").to_numpy(), batch.column("kind").to_numpy()
             edges = [0, *(np.flatnonzero((np.diff(key) != 0) | (np.diff(kind) != 0)) + 1).tolist(), len(key)]
             for a, b in zip(edges, edges[1:]):
                 if key[a] != at:
-                    at, ids, xs, leaves, whole = key[a], [], [], [], None
-                x, own = matrix(batch.column("embedding").slice(a, b - a)), batch.column("vec_id").slice(a, b - a).to_numpy()
-                seen = batch.column("leaves").slice(a, b - a)
+                    at, held, slot = key[a], [], None
+                part = batch.slice(a, b - a)
+                x, own = matrix(part.column("embedding")), part.column("vec_id").to_numpy()
+                seen = part.column("leaves")
                 if kind[a] == 0:
-                    ids.append(own)
-                    xs.append(x)
-                    leaves.append(seen.flatten().to_numpy())
+                    held.append((x, own, seen.flatten().to_numpy()))
                     continue
-                if not ids:
+                if not held:
                     continue
-                if whole is None:
-                    whole = np.concatenate(ids), np.concatenate(xs), np.concatenate(leaves)
-                all_ids, all_x, all_leaves = whole
-                out = []
+                if slot is None:
+                    slot = _Slot(*(np.concatenate(c) for c in zip(*held)))
                 for lo in range(0, len(x), 256):
-                    scores = x[lo : lo + 256] @ all_x.T
-                    for k in range(len(scores)):
-                        open_ = np.zeros(n_leaves, dtype=bool)
-                        open_[seen[lo + k].values.to_numpy()] = True
-                        rows = np.flatnonzero(open_[all_leaves])
-                        near, s = _best(scores[k][rows], all_ids[rows], all_x[rows], x[lo + k], own[lo + k], n)
-                        out.append((np.full(len(near), own[lo + k]), near, s))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["query_id", "vec_id", "score"])
-
-    n_leaves = tree.n_leaves
+                    found = slot.best(x[lo : lo + 256], own[lo : lo + 256], [v.values.to_numpy() for v in seen[lo : lo + 256]], n)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["query_id", "vec_id", "score"])
+
     return _ranked(dealt.mapInArrow(search, "query_id long, vec_id long, score double"), n).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
