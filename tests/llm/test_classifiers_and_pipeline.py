@@ -104,7 +104,7 @@ def test_pipeline_stages(spark, folder):
 def test_queries_and_their_sql(spark, folder):
     import duckdb
 
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     for name, sql in ORACLES.items():
         db = duckdb.connect()
         for t in ("pages", "documents", "embeddings"):

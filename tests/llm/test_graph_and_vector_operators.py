@@ -54,19 +54,58 @@ def near_texts():
     return texts
 
 
-def test_near_duplicates_are_those_of_all_pairs(spark, monkeypatch):
-    texts = near_texts()
-    rows = [(3 * k + 1, t, 0) for k, t in enumerate(texts)] + [(None, "one two three four five", 0)]
-    monkeypatch.setattr(ngram_join, "TILE", 3)  # several slots a tile
-    got = ngram_join.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()
-    sets = {3 * k + 1: shingles(t) for k, t in enumerate(texts)}
+def brute_components(rows, percent):
+    """(doc_id, shingles, component) of each row: rows of an id share their links."""
+    sets = [shingles(t) for _, t, *_ in rows]
+    alive = [k for k, r in enumerate(rows) if r[0] is not None and sets[k]]
     edges = [
-        (a, b) for a in sets for b in sets if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+        (rows[a][0], rows[b][0]) for a in alive for b in alive if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
     ]
-    part = joined(edges, sets)
-    assert len(edges) > 40 and len(got) == len(rows)
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id} == {k: (len(s), part[k]) for k, s in sets.items()}
-    assert ngram_join.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
+    part = joined(edges, {r[0] for r in rows if r[0] is not None})
+    return edges, sorted((r[0] is None, r[0] or 0, len(s), part.get(r[0], 0)) for r, s in zip(rows, sets))
+
+
+def got_components(spark, rows, **options):
+    df = spark.createDataFrame([(*r, 7, "x") for r in rows], "doc_id long, text string, component_id long, key int, digest string")
+    got = ngram_join.near_duplicates(df, **options).collect()
+    return sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in got)
+
+
+@pytest.mark.parametrize("percent", [50, 60, 80, 100])
+def test_near_duplicates_are_those_of_all_pairs(spark, monkeypatch, percent):
+    rows = [(3 * k + 1, t, 0) for k, t in enumerate(near_texts())] + [(None, "one two three four five", 0)]
+    monkeypatch.setattr(ngram_join, "TILE", 3)  # several slots a tile
+    edges, want = brute_components(rows, percent)
+    assert len(edges) > 10 and got_components(spark, rows, percent=percent) == want
+
+
+def test_rows_of_one_id_share_their_links(spark):
+    rng = np.random.default_rng(9)
+    a, b, c = ([f"{x}{k}" for k in rng.integers(0, 9999, 100)] for x in "abc")
+    near = lambda words, k: " ".join([*words[:50], f"other{k}", *words[51:]])
+    rows = [(5, " ".join(a), 0), (5, " ".join(b), 0), (9, near(a, 1), 0), (11, near(b, 2), 0)]
+    rows += [(20, " ".join(c), 0), (21, " ".join(c), 0), (21, "lone words of its own here", 0), (30, "lone words of its own here", 0)]
+    rows += [(40, "same row as ever it was", 0)] * 3 + [(41, "", 0), (41, "same row as ever it was", 0), (42, None, 0)]
+    _, want = brute_components(rows, 80)
+    got = got_components(spark, rows)
+    assert got == want and {k: p for _, k, _, p in got} == {5: 5, 9: 5, 11: 5, 20: 20, 21: 20, 30: 20, 40: 40, 41: 40, 42: 42}
+    assert got_components(spark, []) == [] and got_components(spark, [(1, None, 0), (2, " ", 0)]) == [(False, 1, 0, 1), (False, 2, 0, 2)]
+
+
+def test_layouts_miss_next_to_nothing():
+    for percent in range(50, 101):
+        keys, orders = ngram_join.layout(percent)
+        assert keys <= ngram_join.MOST_KEYS and (percent == 100 or (1 - (percent / 100) ** orders) ** keys <= ngram_join.MISSED)
+    with pytest.raises(ValueError):
+        ngram_join.layout(49)
+
+
+def test_partners_are_at_most_a_band_apart(spark):
+    for percent in (50, 80, 95):
+        sizes = [*range(1, 400), 1000, 4096, 10**6, 10**9]
+        pairs = spark.createDataFrame([(n, m) for n in sizes for m in {n, n * 100 // percent, max(n, n * 100 // percent - 1)}], "n long, m long")
+        off = ngram_join.size_band(F.col("m"), percent) - ngram_join.size_band(F.col("n"), percent)
+        assert {r[0] for r in pairs.select(off).distinct().collect()} <= {0, 1}
 
 
 def test_bitmaps_never_rule_out_a_link():

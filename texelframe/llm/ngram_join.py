@@ -2,27 +2,31 @@
 
 1. Every text becomes the set of 64-bit hashes of its distinct shingles. Documents of equal sets are
    one class from here on, represented by the smallest id.
-2. Tiles. A class is put under `BANDS` keys, each of the `ROWS` smallest shingles by as many hash
-   orders, and its size band. Two sets of similarity J share a key of a band with
-   probability J^ROWS: at 0.8, a pair shares none of them with probability below 1e-9. A tile is what stands
-   under a key, within the band of sizes that can reach the threshold. Common passages, being only
-   a part of their documents, don't fill one.
+2. Tiles. Sizes are cut into bands, each as wide as two sets that link can differ in size, so that a set's
+   partners of its own size or more are in its own band or the next. A tile belongs to a band: it holds sets of that band (its
+   hosts) and of the one below (its guests), and every pair with a host is one to look at. Tiles of size bands alone
+   would compare all documents of like size. So a band's sets are dealt to tiles by a number of keys, each of the
+   smallest shingles by several hash orders; how many is worked out from the threshold, so that a linked
+   pair shares none of them with probability below `MISSED` (see `layout`). Common passages, being only
+   a part of their documents, don't fill a tile.
 3. Signatures. Each class carries a bitmap of its hashed shingles. Bits set in one bitmap
    and not in the other count shingles that aren't shared: they bound the overlap from above,
-   and pairs that can't reach the threshold, by sizes or by bits, go.
-4. The shingles of remaining pairs are compared exactly, as sorted arrays. First every class with one
-   other only, for most are linked by that; components of these links are formed; then all
+   and pairs that can't reach the threshold, by sizes or by bits, go. Very large sets have only a part of their shingles
+   in the bitmap; where two sets differ in that part, sizes alone bound the overlap.
+4. The sets of remaining pairs are compared exactly, as sorted arrays. First every class with one
+   host of a tile only, for most are linked by that; components of these links are formed; then all
    pairs within a tile that are still in different components. So a large group of near copies
    costs a comparison for each member instead of each pair, and no link between components is lost.
 
 Defined results: a text without words (null, empty, blank) has no shingle and no partner; rows of the
-same id are told apart by nothing and should not occur: they count as one document, with
-the union of their links; a null id takes part in nothing and is returned as it is; other columns are
-ignored; an empty table gives no rows.
+same id count as one document, with the union of their links, each with its own number of shingles; a null id takes
+part in nothing and has no component; other columns are ignored, whatever their names; a text may be of any length, as its set
+is made at once; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +41,9 @@ from texelframe.llm.components import connected_components
 
 SHINGLE = 5
 PERCENT = 80
-BANDS = 40
-ROWS = 4
+MISSED = 1e-9
+MOST_KEYS = 50  # of a class
+LEAST_PERCENT = 50
 BITS = 2048
 TILE = 256  # members of a tile that meet in a task at once
 
@@ -78,29 +83,46 @@ def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.
     return value[new], np.cumsum(np.bincount(doc[new], minlength=len(counts)))
 
 
-def _orders() -> np.ndarray:
-    """Odd multipliers of the hash orders."""
-    return _mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64)) | np.uint64(1)
+def layout(percent: int) -> tuple[int, int]:
+    """(keys of a class, hash orders of a key) for a threshold: the most selective keys that miss a pair with probability below MISSED.
+
+    Two sets of similarity J share a key of r orders with probability J^r.
+    """
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent must be in {LEAST_PERCENT}..100, got {percent}")
+    for orders in range(8, 0, -1):
+        keys = 1 if percent == 100 else math.ceil(math.log(MISSED) / math.log(1 - (percent / 100) ** orders))
+        if keys <= MOST_KEYS:
+            break
+    return keys, orders
 
 
-def tile_keys(sets: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """For each set that isn't empty, a key per band."""
+def tile_keys(sets: np.ndarray, ends: np.ndarray, n_keys: int, n_orders: int) -> np.ndarray:
+    """For each set that isn't empty, its keys."""
     starts = np.concatenate([[0], ends[:-1]])
     full = np.flatnonzero(ends > starts)
-    keys = np.empty((len(full), BANDS), dtype=np.uint64)
+    keys = np.empty((len(full), n_keys), dtype=np.uint64)
     if not len(full):
         return keys
-    for band in range(BANDS):
-        key = np.full(len(full), band, dtype=np.uint64)
-        for a in _orders()[band * ROWS : (band + 1) * ROWS]:
+    # odd multipliers of the hash orders
+    orders = _mixed(np.arange(1, n_keys * n_orders + 1, dtype=np.uint64)) | np.uint64(1)
+    for k in range(n_keys):
+        key = np.full(len(full), k, dtype=np.uint64)
+        for a in orders[k * n_orders : (k + 1) * n_orders]:
             h = sets * a
             h ^= h >> np.uint64(29)
             h *= np.uint64(0xBF58476D1CE4E5B9)
             key = _mixed(key + np.minimum.reduceat(h, starts[full]))
-        keys[:, band] = key
+        keys[:, k] = key
     return keys
 
 
+def size_band(n: Column, percent: int) -> Column:
+    """Number of the band of sizes; those of two sets that can link differ by one at most."""
+    width = math.log(100 / percent) * (1 + 1e-9)  # a little more, for rounding
+    return F.floor(F.log(n) / width)
+
+
 def fold(size: np.ndarray) -> np.ndarray:
     """Of a set of that size, one in 2^fold shingles goes into its bitmap: all of up to 1.4 for a bit, which tells most."""
     return np.maximum(np.ceil(np.log2(np.maximum(size, 1) / (BITS * 1.4))), 0).astype(np.int64)
@@ -116,21 +138,25 @@ def bitmaps(sets: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1).view(">i8").astype(np.int64)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def _digests(sets: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    raw, edges = sets.tobytes(), (np.concatenate([[0], ends]) * 8).tolist()
+    return [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(edges, edges[1:])]
+
+
+def signatures(docs: DataFrame, percent: int) -> DataFrame:
     """(doc_id, n_shingles, digest of the set, keys, bits, fold) of every document."""
+    n_keys, n_orders = layout(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 sets, ends = shingle_sets(part.column("text"))
                 counts = np.diff(ends, prepend=0)
-                raw, edges = sets.tobytes(), (np.concatenate([[0], ends]) * 8).tolist()
-                digest = [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(edges, edges[1:])]
-                of = np.concatenate([[0], np.cumsum((counts > 0) * BANDS)])
-                keys = pa.ListArray.from_arrays(pa.array(of, pa.int32()), pa.array(tile_keys(sets, ends).reshape(-1).view(np.int64)))
+                of = np.concatenate([[0], np.cumsum((counts > 0) * n_keys)])
+                keys = pa.ListArray.from_arrays(pa.array(of, pa.int32()), pa.array(tile_keys(sets, ends, n_keys, n_orders).reshape(-1).view(np.int64)))
                 bits = pa.ListArray.from_arrays(pa.array(np.arange(len(ends) + 1) * (BITS // 64), pa.int32()), pa.array(bitmaps(sets, ends).reshape(-1)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), pa.array(counts), pa.array(digest, pa.binary()), keys, bits, pa.array(fold(counts))],
+                    [part.column("doc_id").cast(pa.int64()), pa.array(counts), pa.array(_digests(sets, ends), pa.binary()), keys, bits, pa.array(fold(counts))],
                     names=["doc_id", "n_shingles", "digest", "keys", "bits", "fold"],
                 )
         release()
@@ -138,6 +164,23 @@ def signatures(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, keys array<long>, bits array<long>, fold long")
 
 
+def sorted_sets(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest, shingles) of every document: its sorted shingles, eight bytes each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets, ends = shingle_sets(part.column("text"))
+                raw, edges = sets.tobytes(), (np.concatenate([[0], ends]) * 8).tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id").cast(pa.int64()), pa.array(_digests(sets, ends), pa.binary()), pa.array([raw[a:b] for a, b in zip(edges, edges[1:])], pa.binary())],
+                    names=["doc_id", "digest", "shingles"],
+                )
+        release()
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, digest binary, shingles binary")
+
+
 def _overlap(a: str, b: str) -> Column:
     """The most that the sets of two columns of the sign kind can share, by their sizes and, if these are of one fold, their bitmaps."""
     n, m, x, y = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.bits"), F.col(f"{b}.bits")
@@ -152,89 +195,117 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * _overlap(a, b) >= percent * (n + m))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Those (a, b) of pairs whose sets reach the threshold exactly; texts: (doc_id, text) of the documents concerned."""
-    each = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+# A set is named by its class's smallest id and half of its digest, as one id may have several texts.
+NAME = ("doc", "half")
+
+
+def _named(side: str) -> list[str]:
+    return [f"{side}_{c}" for c in NAME]
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those (a_doc, b_doc) of pairs of names whose sets reach the threshold exactly; sets: (doc, half, shingles)."""
+    each = pairs.join(sets.toDF(*_named("a"), "left"), _named("a")).join(sets.toDF(*_named("b"), "right"), _named("b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text_a"):
-                if not len(part):
-                    continue
-                left, left_ends = shingle_sets(part.column("text_a"))
-                right, right_ends = shingle_sets(part.column("text_b"))
-                keep = []
-                i = j = 0
-                for i2, j2 in zip(left_ends.tolist(), right_ends.tolist()):
-                    both = len(np.intersect1d(left[i:i2], right[j:j2], assume_unique=True))
-                    keep.append(100 * both >= percent * (i2 - i + j2 - j - both))
-                    i, j = i2, j2
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(keep))
+            keep = []
+            for x, y in zip(batch.column("left"), batch.column("right")):
+                left, right = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
+                both = len(np.intersect1d(left, right, assume_unique=True))
+                keep.append(100 * both >= percent * (len(left) + len(right) - both))
+            yield batch.select(["a_doc", "b_doc"]).filter(pa.array(keep, pa.bool_()))
         release()
 
-    return each.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return each.select("a_doc", "b_doc", "left", "right").mapInArrow(run, "a_doc long, b_doc long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id): components of documents of at least `percent` similarity."""
-    signed = stored(signatures(docs))
-    classes = signed.filter("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    heads = signed.filter("n_shingles > 0").join(classes, (signed.digest == classes.digest) & (signed.doc_id == classes.rep), "left_semi")
-    heads = stored(heads.drop("digest").dropDuplicates(["doc_id"]))
-    placed = heads.select("doc_id", F.explode("keys").alias("key"))
-    # tiles of two or more, with the member that all others are compared with first
-    tiles = stored(placed.groupBy("key").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
-    members = stored(placed.join(tiles, "key").select("key", "doc_id", "first", "n"))
-    ones = F.aggregate("bits", F.lit(0), lambda s, x: s + F.bit_count(x))
-    sign = heads.select("doc_id", F.struct(F.col("n_shingles").alias("n"), ones.alias("ones"), "fold", "bits").alias("sign"))
-    # only documents that share a tile are compared: their texts are set apart once
-    shared = members.select("doc_id").distinct()
-    texts = stored(docs.select("doc_id", "text").join(shared, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    to_first = members.filter("doc_id <> first").select("doc_id", "first").distinct()
-    able = _bounded(to_first.toDF("b", "a"), sign, percent)
-    one = stored(able.groupBy("b").agg(F.max_by("a", F.struct("most", -F.col("a"))).alias("a")).select("a", "b"))
-    links = stored(verified(one, texts, percent))
-    found = stored(connected_components(links))
-    rest = _across(members, found, sign, percent).join(one, ["a", "b"], "left_anti")
-    more = stored(verified(stored(rest), texts, percent))
-    parts = connected_components(found.toDF("b", "a").unionByName(more))
-    by_class = classes.join(parts, classes.rep == parts.node, "left").select("digest", F.coalesce("component", "rep").alias("component"))
+    signed = stored(signatures(docs, percent))
+    some = signed.filter("n_shingles > 0 and doc_id is not null")
+    classes = some.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    of_class = stored(some.select("doc_id", "n_shingles", "digest").join(classes, "digest").select("doc_id", "n_shingles", "rep"))
+    links = _id_links(of_class)
+    if percent < 100:
+        links = _set_links(docs, some, classes, links, percent)
+    parts = connected_components(links, "a_doc", "b_doc")
     # the smallest member of a class is its smallest id, so that components are those of all documents
-    out = signed.join(by_class, "digest", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    out = of_class.join(parts, of_class.rep == parts.node, "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+    alone = signed.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return out.unionByName(alone)
+
+
+def _id_links(of_class: DataFrame) -> DataFrame:
+    """Links (a_doc, b_doc) between classes that an id with several texts is in."""
+    several = of_class.groupBy("doc_id").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi")
+    return of_class.join(several.select("doc_id", "lo"), "doc_id").filter("rep <> lo").select(F.col("rep").alias("a_doc"), F.col("lo").alias("b_doc"))
+
+
+def _set_links(docs: DataFrame, some: DataFrame, classes: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """`links`, and enough of those between classes to connect all that are."""
+    heads = some.join(classes, (some.digest == classes.digest) & (some.doc_id == classes.rep), "left_semi").dropDuplicates(["digest"])
+    half = F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long")
+    heads = stored(heads.withColumnsRenamed({"doc_id": "doc", "n_shingles": "n"}).withColumn("half", half))
+    band = size_band(F.col("n"), percent)
+    placed = heads.select(*NAME, "keys", F.explode(F.array(F.struct(band.alias("band"), F.lit(True).alias("host")), F.struct((band + 1).alias("band"), F.lit(False).alias("host")))).alias("of"))
+    placed = placed.select(*NAME, "of.band", "of.host", F.explode("keys").alias("k")).select(*NAME, "host", F.xxhash64("k", "band").alias("key"))
+    # tiles of two or more, with the host that all others are compared with first
+    hosts = F.when(F.col("host"), F.col("doc"))
+    tiles = placed.groupBy("key").agg(F.min(hosts).alias("first_doc"), F.min_by("half", hosts).alias("first_half"), F.count(F.lit(1)).alias("n"))
+    tiles = stored(tiles.filter("n > 1 and first_doc is not null"))
+    members = stored(placed.join(tiles, "key").select("key", *NAME, "host", "first_doc", "first_half", "n"))
+    ones = F.aggregate("bits", F.lit(0), lambda s, x: s + F.bit_count(x))
+    sign = heads.select(*NAME, F.struct("n", ones.alias("ones"), "fold", "bits").alias("sign"))
+    # only classes that share a tile are compared: their sets are set apart once
+    shared = members.select(*NAME).distinct().join(heads.select(*NAME, "digest"), [*NAME])
+    texts = docs.select("doc_id", "text").join(shared.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = sorted_sets(texts).join(shared.withColumnRenamed("doc", "doc_id"), ["doc_id", "digest"])
+    sets = stored(sets.select(F.col("doc_id").alias("doc"), "half", "shingles").dropDuplicates([*NAME]))
+    to_first = members.filter("doc <> first_doc").select(*(F.col(c).alias(f"b_{c}") for c in NAME), *(F.col(f"first_{c}").alias(f"a_{c}") for c in NAME)).distinct()
+    one = _bounded(to_first, sign, percent).groupBy(*_named("b")).agg(F.max_by(F.struct(*_named("a")), F.struct("most", -F.col("a_doc"))).alias("a"))
+    one = stored(one.select("a.*", *_named("b")))
+    links = links.unionByName(verified(one, sets, percent))
+    found = stored(connected_components(stored(links), "a_doc", "b_doc"))
+    rest = _across(members, found, sign, percent).join(one, [*_named("a"), *_named("b")], "left_anti")
+    more = stored(verified(stored(rest), sets, percent))
+    return found.toDF("b_doc", "a_doc").unionByName(more)
 
 
 def _bounded(pairs: DataFrame, sign: DataFrame, percent: int) -> DataFrame:
-    """Those (a, b) that may link, with the bound of their overlap against their sizes."""
-    each = pairs.join(sign.toDF("a", "sign_a"), "a").join(sign.toDF("b", "sign_b"), "b")
+    """Those pairs of names that may link, with the bound of their overlap against their sizes."""
+    each = pairs.join(sign.toDF(*_named("a"), "sign_a"), _named("a")).join(sign.toDF(*_named("b"), "sign_b"), _named("b"))
     share = _overlap("sign_a", "sign_b") / (F.col("sign_a.n") + F.col("sign_b.n"))
-    return each.filter(_may_link("sign_a", "sign_b", percent)).select("a", "b", share.alias("most"))
+    return each.filter(_may_link("sign_a", "sign_b", percent)).select(*_named("a"), *_named("b"), share.alias("most"))
 
 
 def _across(members: DataFrame, found: DataFrame, sign: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) within a tile, of different components, that may link.
+    """Pairs of names within a tile, a host in each, of different components, that may link.
 
     Only tiles of more than one component have any. In these, members outside the largest
     component are dealt to slots of about TILE; each slot meets, slot by slot of all
     members, those of other components.
     """
-    parts = found.toDF("doc_id", "part")
-    known = members.select("key", "doc_id", "n").join(parts, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
+    parts = found.toDF("doc", "part")
+    known = members.select("key", *NAME, "host", "n").join(parts, "doc", "left").withColumn("part", F.coalesce("part", "doc"))
     mixed = known.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo <> hi")
-    known = stored(known.join(mixed.select("key"), "key").join(sign, "doc_id"))
+    known = stored(known.join(mixed.select("key"), "key").join(sign, [*NAME]))
     sizes = known.groupBy("key", "part").agg(F.count(F.lit(1)).alias("size"))
     most = sizes.groupBy("key").agg(F.max(F.struct("size", "part")).alias("top"), F.sum("size").alias("all")).select(
         "key", F.col("top.part").alias("main"), (F.col("all") - F.col("top.size")).alias("others")
     )
     known = known.join(most, "key")
-    slot = lambda n: F.pmod(F.xxhash64("doc_id"), F.greatest(F.lit(1), F.ceil(F.col(n) / TILE).cast("long")))
+    slot = lambda n: F.pmod(F.xxhash64(*NAME), F.greatest(F.lit(1), F.ceil(F.col(n) / TILE).cast("long")))
     n_slots = lambda n: F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0), F.ceil(F.col(n) / TILE).cast("long") - 1))
-    columns = ["key", "doc_id", "part", "main", "sign"]
+    columns = ["key", *NAME, "host", "part", "main", "sign"]
     drive = known.filter("part <> main").select(*columns, slot("others").alias("s"), F.explode(n_slots("n")).alias("t"))
     meet = known.select(*columns, F.explode(n_slots("others")).alias("s"), slot("n").alias("t"))
     a = drive.select("key", "s", "t", *(F.col(c).alias(c + "_a") for c in columns[1:]))
     b = meet.select("key", "s", "t", *(F.col(c).alias(c + "_b") for c in columns[1:]))
     # of two members outside the main component, the smaller drives
-    once = (F.col("part_a") != F.col("part_b")) & ((F.col("part_b") == F.col("main_b")) | (F.col("doc_id_a") < F.col("doc_id_b")))
-    pairs = a.join(b, ["key", "s", "t"]).filter(once & _may_link("sign_a", "sign_b", percent))
-    return pairs.select(F.least("doc_id_a", "doc_id_b").alias("a"), F.greatest("doc_id_a", "doc_id_b").alias("b")).distinct()
+    once = (F.col("part_a") != F.col("part_b")) & ((F.col("part_b") == F.col("main_b")) | (F.col("doc_a") < F.col("doc_b")))
+    hosted = F.col("host_a") | F.col("host_b")
+    pairs = a.join(b, ["key", "s", "t"]).filter(once & hosted & _may_link("sign_a", "sign_b", percent))
+    low = F.col("doc_a") < F.col("doc_b")
+    ends = [F.when(low, F.col(f"{c}_{x}")).otherwise(F.col(f"{c}_{y}")).alias(f"{e}_{c}") for e, x, y in (("a", "a", "b"), ("b", "b", "a")) for c in NAME]
+    return pairs.select(*ends).distinct()
