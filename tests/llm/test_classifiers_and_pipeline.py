@@ -101,6 +101,31 @@ def test_pipeline_stages(spark, folder):
     assert corpus_pipeline.run(spark, folder).count() == sizes[-1]
 
 
+CLASHING = ("score", "predicted", "size", "source_size", "target", "copies", "copy", "ratio", "groups", "mix_key", "mix_twin", "twin", "key", "label", "digest", "keys", "component_id")
+
+
+def test_pipeline_stages_leave_other_columns_alone(spark, folder):
+    """Names that operators use themselves, nulls in every column, empty and long texts, repeated rows, an empty table."""
+    docs = table(spark, folder, "documents")
+    odd = [(None, None, None, None), (9001, None, "en", "src1"), (9002, "", None, None), (9003, " \n", "en", "src2"), (9004, "long words " * 60_000, "en", None)]
+    plain = docs.limit(1).select("text").first().text
+    odd += [(9010, plain, "en", "src3")] * 3 + [(None, plain, "en", "src3")] * 2 + [(9020, plain + " more", "en", "src3"), (9020, "another text altogether", "en", "src3")]
+    more = spark.createDataFrame(odd, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    docs = docs.unionByName(more).withColumns({c: F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for c in CLASHING})
+    docs = corpus_pipeline.stored(docs)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = corpus_pipeline.stored(stage(spark, docs, folder))
+        assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+        assert out.exceptAll(docs).count() == 0 or name == "mixing"
+        wrong = " OR ".join(f"{c} <> concat('{c}', coalesce(cast(doc_id AS string), '-'))" for c in CLASHING)
+        assert out.filter(wrong).count() == 0 and out.count() > 0
+        assert stage(spark, docs.filter("false"), folder).count() == 0
+        if name == "near_duplicates":
+            assert out.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").count() == 0
+            assert out.filter("doc_id IS NULL").groupBy("text").count().filter("count > 1").count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).agg(F.sum("length")).first()[0] > 0
+
+
 def test_queries_and_their_sql(spark, folder):
     import duckdb
 

@@ -225,14 +225,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     signed = stored(signatures(docs, percent))
     some = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = some.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    of_class = stored(some.select("doc_id", "n_shingles", "digest").join(classes, "digest").select("doc_id", "n_shingles", "rep"))
+    of_class = some.select("doc_id", "n_shingles", "digest").join(classes, "digest").select("doc_id", "n_shingles", "rep")
+    empty = signed.filter("n_shingles = 0 and doc_id is not null").select("doc_id", "n_shingles", F.col("doc_id").alias("rep"))
+    of_class = stored(of_class.unionByName(empty))  # empty sets are no class together
     links = _id_links(of_class)
     if percent < 100:
         links = _set_links(docs, some, classes, links, percent)
     parts = connected_components(links, "a_doc", "b_doc")
     # the smallest member of a class is its smallest id, so that components are those of all documents
     out = of_class.join(parts, of_class.rep == parts.node, "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    alone = signed.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    alone = signed.filter("doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return out.unionByName(alone)
 
 
