@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from texelframe.llm import huffman, mixing, packing, token_counts
@@ -236,3 +237,50 @@ def test_mix_comes_near_its_targets_and_repeats(spark, monkeypatch):
     count = lambda m: m.fillna({"doc_id": -1, "source": "~", "text": ""}).groupby(key).copies.sum().to_dict()
     assert count(mixed) == count(again)
     assert mixing.mix(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_every_size_is_taken_as_often_as_its_source_wants(spark, monkeypatch):
+    """Over many documents, in groups of a few and so over many levels, none is favoured for its size or place."""
+    monkeypatch.setattr(mixing, "GROUP", 3)
+    sizes = (1, 7, 60)
+    texts = [" ".join(["w"] * sizes[k % 3]) for k in range(6000)]
+    mixed = mixing.mix(spark.createDataFrame(rows_of(texts, ("a", "b")), DOCS)).toPandas()
+    for (source, size), own in mixed.groupby([mixed.source, mixed["size"]]):
+        ratio = own.target.iloc[0] / own.source_size.iloc[0]
+        p = ratio - int(ratio)
+        assert 0.1 < p < 0.9
+        assert abs(own.copies.mean() - ratio) < 4 * (p * (1 - p) / len(own)) ** 0.5, (source, size)
+        halves = own.copies[own.doc_id < 3000].mean(), own.copies[own.doc_id >= 3000].mean()
+        assert abs(halves[0] - halves[1]) < 6 * (p * (1 - p) / (len(own) / 2)) ** 0.5
+
+
+def test_fresh_numbers_keep_probabilities_over_levels():
+    """A document's number of a level says nothing of the next one: twelve documents in groups of three, many times."""
+    rng = np.random.default_rng(3)
+    size, taken = rng.integers(1, 9, 12).astype(float), np.zeros(12)
+    for _ in range(4000):
+        p, live = np.full(12, 0.37), np.arange(12)
+        for step in (3, 3, 12):
+            rest = []
+            for at in range(0, len(live), step):
+                group = live[at : at + step]
+                p[group], left = mixing._round_group(size[group], p[group], rng.random(len(group)))
+                if left >= 0:
+                    rest.append(group[left])
+            live = np.array(rest, dtype=np.int64)
+        for k in live:
+            p[k] = float(rng.random() < p[k])
+        taken += p
+    assert abs(taken / 4000 - 0.37).max() < 0.035
+
+
+def test_large_groups_of_equal_rows_are_rounded_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "TWINS", 50)
+    rows = rows_of(["a b c"], ("a",)) * 730 + rows_of([" ".join(["w"] * (k % 9)) for k in range(400)], ("b",))[1:]
+    docs = spark.createDataFrame(rows, DOCS).repartition(5)
+    mixed = mixing.mix(docs).toPandas()
+    same = mixed[mixed.source == "a"]
+    ratio = same.target.iloc[0] / same.source_size.iloc[0]
+    assert len(mixed) == len(rows) and len(same) == 730
+    assert set(same.copies) <= {int(ratio), int(ratio) + 1} and abs(same.copies.sum() - 730 * ratio) < 1
+    assert mixing.mix(docs.repartition(3)).filter("source = 'a'").agg(F.sum("copies")).first()[0] == same.copies.sum()

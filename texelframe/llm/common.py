@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import gc
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from texelframe.session import shared_folder
+from texelframe.session import cut_lineage
 
 SLICE_BYTES = 2_000_000
 
@@ -22,11 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """df written once as Parquet into the shared folder and read from there."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """df written once as Parquet into the shared folder and read from there; removed when the session ends."""
+    return cut_lineage(df)
 
 
 def crc_mod(doc_id: Column, n: int) -> Column:

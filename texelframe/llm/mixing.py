@@ -9,9 +9,13 @@ the same, so that each source ends at its target but for a single document's rou
 
 Pairs meet in groups of hashed ids, whose number follows the number of rows; what is left
 of each group, at most one document, goes up a tree of groups to the root of its source. Random
-directions come from a hash of document and seed: reruns agree, however rows are
+directions come from a hash of document, seed and level, each used once: reruns agree, however rows are
 partitioned, and a source with most of the rows is spread over as many groups as it needs.
 
+Rows that are equal in id, source and text are told apart by a number. Where more than `TWINS` are equal, their group is
+rounded as a whole, to the number of rows that are taken once more: rows are numbered within salted blocks of
+the group, and blocks one after another, so that no task holds all of it.
+
 Defined results: a null text has size 0; documents of size 0 are taken 0 words; a null source
 is a source of its own, after all others; repeated rows are rounded one by one; a null
 doc_id is one like others; an empty table gives no rows.
@@ -30,6 +34,7 @@ from pyspark.sql import functions as F
 from texelframe.llm.common import stored
 
 CORRECTIONS = 3
+TWINS = 1000
 GROUP = 4096  # about as many documents, or residuals, meet in a group
 MAX_REPEATS = 3.0
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -66,7 +71,10 @@ def _unit(seed: int, *keys: Column) -> Column:
 
 
 def _round_group(size: np.ndarray, p: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, int]:
-    """Pivotal rounding of a group in its order; returns the probabilities, and the place of the residual or -1."""
+    """Pivotal rounding of a group in its order; returns the probabilities, and the place of the residual or -1.
+
+    Each number of u decides one pair: that in which its document comes second.
+    """
     p = p.copy()
     held = -1
     for k in range(len(p)):
@@ -90,12 +98,14 @@ def _round_group(size: np.ndarray, p: np.ndarray, u: np.ndarray) -> tuple[np.nda
     return p, held
 
 
-def _level(rows: DataFrame, last: bool) -> DataFrame:
+def _level(rows: DataFrame, last: bool, seed: int, number: int) -> DataFrame:
     """Rounds within (rank, bucket); `left` marks each group's residual, which is drawn if it is the last level."""
-    schema = "key long, twin long, rank int, size long, want double, p double, u double, left boolean"
+    schema = "key long, twin long, rank int, size long, want double, p double, left boolean"
+    # numbers of this level's own: one for a document's pair, another for the last draw
+    rows = rows.withColumns({name: _unit(seed, F.col("key"), F.col("twin"), F.lit(number), F.lit(name)) for name in ("u", "v")})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "twin", "rank", "size", "want", "p", "u", "left"]
+        names = ["key", "twin", "rank", "size", "want", "p", "left"]
         held: dict | None = None
 
         def done(group: dict) -> pa.RecordBatch:
@@ -103,7 +113,7 @@ def _level(rows: DataFrame, last: bool) -> DataFrame:
             left = np.zeros(len(p), dtype=bool)
             if residual >= 0:
                 if last:
-                    p[residual] = float(group["u"][residual] < p[residual])
+                    p[residual] = float(group["v"][residual] < p[residual])
                 else:
                     left[residual] = True
             columns = {**group, "rank": group["rank"].astype(np.int32), "p": p, "left": left}
@@ -125,7 +135,7 @@ def _level(rows: DataFrame, last: bool) -> DataFrame:
             yield done(held)
 
     dealt = rows.repartition("rank", "bucket").sortWithinPartitions("rank", "bucket", "key", "twin")
-    return dealt.select("key", "twin", "rank", "bucket", "size", "want", "p", "u").mapInArrow(run, schema)
+    return dealt.select("key", "twin", "rank", "bucket", "size", "want", "p", "u", "v").mapInArrow(run, schema)
 
 
 def _corrected(drawn: DataFrame) -> DataFrame:
@@ -145,8 +155,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MAX
     sources must be small: a row of each reaches the driver.
     """
     spark = docs.sparkSession
-    docs = docs.drop("size", "source_size", "target", "copies", "mix_key", "mix_twin", "mix_source", "mix_rank", "mix_ups", "ratio", "groups")
-    alike = Window.partitionBy("mix_key").orderBy("size")
+    docs = docs.drop("size", "source_size", "target", "copies", *(c for c in docs.columns if c.startswith("mix_")), "ratio", "groups")
     sized = docs.withColumns({
         "size": n_words(F.col("text")),
         "mix_key": F.xxhash64(F.col("doc_id"), F.col("source"), F.col("text")),
@@ -160,29 +169,49 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MAX
         "mix_rank int, mix_source string, source_size long, target double, ratio double, groups long",
     )
     plan = F.broadcast(plan)  # a row per source
+    part = F.col("ratio") - F.floor("ratio")
     # equal rows are told apart by a number; which row gets which makes no difference
-    each = small.withColumn("twin", F.row_number().over(alike).cast("long")).join(plan, F.col("source").eqNullSafe(F.col("mix_source"))).select(
-        F.col("mix_key").alias("key"), "twin", F.col("mix_rank").alias("rank"), "size", (F.col("ratio") - F.floor("ratio")).alias("p"), "groups",
+    alike = Window.partitionBy("mix_key").orderBy("size")
+    hot = stored(small.groupBy("mix_key").agg(F.count(F.lit(1)).alias("mix_n")).filter(F.col("mix_n") > TWINS))
+    each = small.join(hot, "mix_key", "left_anti").withColumn("twin", F.row_number().over(alike).cast("long"))
+    each = each.join(plan, F.col("source").eqNullSafe(F.col("mix_source"))).select(
+        F.col("mix_key").alias("key"), "twin", F.col("mix_rank").alias("rank"), "size", part.alias("p"), "groups",
     )
-    each = each.filter("size > 0 and p > 0").withColumn("want", F.col("p")).withColumn("u", _unit(seed, F.col("key"), F.col("twin")))
+    each = each.filter("size > 0 and p > 0").withColumn("want", F.col("p"))
     rounds = max((max(1, r.n // GROUP) for r in found), default=1)
     level = each.withColumn("bucket", F.pmod(F.xxhash64("key", "twin"), F.col("groups")))
-    parts = []
+    parts: list[DataFrame] = []
     while True:
-        done = stored(_level(level, last=rounds <= 1))
+        done = stored(_level(level, rounds <= 1, seed, len(parts)))
         parts.append(done.filter("not left").select("key", "twin", "rank", "size", "want", "p"))
         if rounds <= 1:
             break
         rounds = -(-rounds // GROUP)
         level = done.filter("left").withColumn("bucket", F.pmod(F.xxhash64("key", "twin"), F.lit(rounds)))
     ups = parts[0]
-    for part in parts[1:]:
-        ups = ups.union(part)
+    for more in parts[1:]:
+        ups = ups.union(more)
     for _ in range(CORRECTIONS):
-        ups = _corrected(ups)
-    ups = ups.filter("p > 0.5").groupBy(F.col("key").alias("mix_key")).agg(F.collect_set("twin").alias("mix_ups"))
-    out = sized.withColumn("mix_twin", F.row_number().over(alike).cast("long")).join(ups, "mix_key", "left")
-    out = out.join(plan.drop("groups", "mix_rank"), F.col("source").eqNullSafe(F.col("mix_source")))
-    extra = F.coalesce(F.array_contains("mix_ups", F.col("mix_twin")), F.lit(False)).cast("long")
-    copies = F.when(F.col("size") > 0, F.floor("ratio") + extra).otherwise(F.lit(0)).alias("copies")
+        ups = stored(_corrected(ups))
+    ups = ups.filter("p > 0.5").groupBy(F.col("key").alias("mix_key")).agg(F.collect_set("twin").alias("mix_ups"))  # TWINS at most
+    cold = sized.join(hot.select("mix_key"), "mix_key", "left_anti").withColumn("mix_twin", F.row_number().over(alike).cast("long"))
+    cold = cold.join(ups, "mix_key", "left").withColumn("mix_extra", F.coalesce(F.array_contains("mix_ups", F.col("mix_twin")), F.lit(False)))
+    planned = lambda df: df.join(plan.drop("groups", "mix_rank"), F.col("source").eqNullSafe(F.col("mix_source")))
+    drawn = F.floor(F.col("mix_n") * part + _unit(seed, F.col("mix_key")))
+    groups = planned(_numbered(sized.join(hot, "mix_key"))).withColumn("mix_extra", F.col("mix_twin") <= drawn)
+    columns = [*docs.columns, "size", "source_size", "target", "ratio", "mix_extra"]
+    out = planned(cold).select(*columns).unionByName(groups.select(*columns))
+    copies = F.when(F.col("size") > 0, F.floor("ratio") + F.col("mix_extra").cast("long")).otherwise(F.lit(0)).alias("copies")
     return out.select(*docs.columns, "size", "source_size", "target", copies)
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows of large groups of equals with mix_twin, their number from 1 in the group of their mix_key, whose size is mix_n."""
+    blocks = F.ceil(F.col("mix_n") / TWINS).cast("long")
+    rows = stored(rows.withColumn("mix_block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), blocks)))
+    sizes = rows.groupBy("mix_key", "mix_block").agg(F.count(F.lit(1)).alias("mix_size"))
+    before = F.sum("mix_size").over(Window.partitionBy("mix_key").orderBy("mix_block")) - F.col("mix_size")
+    starts = sizes.select(F.col("mix_key").alias("mix_of"), F.col("mix_block").alias("mix_at"), before.alias("mix_before"))
+    inside = F.row_number().over(Window.partitionBy("mix_key", "mix_block").orderBy("size"))
+    placed = rows.withColumn("mix_inside", inside).join(starts, (F.col("mix_key") == F.col("mix_of")) & (F.col("mix_block") == F.col("mix_at")))
+    return placed.withColumn("mix_twin", F.col("mix_inside") + F.col("mix_before"))
