@@ -248,8 +248,9 @@ def mine(texts: DataFrame) -> Votes:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS) -> Model:
-    """labels: (doc_id, label 0 or 1), of which at most `sample` are taken, by hash."""
-    texts = docs.select("doc_id", "text").join(F.broadcast(_sample(labels, sample)), "doc_id")  # at most `sample` rows
+    """labels: (doc_id, label 0 or 1), of which at most `sample` are taken, by hash. Of several rows of one id, the smallest text teaches."""
+    texts = docs.select("doc_id", "text").join(F.broadcast(_sample(labels, sample)), "doc_id")
+    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("label").alias("label"))  # at most `sample` rows
     texts = texts.repartition(8).cache()
     votes = mine(texts)
     width = len(votes.names) + 1
