@@ -45,6 +45,8 @@ MISSED = 1e-9
 MOST_KEYS = 50  # of a class
 LEAST_PERCENT = 50
 BITS = 2048
+# A set is named by its class's smallest id and half of its digest, as one id may have several texts.
+NAME = ("doc", "half")
 TILE = 256  # members of a tile that meet in a task at once
 
 
@@ -143,8 +145,12 @@ def _digests(sets: np.ndarray, ends: np.ndarray) -> list[bytes]:
     return [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(edges, edges[1:])]
 
 
+def _halves(digests: list[bytes]) -> pa.Array:
+    return pa.array([int.from_bytes(d[:8], "little", signed=True) for d in digests], pa.int64())
+
+
 def signatures(docs: DataFrame, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, digest of the set, keys, bits, fold) of every document."""
+    """(doc_id, n_shingles, digest of the set, half of it, keys, bits, fold) of every document."""
     n_keys, n_orders = layout(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,17 +161,18 @@ def signatures(docs: DataFrame, percent: int) -> DataFrame:
                 of = np.concatenate([[0], np.cumsum((counts > 0) * n_keys)])
                 keys = pa.ListArray.from_arrays(pa.array(of, pa.int32()), pa.array(tile_keys(sets, ends, n_keys, n_orders).reshape(-1).view(np.int64)))
                 bits = pa.ListArray.from_arrays(pa.array(np.arange(len(ends) + 1) * (BITS // 64), pa.int32()), pa.array(bitmaps(sets, ends).reshape(-1)))
+                digests = _digests(sets, ends)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), pa.array(counts), pa.array(_digests(sets, ends), pa.binary()), keys, bits, pa.array(fold(counts))],
-                    names=["doc_id", "n_shingles", "digest", "keys", "bits", "fold"],
+                    [part.column("doc_id").cast(pa.int64()), pa.array(counts), pa.array(digests, pa.binary()), _halves(digests), keys, bits, pa.array(fold(counts))],
+                    names=["doc_id", "n_shingles", "digest", "half", "keys", "bits", "fold"],
                 )
         release()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, keys array<long>, bits array<long>, fold long")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, digest binary, half long, keys array<long>, bits array<long>, fold long")
 
 
 def sorted_sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, shingles) of every document: its sorted shingles, eight bytes each."""
+    """(doc, half, shingles) of every document: half of its set's digest, and its sorted shingles, eight bytes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,12 +180,12 @@ def sorted_sets(docs: DataFrame) -> DataFrame:
                 sets, ends = shingle_sets(part.column("text"))
                 raw, edges = sets.tobytes(), (np.concatenate([[0], ends]) * 8).tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").cast(pa.int64()), pa.array(_digests(sets, ends), pa.binary()), pa.array([raw[a:b] for a, b in zip(edges, edges[1:])], pa.binary())],
-                    names=["doc_id", "digest", "shingles"],
+                    [part.column("doc_id").cast(pa.int64()), _halves(_digests(sets, ends)), pa.array([raw[a:b] for a, b in zip(edges, edges[1:])], pa.binary())],
+                    names=[*NAME, "shingles"],
                 )
         release()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, digest binary, shingles binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc long, half long, shingles binary")
 
 
 def _overlap(a: str, b: str) -> Column:
@@ -195,10 +202,6 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * _overlap(a, b) >= percent * (n + m))
 
 
-# A set is named by its class's smallest id and half of its digest, as one id may have several texts.
-NAME = ("doc", "half")
-
-
 def _named(side: str) -> list[str]:
     return [f"{side}_{c}" for c in NAME]
 
@@ -247,8 +250,7 @@ def _id_links(of_class: DataFrame) -> DataFrame:
 def _set_links(docs: DataFrame, some: DataFrame, classes: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     """`links`, and enough of those between classes to connect all that are."""
     heads = some.join(classes, (some.digest == classes.digest) & (some.doc_id == classes.rep), "left_semi").dropDuplicates(["digest"])
-    half = F.conv(F.substring(F.hex("digest"), 1, 15), 16, 10).cast("long")
-    heads = stored(heads.withColumnsRenamed({"doc_id": "doc", "n_shingles": "n"}).withColumn("half", half))
+    heads = stored(heads.withColumnsRenamed({"doc_id": "doc", "n_shingles": "n"}))
     band = size_band(F.col("n"), percent)
     placed = heads.select(*NAME, "keys", F.explode(F.array(F.struct(band.alias("band"), F.lit(True).alias("host")), F.struct((band + 1).alias("band"), F.lit(False).alias("host")))).alias("of"))
     placed = placed.select(*NAME, "of.band", "of.host", F.explode("keys").alias("k")).select(*NAME, "host", F.xxhash64("k", "band").alias("key"))
@@ -260,15 +262,13 @@ def _set_links(docs: DataFrame, some: DataFrame, classes: DataFrame, links: Data
     ones = F.aggregate("bits", F.lit(0), lambda s, x: s + F.bit_count(x))
     sign = heads.select(*NAME, F.struct("n", ones.alias("ones"), "fold", "bits").alias("sign"))
     # only classes that share a tile are compared: their sets are set apart once
-    shared = members.select(*NAME).distinct().join(heads.select(*NAME, "digest"), [*NAME])
-    texts = docs.select("doc_id", "text").join(shared.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = sorted_sets(texts).join(shared.withColumnRenamed("doc", "doc_id"), ["doc_id", "digest"])
-    sets = stored(sets.select(F.col("doc_id").alias("doc"), "half", "shingles").dropDuplicates([*NAME]))
+    shared = members.select(F.col("doc").alias("doc_id")).distinct()
+    sets = stored(sorted_sets(docs.select("doc_id", "text").join(shared, "doc_id", "left_semi")).dropDuplicates([*NAME]))
     to_first = members.filter("doc <> first_doc").select(*(F.col(c).alias(f"b_{c}") for c in NAME), *(F.col(f"first_{c}").alias(f"a_{c}") for c in NAME)).distinct()
     one = _bounded(to_first, sign, percent).groupBy(*_named("b")).agg(F.max_by(F.struct(*_named("a")), F.struct("most", -F.col("a_doc"))).alias("a"))
     one = stored(one.select("a.*", *_named("b")))
     links = links.unionByName(verified(one, sets, percent))
-    found = stored(connected_components(stored(links), "a_doc", "b_doc"))
+    found = stored(connected_components(links, "a_doc", "b_doc"))
     rest = _across(members, found, sign, percent).join(one, [*_named("a"), *_named("b")], "left_anti")
     more = stored(verified(stored(rest), sets, percent))
     return found.toDF("b_doc", "a_doc").unionByName(more)
