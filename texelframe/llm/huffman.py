@@ -158,9 +158,8 @@ def count_ids(rows: DataFrame) -> dict[int, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << 16, dtype=np.int64)
-        for batch in batches:
-            if len(batch):
-                counts += np.bincount(_flat(batch.column("ids"))[0], minlength=1 << 16)
+        for part in (part for batch in batches for part in slices(batch, "ids")):
+            counts += np.bincount(_flat(part.column("ids"))[0], minlength=1 << 16)
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(counts[seen], pa.int64())], names=["id", "n"])
 
@@ -186,9 +185,9 @@ def write_blocks(rows: DataFrame, max_bits: int = MAX_BITS) -> tuple[DataFrame,
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, bits = shared.value
         shard, block, before = TaskContext.get().partitionId(), 0, 0
-        for batch in batches:
-            flat, ends = _flat(batch.column("ids"))
-            doc_ids, rows = batch.column("doc_id"), []
+        for part in (part for batch in batches for part in slices(batch, "ids")):
+            flat, ends = _flat(part.column("ids"))
+            doc_ids, rows = part.column("doc_id"), []
             # documents up to each multiple of BLOCK_TOKENS make a block
             cuts = np.flatnonzero(np.diff(ends // BLOCK_TOKENS, prepend=0)) + 1
             for a, b in zip([0, *cuts], [*cuts, len(ends)]):

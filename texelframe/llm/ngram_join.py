@@ -227,13 +227,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id): components of documents of at least `percent` similarity."""
     signed = stored(signatures(docs, percent))
     some = signed.filter("n_shingles > 0 and doc_id is not null")
-    classes = some.groupBy("digest").agg(F.min("doc_id").alias("rep"))
+    # a class's rows differ in their ids only
+    heads = some.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"), *(F.first(c).alias(c) for c in ("half", "keys", "bits", "fold")))
+    heads = stored(heads)
+    classes = heads.select("digest", F.col("doc").alias("rep"))
     of_class = some.select("doc_id", "n_shingles", "digest").join(classes, "digest").select("doc_id", "n_shingles", "rep")
     empty = signed.filter("n_shingles = 0 and doc_id is not null").select("doc_id", "n_shingles", F.col("doc_id").alias("rep"))
     of_class = stored(of_class.unionByName(empty))  # empty sets are no class together
     links = _id_links(of_class)
     if percent < 100:
-        links = _set_links(docs, some, classes, links, percent)
+        links = _set_links(docs, heads, links, percent)
     parts = connected_components(links, "a_doc", "b_doc")
     # the smallest member of a class is its smallest id, so that components are those of all documents
     out = of_class.join(parts, of_class.rep == parts.node, "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
@@ -247,10 +250,8 @@ def _id_links(of_class: DataFrame) -> DataFrame:
     return of_class.join(several.select("doc_id", "lo"), "doc_id").filter("rep <> lo").select(F.col("rep").alias("a_doc"), F.col("lo").alias("b_doc"))
 
 
-def _set_links(docs: DataFrame, some: DataFrame, classes: DataFrame, links: DataFrame, percent: int) -> DataFrame:
-    """`links`, and enough of those between classes to connect all that are."""
-    heads = some.join(classes, (some.digest == classes.digest) & (some.doc_id == classes.rep), "left_semi").dropDuplicates(["digest"])
-    heads = stored(heads.withColumnsRenamed({"doc_id": "doc", "n_shingles": "n"}))
+def _set_links(docs: DataFrame, heads: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """`links`, and enough of those between classes, heads, to connect all that are."""
     band = size_band(F.col("n"), percent)
     placed = heads.select(*NAME, "keys", F.explode(F.array(F.struct(band.alias("band"), F.lit(True).alias("host")), F.struct((band + 1).alias("band"), F.lit(False).alias("host")))).alias("of"))
     placed = placed.select(*NAME, "of.band", "of.host", F.explode("keys").alias("k")).select(*NAME, "host", F.xxhash64("k", "band").alias("key"))

@@ -135,8 +135,10 @@ def fit_tree(x: np.ndarray, top: float, branches: int = BRANCHES, leaf: int = LE
     return tree
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, x: np.ndarray, q: np.ndarray, own: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and scores of a query's n best of the candidates, ties to the smaller id."""
+def _best(
+    scores: np.ndarray, ids: np.ndarray, x: np.ndarray, q: np.ndarray, own: int, n: int, at: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of a query's n best of the candidates, ties to the smaller id. at: their places in x, if these aren't all in order."""
     if len(scores) > n + 1:
         # summing in another order may turn nearly equal scores round: those within reach are scored again
         limit = np.partition(scores, len(scores) - n - 1)[len(scores) - n - 1]
@@ -144,7 +146,7 @@ def _best(scores: np.ndarray, ids: np.ndarray, x: np.ndarray, q: np.ndarray, own
     else:
         near = np.arange(len(scores))
     near = near[ids[near] != own]
-    exact = (x[near] * q[None, :]).sum(axis=1)
+    exact = (x[near if at is None else at[near]] * q[None, :]).sum(axis=1)
     order = np.lexsort((ids[near], -exact))[:n]
     return ids[near][order], exact[order]
 
@@ -159,25 +161,30 @@ class _Slot:
 
     def best(self, q: np.ndarray, own: np.ndarray, open_: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query, id, score) of each query's n best of the vectors in the leaves it opened. A leaf is scored for all that opened it at once."""
-        scores: list[list[np.ndarray]] = [[] for _ in q]
-        rows: list[list[np.ndarray]] = [[] for _ in q]
         visitor = np.repeat(np.arange(len(q)), [len(o) for o in open_])
         leaf = np.concatenate(open_)
-        order = np.argsort(leaf, kind="stable")
-        visitor, leaf = visitor[order], leaf[order]
-        for at, a, m in zip(self.leaves, self.starts, self.sizes):
-            lo, hi = np.searchsorted(leaf, [at, at + 1])
-            if lo < hi:
-                block = q[visitor[lo:hi]] @ self.x[a : a + m].T
-                for k, s in zip(visitor[lo:hi], block):
-                    scores[k].append(s)
-                    rows[k].append(np.arange(a, a + m))
-        out = []
-        for k, own_id in enumerate(own):
-            if rows[k]:
-                at = np.concatenate(rows[k])
-                near, s = _best(np.concatenate(scores[k]), self.ids[at], self.x[at], q[k], own_id, n)
+        here = np.searchsorted(self.leaves, leaf)
+        known = (here < len(self.leaves)) & (self.leaves[np.minimum(here, len(self.leaves) - 1)] == leaf)
+        visitor, here = visitor[known], here[known]
+        # a query's scores stand one after another, leaf by leaf
+        counts = self.sizes[here]
+        starts = np.cumsum(counts) - counts
+        scores, rows = np.empty(int(counts.sum())), np.empty(int(counts.sum()), dtype=np.int64)
+        by_leaf = np.argsort(here, kind="stable")
+        edges = np.flatnonzero(np.diff(here[by_leaf], prepend=-1))
+        for pairs in np.split(by_leaf, edges[1:]) if len(by_leaf) else []:
+            a, m = self.starts[here[pairs[0]]], self.sizes[here[pairs[0]]]
+            at = starts[pairs][:, None] + np.arange(m)
+            scores[at] = q[visitor[pairs]] @ self.x[a : a + m].T
+            rows[at] = np.arange(a, a + m)
+        ends = np.cumsum(np.bincount(visitor, weights=counts, minlength=len(q))).astype(np.int64)
+        out, begin = [], 0
+        for k, (own_id, end) in enumerate(zip(own, ends.tolist())):
+            if end > begin:
+                at = rows[begin:end]
+                near, s = _best(scores[begin:end], self.ids[at], self.x, q[k], own_id, n, at)
                 out.append((np.full(len(near), own_id), near, s))
+            begin = end
         if not out:
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
         return tuple(np.concatenate(c) for c in zip(*out))
