@@ -127,6 +127,15 @@ def test_a_stencil_sends_each_sample_at_most_twice(spark):
     assert len(rows) == 1 and rows[0] <= 2 * 256 * 256
 
 
+def test_scaled_comparisons_are_paired_once(spark, sized):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = plan(compare.compare_images(sized, samples.quantize_unorm(sized, 4), rangescale=True))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert report.count("FullOuter") == 1
+
+
 def test_stored_tables_are_paired_where_they_lie(spark, sized, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from texelframe.functions.names import name_tags
 from texelframe.functions import color
-from texelframe.operators.metrics import diff_report, range_scale_pairs
+from texelframe.operators.metrics import diff_report, peak_color, range_scale_pairs
 from texelframe.operators.pairs import pair, second
-from texelframe.schema import RGB, image_keys
+from texelframe.operators.samples import map_channels
+from texelframe.schema import RGB, image_keys, image_stats, join_image_stats
 
 
 def apply_name_transforms(pairs: DataFrame, path: Column, basename_only: bool = False) -> DataFrame:
@@ -50,6 +51,11 @@ def compare_images(
     same extent, but some have no partner).
     """
     keys = image_keys(reference)
+    if rangescale:
+        # before they are paired, so that the pairs are made and read once
+        peaks = image_stats(reference, peak_color().alias("_peak"))
+        scaled = join_image_stats(other, peaks, keys, "left")
+        other = map_channels(scaled, lambda c: c * F.coalesce("_peak", F.lit(1.0))).drop("_peak")
     both = pair(reference.withColumn("_in", F.lit(1)), other.withColumn("_in", F.lit(1)), "full")
     ours, theirs = F.col("_in").isNotNull(), F.col(second("_in")).isNotNull()
     axes = [k for k in ("z", "y", "x") if k in reference.columns]
@@ -60,12 +66,7 @@ def compare_images(
         .when(extent(ours) != extent(theirs), "size")
         .when(F.count(F.when(ours & theirs, 1)) < F.count(F.lit(1)), "samples")
     )
-    if rangescale:
-        codes = both.groupBy(*keys).agg(code.alias("code"))
-        report = compare_pairs(both.filter(ours & theirs).drop("_in", second("_in")), None, weighted, normals, True)
-        report = codes.join(report, keys, "left")
-    else:
-        report = diff_report(both, weighted, normals, extra=[code.alias("code")])
+    report = diff_report(both, weighted, normals, extra=[code.alias("code")])
     values = [c for c in report.columns if c not in (*keys, "code")]
     return report.select(*keys, *[F.when(F.col("code").isNull(), F.col(c)).alias(c) for c in values], "code")
 

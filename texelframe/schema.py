@@ -72,12 +72,13 @@ def image_stats(df: DataFrame, *aggregates: Column, keys: list[str] | None = Non
     return df.groupBy(*(image_keys(df) if keys is None else keys)).agg(*last, *aggregates)
 
 
-def join_image_stats(df: DataFrame, stats: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def join_image_stats(df: DataFrame, stats: DataFrame, keys: list[str] | None = None, how: str = "inner") -> DataFrame:
     """Add per-image values to every sample of the image.
 
     They are joined by image and block (see BLOCK), so no image, however large, meets its
     samples under a single key; each image repeats its short row once per block. ``stats`` says how far
-    an image goes, by its largest coordinates ``_last_z``, ``_last_y`` and ``_last_x``.
+    an image goes, by its largest coordinates ``_last_z``, ``_last_y`` and ``_last_x``; samples beyond have no
+    values, and drop out unless ``how`` is left.
     """
     keys = image_keys(df) if keys is None else keys
     per_block, placed, blocks = stats, df, []
@@ -87,7 +88,7 @@ def join_image_stats(df: DataFrame, stats: DataFrame, keys: list[str] | None = N
             per_block = per_block.withColumn(blocks[-1], F.explode(F.sequence(F.lit(0), int_div(F.col(f"_last_{axis}"), size))))
             placed = placed.withColumn(blocks[-1], int_div(F.col(axis), size))
     per_block = per_block.drop(*[f"_last_{axis}" for axis in BLOCK])
-    return placed.join(per_block, [*keys, *blocks]).drop(*blocks)
+    return placed.join(per_block, [*keys, *blocks], how).drop(*blocks)
 
 
 def attach_image_stats(df: DataFrame, *aggregates: Column, keys: list[str] | None = None) -> DataFrame:

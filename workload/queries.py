@@ -585,6 +585,13 @@ NAMED = [
            + ", ".join(f"{c}2 * CASE WHEN name LIKE '%rgbm%' THEN p ELSE 1e0 END AS {c}2" for c in "rgb")
            + " FROM t2 JOIN peaks USING (texture_id)"),
 ]
+SCALED_PAIR = ("sc2", "SELECT texture_id, y, x, r, g, b, a, r2 * p AS r2, g2 * p AS g2, b2 * p AS b2, a2 FROM px_pair JOIN peaks USING (texture_id)")
+register(
+    "a9_compare_scaled", lambda s, d: compare.compare_images(fx.px(s, d), fx.px_low(s, d), rangescale=True).drop("code"),
+    q.query(report_sql("sc2"), "px_pair", ctes=[PEAKS, SCALED_PAIR]),
+)
+
+
 def _stored_pair(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """The images and their coarse versions, as bucketed tables."""
     tables_ = []
