@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 from texelframe.llm.common import Memo, Words, ranges
 
-CACHED_BYTES = 40_000_000
+CACHED_BYTES = 160_000_000
 
 # The tokenizer file's pre-tokens (but for runs of letters, which remain) and
 # the end mark of its pieces.
