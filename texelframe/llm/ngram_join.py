@@ -300,15 +300,18 @@ def _across(members: DataFrame, found: DataFrame, sign: DataFrame, percent: int)
     known = known.join(most, "key")
     slot = lambda n: F.pmod(F.xxhash64(*NAME), F.greatest(F.lit(1), F.ceil(F.col(n) / TILE).cast("long")))
     n_slots = lambda n: F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0), F.ceil(F.col(n) / TILE).cast("long") - 1))
-    columns = ["key", *NAME, "host", "part", "main", "sign"]
-    drive = known.filter("part <> main").select(*columns, slot("others").alias("s"), F.explode(n_slots("n")).alias("t"))
-    meet = known.select(*columns, F.explode(n_slots("others")).alias("s"), slot("n").alias("t"))
-    a = drive.select("key", "s", "t", *(F.col(c).alias(c + "_a") for c in columns[1:]))
-    b = meet.select("key", "s", "t", *(F.col(c).alias(c + "_b") for c in columns[1:]))
+    columns = ["key", *NAME, "part", "main", "sign"]
+    # hosts meet all, guests hosts only
+    every, hosts = F.lit(True), F.lit(False)
+    drive = known.filter("part <> main").select(*columns, F.col("host").alias("every"), slot("others").alias("s"), F.explode(n_slots("n")).alias("t"))
+    meet = known.select(*columns, F.explode(F.when(F.col("host"), F.array(every, hosts)).otherwise(F.array(every))).alias("every"), slot("n").alias("t"), "others")
+    meet = meet.select(*columns, "every", F.explode(n_slots("others")).alias("s"), "t")
+    on = ["key", "every", "s", "t"]
+    a = drive.select(*on, *(F.col(c).alias(c + "_a") for c in columns[1:]))
+    b = meet.select(*on, *(F.col(c).alias(c + "_b") for c in columns[1:]))
     # of two members outside the main component, the smaller drives
     once = (F.col("part_a") != F.col("part_b")) & ((F.col("part_b") == F.col("main_b")) | (F.col("doc_a") < F.col("doc_b")))
-    hosted = F.col("host_a") | F.col("host_b")
-    pairs = a.join(b, ["key", "s", "t"]).filter(once & hosted & _may_link("sign_a", "sign_b", percent))
+    pairs = a.join(b, on).filter(once & _may_link("sign_a", "sign_b", percent))
     low = F.col("doc_a") < F.col("doc_b")
     ends = [F.when(low, F.col(f"{c}_{x}")).otherwise(F.col(f"{c}_{y}")).alias(f"{e}_{c}") for e, x, y in (("a", "a", "b"), ("b", "b", "a")) for c in NAME]
     return pairs.select(*ends).distinct()
