@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,8 +106,27 @@ class Memo:
         self.held += self.OVERHEAD + len(value)
 
 
+_of_stage: dict = {}
+
+
+def of_stage(key: str, make: Callable):
+    """A value that the tasks of one stage share in a Python worker. It goes when tasks of another stage come."""
+    _drop_of_others()
+    if key not in _of_stage:
+        _of_stage[key] = make()
+    return _of_stage[key]
+
+
+def _drop_of_others() -> None:
+    stage = TaskContext.get().stageId()
+    if _of_stage.get("stage") != stage:
+        _of_stage.clear()
+        _of_stage["stage"] = stage
+
+
 def release() -> None:
     """At the end of a task: give unused memory back, as its Python worker goes on to other stages."""
+    _drop_of_others()
     gc.collect()
     pa.default_memory_pool().release_unused()
 

@@ -2,7 +2,8 @@
 
 The tokenizer file drops white space and splits the rest into pre-tokens, so that a text's
 ids are those of its pre-tokens in turn. Distinct pre-tokens of a batch are encoded once
-and kept in a cache of at most `CACHED_BYTES`, which is the task's own and ends with it; ids of texts are gathered from them.
+and kept in a cache of at most `CACHED_BYTES`, which the tasks of a stage share in a Python worker and which goes with
+the stage; ids of texts are gathered from them.
 """
 
 from __future__ import annotations

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from texelframe.llm.common import ranges, release, slices, stored
+from texelframe.llm.common import of_stage, ranges, release, slices, stored
 from texelframe.llm.encoding import Encoder, with_end
 
 MAX_BITS = 20
@@ -138,7 +138,7 @@ def token_rows(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """(doc_id, ids): each text's ids and end_id, as little-endian 16-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(tokenizer)
+        enc = of_stage(tokenizer, lambda: Encoder(tokenizer))
         for batch in batches:
             for part in slices(batch, "text"):
                 tokens, ends = with_end(*enc.encode(part.column("text")), end_id)
@@ -147,7 +147,6 @@ def token_rows(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                     pa.large_binary(), len(ends), [None, edges.buffers()[1], pa.py_buffer(tokens.astype("<u2").tobytes())]
                 )
                 yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), ids.cast(pa.binary())], names=["doc_id", "ids"])
-        del enc
         release()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, ids binary")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from texelframe.llm.common import release, slices
+from texelframe.llm.common import of_stage, release, slices
 from texelframe.llm.encoding import Encoder, with_end
 
 OPEN_IDS = 16_000_000  # of two bytes each
@@ -139,7 +139,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 4096) -> Da
         packer, sequence = Packer(window), 0
         sums: dict[int, tuple] = {}  # documents with pieces in open windows
         n_docs = 0
-        enc = Encoder(tokenizer)
+        enc = of_stage(tokenizer, lambda: Encoder(tokenizer))
 
         def emit() -> Iterator[pa.RecordBatch]:
             nonlocal sequence
@@ -184,7 +184,6 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 4096) -> Da
                         sums[doc] = (doc_id, n, ids.copy(), gone)
         packer.level_out()
         yield from emit()
-        del enc
         release()
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]

@@ -8,7 +8,7 @@ end. Pieces are those of a public vocabulary file, which lists them by rank; the
 log-probabilities by Zipf's law of that rank, so that no tokenizer is trained. A character that is no
 piece costs one token for each of its UTF-8 bytes.
 
-The trie is the task's own. At `MAX_NODES` it is started anew, and the counts of the pre-tokens of the last one are kept beside it,
+The tasks of a stage share a trie in each Python worker. At `MAX_NODES` it is started anew, and the counts of the pre-tokens of the last one are kept beside it,
 which changes no result. A word of more than `LONG_WORD` characters isn't put into it: the scores of its last prefixes, as many as a
 piece has characters, are enough. Nothing is shuffled.
 
@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from texelframe.llm.common import Words, release, slices
+from texelframe.llm.common import Words, of_stage, release, slices
 
 MAX_NODES = 400_000
 UNKNOWN = 10.0  # a byte's score below that of the last piece
@@ -120,7 +120,7 @@ def count_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
     """(doc_id, n_words, n_tokens) of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie(load_scores(vocabulary))
+        trie = of_stage(vocabulary, lambda: Trie(load_scores(vocabulary)))
         for batch in batches:
             for part in slices(batch, "text"):
                 words = Words(part.column("text"))
@@ -129,7 +129,6 @@ def count_tokens(docs: DataFrame, vocabulary: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").cast(pa.int64()), pa.array(words.counts.astype(np.int64)), pa.array(np.diff(total, prepend=0))], names=["doc_id", "n_words", "n_tokens"]
                 )
-        del trie
         release()
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_words long, n_tokens long")
