@@ -53,10 +53,11 @@ def test_words_are_those_of_ascii_white_space():
 
 
 def test_memo_forgets_but_keeps_its_bound():
-    memo = Memo(6 * Memo.OVERHEAD)
+    memo = Memo(8 * Memo.OVERHEAD)
     for k in range(20):
-        memo.put(str(k), bytes([k]))
-        assert memo.get(str(k)) == bytes([k]) and len(memo.young) + len(memo.old) <= 6
+        memo.keep({str(k): bytes([k])})
+        assert memo.find([str(k), "absent"]) == ([bytes([k]), None], [1]) and len(memo.young) + len(memo.old) <= 8
+    assert memo.find([str(k) for k in range(20)])[1] == [k for k in range(20) if str(k) not in memo.young | memo.old]
 
 
 @settings(max_examples=60, deadline=None)
@@ -163,12 +164,14 @@ def test_packing_places_whole_documents_by_sum_of_squares():
 
 def test_a_cache_of_words_is_bounded_by_bytes():
     memo = Memo(100_000)
-    for k in range(5000):
-        memo.put(f"w{k}", b"x" * (k % 50))
-        memo.put("y" * 1000 + str(k), b"long")
+    for k in range(0, 5000, 20):
+        memo.keep({f"w{j}": b"x" * (j % 50) for j in range(k, k + 20)} | {"y" * 1000 + str(k): b"long"})
+        assert memo.held <= memo.limit
     kept = memo.young | memo.old
     assert sum(memo.OVERHEAD + len(v) for v in kept.values()) <= 101_000 and len(kept) > 100
-    assert memo.get("w4999") is not None and not any(k.startswith("y") for k in kept)
+    assert memo.find(["w4999"])[1] == [] and not any(k.startswith("y") for k in kept)
+    memo.keep({f"v{j}": b"x" * 50 for j in range(5000)})  # more than there is room for
+    assert sum(memo.OVERHEAD + len(v) for v in memo.young.values()) <= 50_000 and memo.find(["v1"])[1] == []
 
 
 def plain_tokens(word, trie):

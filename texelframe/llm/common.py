@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -89,21 +90,29 @@ class Memo:
     def __init__(self, limit: int):
         self.limit, self.held, self.young, self.old = limit // 2, 0, {}, {}
 
-    def get(self, key: str):
-        value = self.young.get(key)
-        if value is None:
-            value = self.old.get(key)
-            if value is not None:
-                self.put(key, value)
-        return value
-
-    def put(self, key: str, value: bytes) -> None:
-        if len(key) > self.LONG_WORD:
-            return
-        if self.held >= self.limit:
+    def find(self, words: list[str]) -> tuple[list[bytes | None], list[int]]:
+        """The value of each word, and the places of words that have none."""
+        found = [*map(self.young.get, words)]
+        missing = [k for k, x in enumerate(found) if x is None]
+        if missing and self.old:
+            older = [*map(self.old.get, map(words.__getitem__, missing))]
+            known = {words[k]: x for k, x in zip(missing, older) if x is not None}
+            for k, x in zip(missing, older):
+                found[k] = x
+            self.keep(known)
+            missing = [k for k in missing if found[k] is None]
+        return found, missing
+
+    def keep(self, values: dict[str, bytes]) -> None:
+        if max(map(len, values), default=0) > self.LONG_WORD:
+            values = {w: x for w, x in values.items() if len(w) <= self.LONG_WORD}
+        size = self.OVERHEAD * len(values) + sum(map(len, values.values()))
+        if self.held + size > self.limit:
             self.old, self.young, self.held = self.young, {}, 0
-        self.young[key] = value
-        self.held += self.OVERHEAD + len(value)
+            if size > self.limit:  # as many of them as there is room for
+                values = dict(itertools.islice(values.items(), int(len(values) * self.limit / size)))
+        self.young.update(values)
+        self.held += min(size, self.limit)
 
 
 _of_stage: dict = {}

@@ -64,12 +64,13 @@ class Encoder:
     def _gather(self, texts: pa.Array, memo: Memo, encode) -> tuple[np.ndarray, np.ndarray]:
         words = Words(texts)
         distinct = words.distinct.to_pylist()
-        ids = [*map(memo.get, distinct)]
-        if missing := [k for k, x in enumerate(ids) if x is None]:
+        ids, missing = memo.find(distinct)
+        if missing:
             new = [distinct[k] for k in missing]
-            for k, word, x in zip(missing, new, encode(new)):
+            made = encode(new)
+            for k, x in zip(missing, made):
                 ids[k] = x
-                memo.put(word, x)
+            memo.keep(dict(zip(new, made)))
         counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 2
         pool = np.frombuffer(b"".join(ids), dtype=np.uint16)
         per_word = counts[words.codes]
