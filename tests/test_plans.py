@@ -38,6 +38,31 @@ def test_two_filter_passes_share_one_exchange(sized, name):
     assert exchanges(resample.next_mip(sized, name)) == 1
 
 
+def test_a_task_gathers_tiles_not_the_sums_of_a_filter(spark):
+    """Of 100 images of 64 samples, 143 resized, no aggregate holds more than a row each; samples are exchanged once."""
+    p = F.col("id") % 64
+    maps = spark.range(0, 6400, 1, 4).select(
+        F.floor(F.col("id") / 64).alias("texture_id"), F.floor(p / 8).cast("int").alias("y"), (p % 8).cast("int").alias("x"),
+        F.rand(1).alias("a"), F.lit(8).alias("width"), F.lit(8).alias("height"),
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = resample._resize_by_tile(maps.withColumns({"out_w": F.lit(13), "out_h": F.lit(11)}), "mitchell", "clamp")
+        nodes, gathered, sent = [out._jdf.queryExecution().executedPlan()], [], []
+        rows = len(out.collect())
+        while nodes:
+            node = nodes.pop()
+            nodes += [node.children().apply(k) for k in range(node.children().size())]
+            if "Aggregate" in node.nodeName():
+                gathered.append(node.metrics().apply("numOutputRows").value())
+            if "Exchange" in node.nodeName():
+                sent.append(node.metrics().apply("shuffleRecordsWritten").value())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert rows == 100 * 13 * 11
+    assert gathered and max(gathered) == 100 and sent == [6400]
+
+
 def test_a_thumbnail_is_made_under_many_keys_from_combined_sums(spark):
     """Neither its samples nor its sums meet in one task, and few rows are exchanged."""
     x, y = (F.col("id") % 256).cast("int"), F.floor(F.col("id") / 256).cast("int")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from texelframe.functions import sizes
 from texelframe.operators import resample, samples, stencil
 from texelframe.plans import pyramid as pyramids
-from tests.helpers import image, random_image, resized, to_array
+from tests.helpers import axis_weights, image, random_image, resized, to_array
 
 
 @pytest.mark.parametrize("name", ["box", "triangle", "mitchell", "kaiser"])
@@ -44,6 +44,28 @@ def test_images_of_one_table_go_each_their_way(spark):
         assert to_array(out.filter(F.col("texture_id") == k)) == pytest.approx(resized(array, 6, 6, "mitchell", "repeat"), abs=1e-9)
 
 
+@pytest.mark.parametrize("wrap", ["clamp", "repeat"])
+def test_repeats_have_weight_each_and_nulls_weight_without_value(spark, wrap):
+    """The samples of a place are summed with their number, and a line's samples before the lines."""
+    array = random_image(9, 40)[..., 0]
+    rows = [(0, y, x, float(array[y, x])) for y in range(9) for x in range(40)]
+    rows = [r for r in rows if r[1:3] not in ((3, 4), (3, 5)) and r[1] != 6]
+    rows += [(0, 2, 2, 5.0), (0, 2, 2, None), (0, 7, 39, None), (0, 0, 0, 0.5)]
+    rows = [(*r[:3], None) if r[1:3] == (5, 20) else r for r in rows]
+    df = spark.createDataFrame(rows, "texture_id long, y int, x int, a double")
+    out = {(r.y, r.x): r.a for r in resample.resize(df, 50, 13, "mitchell", wrap).collect()}
+    known, number = np.zeros((9, 40)), np.zeros((9, 40))
+    for _, y, x, a in rows:
+        known[y, x] += a or 0
+        number[y, x] += 1
+    across, down = axis_weights("mitchell", 40, 50, wrap), axis_weights("mitchell", 9, 13, wrap)
+    read = (number @ (across != 0).T) > 0
+    lines = np.divide(known @ across.T, number @ across.T, out=np.zeros(read.shape), where=read)
+    expected = (down @ lines) / (down @ read)
+    assert len(out) == 50 * 13
+    assert np.array([[out[y, x] for x in range(50)] for y in range(13)]) == pytest.approx(expected, abs=1e-9)
+
+
 def test_extremes_bound_the_mean_and_join_odd_edges(spark):
     array = random_image(7, 5)
     low, mean, high = (to_array(resample.next_mip(image(spark, array), n)) for n in ("min", "box", "max"))

@@ -38,6 +38,13 @@ def wrap(position: Column, size: Column, mode: str = "clamp") -> Column:
     raise ValueError(f"wrap mode must be one of {WRAP_MODES}, got {mode!r}")
 
 
+def virtual_span(index: str, size: str, reach: str) -> Span:
+    """First and last position of a repeated sample in -reach .. size-1+reach; its others lie between, a size apart."""
+    low = f"({index} - {size} * int(({index} + {reach}) div {size}))"
+    high = f"({index} + {size} * int(({size} - 1 + {reach} - {index}) div {size}))"
+    return low, high
+
+
 def virtual_positions(index: str, size: str, reach: str, mode: str = "clamp") -> Column:
     """Rows for every position in -reach .. size-1+reach that reads this index.
 
@@ -49,9 +56,7 @@ def virtual_positions(index: str, size: str, reach: str, mode: str = "clamp") ->
         high = f"if({index} = {size} - 1, {size} - 1 + {reach}, {index})"
         return explode_span((low, high))
     if mode == "repeat":
-        low = f"({index} - {size} * int(({index} + {reach}) div {size}))"
-        high = f"({index} + {size} * int(({size} - 1 + {reach} - {index}) div {size}))"
-        return explode_span((low, high), size)
+        return explode_span(virtual_span(index, size, reach), size)
     raise ValueError(f"wrap mode must be one of {WRAP_MODES}, got {mode!r}")
 
 
@@ -76,8 +81,3 @@ def place_by_tile(df: DataFrame, y_span: Span, x_span: Span) -> DataFrame:
         return F.expr(f"explode(CASE WHEN {low} <= {high} THEN {touched} END)")
 
     return colocate_tiles(df.withColumn("ty", tiles(y_span)).withColumn("tx", tiles(x_span)))
-
-
-def within_tile(span: Span, tile: str) -> Span:
-    low, high = span
-    return f"greatest({low}, {tile} * {TILE})", f"least({high}, {tile} * {TILE} + {TILE - 1})"

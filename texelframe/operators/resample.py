@@ -1,6 +1,6 @@
 """Resizing with separable filters, and the next mip level.
 
-Filter weights are computed inside the generated code from the sample's position
+Filter weights are computed where they are used, from the sample's position
 and its image's size, so no weight table is built, joined or broadcast. Weighted
 sums are divided by the sum of their weights at the end, which normalises edge
 taps as well.
@@ -9,11 +9,12 @@ taps as well.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from texelframe.operators.placement import Span, explode_span, place_by_tile, virtual_positions, within_tile
+from texelframe.operators.placement import WRAP_MODES, Span, colocate_tiles, explode_span, virtual_positions, virtual_span
 from texelframe.schema import carried, channels, int_div, plane_keys, with_size
 
 # Half-widths in output samples, Mitchell's B and C, and the
@@ -26,6 +27,8 @@ KAISER_STRETCH = 1.0
 BESSEL_TERMS = 14
 # Reductions from this on are made by sums over the whole image, others tile by tile.
 STRONG = 4
+# Side of a tile of targets. A task holds the samples of about a hundred tiles as objects before it sorts them.
+SIDE = 32
 
 FILTERS = ("box", "min", "max", *SUPPORT)
 
@@ -128,22 +131,120 @@ def _taps(rows: DataFrame, j: str, target: str, size: str, out: str, name: str,
     )
 
 
-def _resize_by_tile(df: DataFrame, name: str, mode: str) -> DataFrame:
-    """Two passes, x then y, both inside the tiles of one placement."""
+def _let(name: str, value: str, body: str) -> str:
+    """SQL expression of body with value, evaluated once, under a name."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _reading_tiles(index: str, size: str, out: str, support: float, mode: str) -> Column:
+    """One row per tile along an axis that reads the sample, once also where it reads it at several positions."""
+    if mode not in WRAP_MODES:
+        raise ValueError(f"wrap mode must be one of {WRAP_MODES}, got {mode!r}")
+    reach = _reach(size, out, support)
+    if mode == "clamp":
+        low, _ = _targets(f"if({index} = 0, -{reach}, {index})", size, out, support)
+        _, high = _targets(f"if({index} = {size} - 1, {size} - 1 + {reach}, {index})", size, out, support)
+        return F.expr(f"explode(sequence(int({low} div {SIDE}), int({high} div {SIDE})))")
+    first, last = virtual_span(index, size, reach)
+    low, high = _targets("_v", size, out, support)
+    touched = f"CASE WHEN {low} <= {high} THEN sequence(int({low} div {SIDE}), int({high} div {SIDE})) ELSE array() END"
+    return F.expr(f"explode(array_distinct(flatten(transform(sequence({first}, {last}, {size}), _v -> {touched}))))")
+
+
+def _tap_lists(tile: str, size: str, out: str, name: str, mode: str) -> str:
+    """Array by target of the tile: the source positions it reads (i) with their weights (w)."""
     support = SUPPORT[name]
+    middle, reach = f"((_d + 0.5D) * {size} / {out} - 0.5D)", f"greatest({size} / {out}, 1D) * {support!r}D"
+    near = f"sequence(int(ceil({middle} - {reach})) - 1, int(floor({middle} + {reach})) + 1)"
+    centers = f"transform({near}, _j -> named_struct('j', _j, 'm', {_center('_j', size, out)}))"
+    read = f"filter({centers}, _n -> _n.m - _around <= _d AND _n.m + _around >= _d)"
+    weight = _let("_u", "(_n.m - _d) * _scale", _let("_uu", "_u * _u", kernel("_u", "_uu", name)))
+    at = f"pmod(_n.j, {size})" if mode == "repeat" else f"greatest(0, least({size} - 1, _n.j))"
+    taps = f"transform({read}, _n -> named_struct('i', {at}, 'w', {weight}))"
+    targets = f"transform(sequence({tile} * {SIDE}, least({out} - 1, {tile} * {SIDE} + {SIDE - 1})), _d -> {taps})"
+    return _let("_scale", f"least(1D, {size} / {out})", _let("_around", f"{support!r}D / _scale", targets))
+
+
+def _placed_taps(taps: str, positions: str) -> str:
+    """The same by target: p, with places among the positions that the tile reads (k) for i; s, the sum of weights."""
+    placed = f"transform(_t, _p -> named_struct('k', int(array_position({positions}, _p.i)) - 1, 'w', _p.w))"
+    return f"transform({taps}, _t -> named_struct('p', {placed}, 's', aggregate(_t, 0D, (_s, _p) -> _s + _p.w)))"
+
+
+def _struct(names: list[str], value: Callable[[str], str]) -> str:
+    return "named_struct(" + ", ".join(f"'{c}', {value(c)}" for c in names) + ")"
+
+
+def _full_means(names: list[str]) -> str:
+    """Means of a tile with one sample, without nulls, for each place it reads: ``_cells`` are lines of equal length."""
+    values = "transform(slice(_cells, _k * size(_xs) + 1, size(_xs)), _e -> _e.{c})"
+    over = "transform(_across, _t -> aggregate(_t.p, 0D, (_s, _p) -> _s + _p.w * get(_values, _p.k)) / _t.s)"
+    lines = f"transform(sequence(0, size(_ys) - 1), _k -> {_struct(names, lambda c: _let('_values', values.format(c=c), over))})"
+    read = f"transform(_t.p, _p -> named_struct('w', _p.w, {', '.join(f"'{c}', get(_lines, _p.k).{c}" for c in names)}))"
+    mean = _struct(names, lambda c: f"aggregate(_read, 0D, (_s, _l) -> _s + _l.w * get(_l.{c}, _c)) / _t.s")
+    down = f"transform(_down, _t -> {_let('_read', read, f'transform(sequence(0, size(_across) - 1), _c -> {mean})')})"
+    return _let("_lines", lines, f"flatten({down})")
+
+
+def _sparse_means(names: list[str]) -> str:
+    """Means of any tile. Each sample of a place has the weight; a null has weight but no value; null where nothing is read."""
+    def means(value: str, present: str, count: str) -> str:
+        """Weighted means over the taps of _t, where value.c and count are those at the tap _p."""
+        weights = f"aggregate(_t.p, 0D, (_s, _p) -> _s + _p.w * {count})"
+        total = "aggregate(_t.p, CAST(NULL AS DOUBLE), (_s, _p) -> coalesce(_s + _p.w * {v}, _s, _p.w * {v}))"
+        each = _struct(names, lambda c: total.format(v=f"{value}.{c}") + " / _ws")
+        return f"IF(exists(_t.p, _p -> {present}), {_let('_ws', weights, each)}, NULL)"
+
+    total = "aggregate(_f, CAST(NULL AS DOUBLE), (_s, _e) -> coalesce(_s + _e.{c}, _s, _e.{c}))"
+    sums = ", ".join(f"'{c}', {total.format(c=c)}" for c in names)
+    merged = _let("_f", "filter(_line, _e -> _e.x = _x)", f"named_struct('n', double(size(_f)), {sums})")
+    line = _let("_line", "filter(_cells, _e -> _e.y = _y)", f"transform(_xs, _x -> {merged})")
+    cell, mean = "get(_values, _p.k)", "get(get(_lines, _p.k), _c)"
+    lines = f"transform(_grid, _values -> transform(_across, _t -> {means(cell, f'{cell}.n > 0', f'{cell}.n')}))"
+    count = f"IF({mean} IS NULL, 0D, 1D)"
+    down = f"transform(_down, _t -> transform(sequence(0, size(_across) - 1), _c -> {means(mean, f'{mean} IS NOT NULL', count)}))"
+    return _let("_grid", f"transform(_ys, _y -> {line})", _let("_lines", lines, f"flatten({down})"))
+
+
+def _tile_means(names: list[str], name: str, mode: str) -> str:
+    """Array of the means at a tile's targets, line by line, from its samples ``_cells`` in order: x first, then y."""
+    def positions(taps: str) -> str:
+        return f"array_sort(array_distinct(flatten(transform({taps}, _t -> _t.i))))"
+
+    places = "flatten(transform(_ys, _y -> transform(_xs, _x -> shiftleft(bigint(_y), 32) + _x)))"
+    full = f"transform(_cells, _e -> shiftleft(bigint(_e.y), 32) + _e.x) = {places}"
+    known = f"forall(_cells, _e -> {' AND '.join(f'_e.{c} IS NOT NULL' for c in names)})"
+    result = f"IF({full} AND {known}, {_full_means(names)}, {_sparse_means(names)})"
+    for local, value in (
+        ("_down", _placed_taps("_tapy", "_ys")),
+        ("_across", _placed_taps("_tapx", "_xs")),
+        ("_ys", positions("_tapy")),
+        ("_xs", positions("_tapx")),
+        ("_tapy", _tap_lists("ty", "height", "out_h", name, mode)),
+        ("_tapx", _tap_lists("tx", "width", "out_w", name, mode)),
+    ):
+        result = _let(local, value, result)
+    return result
 
-    def one_pass(rows: DataFrame, j: str, target: str, size: str, out: str, tile: str, other: str) -> DataFrame:
-        hit = _taps(rows, j, target, size, out, name, within_tile(_targets(j, size, out, support), tile))
-        keys = [*_sized_keys(df), "tile", "ty", "tx", other, target]
-        return hit.groupBy(*keys).agg(*_weighted_means(channels(df)))
-
-    rows = df.withColumn("_jx", virtual_positions("x", "width", _reach("width", "out_w", support), mode))
-    rows = rows.withColumn("_jy", virtual_positions("y", "height", _reach("height", "out_h", support), mode))
-    rows = rows.select(*_sized_keys(df), "_jy", "_jx", *channels(df))
-    placed = place_by_tile(rows, _targets("_jy", "height", "out_h", support), _targets("_jx", "width", "out_w", support))
-    across = one_pass(placed, "_jx", "_dx", "width", "out_w", "tx", "_jy")
-    down = one_pass(across, "_jy", "_dy", "height", "out_h", "ty", "_dx")
-    cells = down.withColumnsRenamed({"_dy": "y", "_dx": "x"}).drop("tile", "ty", "tx")
+
+def _resize_by_tile(df: DataFrame, name: str, mode: str) -> DataFrame:
+    """Each sample once to every tile that reads it; a tile is a row, both passes are made inside it.
+
+    Until its tiles are whole a task keeps samples, which are fewer than the sums of a pass and sorted
+    beyond a few tiles, and writes their targets as it makes them.
+    """
+    support, names = SUPPORT[name], channels(df)
+    keys = _sized_keys(df)
+    rows = df.select(*keys, "y", "x", *names)
+    rows = rows.withColumn("ty", _reading_tiles("y", "height", "out_h", support, mode))
+    rows = rows.withColumn("tx", _reading_tiles("x", "width", "out_w", support, mode))
+    cells = F.expr(f"sort_array(collect_list(struct(y, x, {', '.join(names)})))")
+    tiles = colocate_tiles(rows).groupBy(*keys, "tile", "ty", "tx").agg(cells.alias("_cells"))
+    means = tiles.select(*keys, "ty", "tx", F.expr(f"posexplode({_tile_means(names, name, mode)})").alias("_at", "_mean"))
+    across = f"least({SIDE}, out_w - tx * {SIDE})"
+    cells = means.filter("_mean IS NOT NULL").select(
+        *keys, F.expr(f"ty * {SIDE} + int(_at div {across})").alias("y"), F.expr(f"tx * {SIDE} + _at % {across}").alias("x"), "_mean.*"
+    )
     return _finish(cells)
 
 
