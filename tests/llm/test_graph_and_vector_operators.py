@@ -92,6 +92,52 @@ def test_rows_of_one_id_share_their_links(spark):
     assert got_components(spark, []) == [] and got_components(spark, [(1, None, 0), (2, " ", 0)]) == [(False, 1, 0, 1), (False, 2, 0, 2)]
 
 
+def family_texts():
+    """Copies of a text, each with a number of words changed: some link, most are only alike."""
+    rng = np.random.default_rng(6)
+    base = [f"f{k}" for k in range(150)]
+    texts = []
+    for changes in (0, 1, 1, 2, 2, *[4] * 20, *[6] * 10):
+        copy = list(base)
+        for at in rng.choice(len(base), changes, replace=False):
+            copy[at] = "x" + str(rng.integers(100000))
+        texts.append(" ".join(copy))
+    return texts
+
+
+@pytest.mark.parametrize("tile, pairs, shingles, rows", [(3, 7, 400, 2), (8, 1, 1, 5), (4096, 1 << 14, 1 << 20, 10000)])
+def test_a_family_of_unlinked_documents(spark, monkeypatch, tile, pairs, shingles, rows):
+    for name, value in (("TILE", tile), ("PAIRS", pairs), ("SHINGLES", shingles)):
+        monkeypatch.setattr(ngram_join, name, value)
+    texts = [(2 * k + 1, t, 0) for k, t in enumerate(family_texts())]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)  # cells go on over several batches
+    try:
+        edges, want = brute_components(texts, 80)
+        assert 10 < len(edges) < len(texts) ** 2 / 4 and got_components(spark, texts) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_a_set_is_sent_to_a_block_once(spark, monkeypatch):
+    sets, ends = ngram_join.shingle_sets(pa.array(family_texts()))
+    starts = [0, *ends[:-1].tolist()]
+    each = [sets[a:b] for a, b in zip(starts, ends.tolist())]
+    n = len(each)
+    stored = spark.createDataFrame([(k, -k, bytearray(x.tobytes())) for k, x in enumerate(each)], "doc long, half long, shingles binary")
+    pairs = [(a, -a, len(each[a]), b, -b, len(each[b]), 5) for a in range(n) for b in range(a + 1, n)]
+    pairs = spark.createDataFrame(pairs, "a_doc long, a_half long, a_n long, b_doc long, b_half long, b_n long, family long")
+    both = {(a, b): len(np.intersect1d(each[a], each[b])) for a in range(n) for b in range(a + 1, n)}
+    want = {(a, b) for (a, b), m in both.items() if 100 * m >= 80 * (len(each[a]) + len(each[b]) - m)}
+    assert 10 < len(want) < len(both) / 2
+    # one block, and blocks of a pair of slots each
+    for shingles, sent in ((1 << 20, n), (sum(map(len, each)) // 4 + 1, 7 * n)):
+        monkeypatch.setattr(ngram_join, "SHINGLES", shingles)
+        rows = ngram_join.blocks(pairs, stored)
+        assert rows.filter("shingles is not null").count() <= sent and rows.filter("shingles is null").count() == len(both)
+        assert {(r.a_doc, r.b_doc) for r in ngram_join.verified_in_blocks(pairs, stored, 80).collect()} == want
+
+
 def test_layouts_miss_next_to_nothing():
     for percent in range(50, 101):
         keys, orders = ngram_join.layout(percent)

@@ -17,6 +17,8 @@
    host of a tile only, for most are linked by that; components of these links are formed; then all
    pairs within a tile that are still in different components. So a large group of near copies
    costs a comparison for each member instead of each pair, and no link between components is lost.
+   A family of documents that are alike without being linked remains: its pairs grow with its square. Their
+   bitmaps are compared as arrays, and a set is sent to each block of such a family, not to each of its pairs.
 
 Defined results: a text without words (null, empty, blank) has no shingle and no partner; rows of the
 same id count as one document, with the union of their links, each with its own number of shingles; a null id takes
@@ -47,11 +49,13 @@ LEAST_PERCENT = 50
 BITS = 2048
 # A set is named by its class's smallest id and half of its digest, as one id may have several texts.
 NAME = ("doc", "half")
-TILE = 256  # members of a tile that meet in a task at once
+TILE = 4096  # members of a tile that meet in a task at once
+PAIRS = 1 << 14  # pairs whose bitmaps are compared at once
+SHINGLES = 1 << 20  # of the sets that are compared at once
 
 
 def _word_hashes(words: pa.Array) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), dtype=np.uint64, count=len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_numpy(zero_copy_only=False)), dtype=np.uint64, count=len(words))
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -78,8 +82,9 @@ def shingle_sets(texts: pa.Array, width: int = SHINGLE) -> tuple[np.ndarray, np.
         at = np.minimum(begin + k, max(len(h) - 1, 0))
         value = np.where(inside, _mixed(value + h[at]) if len(h) else value, value)
     doc = np.repeat(np.arange(len(counts)), n_shingles)
-    order = np.lexsort((value, doc))
-    value, doc = value[order], doc[order]
+    last = np.cumsum(n_shingles)
+    for a, b in zip((last - n_shingles).tolist(), last.tolist()):
+        value[a:b].sort()
     new = np.ones(len(value), dtype=bool)
     new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
     return value[new], np.cumsum(np.bincount(doc[new], minlength=len(counts)))
@@ -106,13 +111,15 @@ def tile_keys(sets: np.ndarray, ends: np.ndarray, n_keys: int, n_orders: int) ->
     keys = np.empty((len(full), n_keys), dtype=np.uint64)
     if not len(full):
         return keys
+    h, shifted = np.empty_like(sets), np.empty_like(sets)
     # odd multipliers of the hash orders
     orders = _mixed(np.arange(1, n_keys * n_orders + 1, dtype=np.uint64)) | np.uint64(1)
     for k in range(n_keys):
         key = np.full(len(full), k, dtype=np.uint64)
         for a in orders[k * n_orders : (k + 1) * n_orders]:
-            h = sets * a
-            h ^= h >> np.uint64(29)
+            np.multiply(sets, a, out=h)
+            np.right_shift(h, np.uint64(29), out=shifted)
+            h ^= shifted
             h *= np.uint64(0xBF58476D1CE4E5B9)
             key = _mixed(key + np.minimum.reduceat(h, starts[full]))
         keys[:, k] = key
@@ -223,6 +230,103 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return each.select("a_doc", "b_doc", "left", "right").mapInArrow(run, "a_doc long, b_doc long")
 
 
+def _whole_cells(batches: Iterator[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[pa.Table]:
+    """The rows of batches that are sorted by cells, cut between cells only. by: the columns that are equal within a cell."""
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        new = _cell_starts(batch, by)
+        new[0] = bool(held) and any(batch.column(c)[0] != held[-1].column(c)[-1] for c in by)
+        if new.any():
+            last = int(np.flatnonzero(new)[-1])
+            yield pa.Table.from_batches([*held, batch.slice(0, last)])
+            held = []
+            batch = batch.slice(last)
+        held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _cell_starts(rows: pa.RecordBatch | pa.Table, by: tuple[str, ...]) -> np.ndarray:
+    """For each row, whether it is the first of its cell."""
+    new = np.ones(rows.num_rows, dtype=bool)
+    if rows.num_rows:
+        columns = [rows.column(c).to_numpy() for c in by]
+        new[1:] = np.logical_or.reduce([v[1:] != v[:-1] for v in columns])
+    return new
+
+
+def _runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Begin and end of runs of items of about `most` in all."""
+    if len(sizes):
+        run = np.cumsum(sizes) // most
+        edges = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(sizes)]
+        yield from zip(edges, edges[1:])
+
+
+BLOCK = ("family", "s", "t")
+
+
+def blocks(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows of blocks of pairs: first (doc, half, shingles) of every set that a block's pairs need, then its pairs, with b_doc and b_half.
+
+    pairs: (a_doc, a_half, a_n, b_doc, b_half, b_n, family). A family's sets are dealt to slots of about SHINGLES; two slots make a block.
+    """
+    end = F.explode(F.array(*(F.struct(*(F.col(f"{e}_{c}").alias(c) for c in (*NAME, "n"))) for e in "ab")))
+    sizes = pairs.select("family", end.alias("end")).distinct().groupBy("family").agg(F.sum("end.n").alias("size"))
+    slot = lambda e: F.pmod(F.xxhash64(*_named(e)), F.ceil(F.col("size") / SHINGLES).cast("long"))
+    placed = pairs.join(sizes, "family").select("family", slot("a").alias("s"), slot("b").alias("t"), *_named("a"), *_named("b"))
+    end = F.explode(F.array(*(F.struct(*(F.col(f"{e}_{c}").alias(c) for c in NAME)) for e in "ab")))
+    needed = placed.select(*BLOCK, end.alias("end")).select(*BLOCK, "end.*").distinct().join(sets, [*NAME]).select(*BLOCK, *NAME, "shingles")
+    compared = placed.select(*BLOCK, *(F.col(f"a_{c}").alias(c) for c in NAME), *_named("b"))
+    rows = needed.unionByName(compared, allowMissingColumns=True)
+    return rows.repartition(*BLOCK).sortWithinPartitions(*BLOCK, F.col("shingles").isNull())
+
+
+def verified_in_blocks(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """As `verified`, for families of pairs (see `blocks`): a set is sent to a block once, however many of its pairs need it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cells in _whole_cells(batches, BLOCK):
+            starts = np.flatnonzero(_cell_starts(cells, BLOCK))
+            edges = np.append(starts, cells.num_rows)
+            lengths = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(cells.column("shingles")), 0).to_numpy(), dtype=np.int64)])
+            for a, b in _runs(np.diff(lengths[edges]), 8 * SHINGLES):
+                yield _reaching(cells.slice(edges[a], edges[b] - edges[a]), percent)
+        release()
+
+    return blocks(pairs, sets).mapInArrow(run, "a_doc long, b_doc long")
+
+
+def _reaching(rows: pa.Table, percent: int) -> pa.RecordBatch:
+    """(a_doc, b_doc) of the pairs among rows of blocks whose sets reach the threshold."""
+    given = pc.is_valid(rows.column("shingles")).to_numpy()
+    doc, half = (rows.column(c).to_numpy() for c in NAME)
+    place = {name: k for k, name in enumerate(zip(doc[given].tolist(), half[given].tolist()))}
+    raw = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in rows.column("shingles").filter(pa.array(given))]
+    sizes = np.array([len(x) for x in raw], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    codes = np.unique(np.concatenate(raw), return_inverse=True)[1]
+    others = rows.filter(pa.array(~given))
+    a = np.fromiter((place[x] for x in zip(doc[~given].tolist(), half[~given].tolist())), dtype=np.int64, count=others.num_rows)
+    b_doc, b_half = (others.column(c).to_numpy() for c in _named("b"))
+    b = np.fromiter((place[x] for x in zip(b_doc.tolist(), b_half.tolist())), dtype=np.int64, count=others.num_rows)
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], b[order]
+    both = np.empty(len(a), dtype=np.int64)
+    marks = np.zeros(len(codes), dtype=np.uint8)
+    edges = [*np.flatnonzero(np.diff(a, prepend=-1)).tolist(), len(a)]
+    for lo, hi in zip(edges, edges[1:]):  # the pairs of one set
+        own, partners = codes[starts[a[lo]] : starts[a[lo]] + sizes[a[lo]]], b[lo:hi]
+        marks[own] = 1
+        counts = sizes[partners]
+        both[lo:hi] = np.add.reduceat(marks[codes[ranges(starts[partners], counts)]], np.cumsum(counts) - counts, dtype=np.int64)
+        marks[own] = 0
+    keep = 100 * both >= percent * (sizes[a] + sizes[b] - both)
+    return pa.RecordBatch.from_arrays([pa.array(doc[~given][order][keep]), pa.array(b_doc[order][keep])], names=["a_doc", "b_doc"])
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id): components of documents of at least `percent` similarity."""
     signed = stored(signatures(docs, percent))
@@ -253,8 +357,12 @@ def _id_links(of_class: DataFrame) -> DataFrame:
 def _set_links(docs: DataFrame, heads: DataFrame, links: DataFrame, percent: int) -> DataFrame:
     """`links`, and enough of those between classes, heads, to connect all that are."""
     band = size_band(F.col("n"), percent)
-    placed = heads.select(*NAME, "keys", F.explode(F.array(F.struct(band.alias("band"), F.lit(True).alias("host")), F.struct((band + 1).alias("band"), F.lit(False).alias("host")))).alias("of"))
-    placed = placed.select(*NAME, "of.band", "of.host", F.explode("keys").alias("k")).select(*NAME, "host", F.xxhash64("k", "band").alias("key"))
+    keyed = heads.select(*NAME, band.alias("band"), F.explode("keys").alias("k"))
+    # most keys are of one class: these go before classes are placed in tiles
+    several = keyed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k")
+    of = F.explode(F.array(F.struct(F.col("band"), F.lit(True).alias("host")), F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("host"))))
+    placed = keyed.join(several, "k").select(*NAME, "k", of.alias("of")).select(*NAME, "of.host", F.xxhash64("k", "of.band").alias("key"))
+    placed = stored(placed)
     # tiles of two or more, with the host that all others are compared with first
     hosts = F.when(F.col("host"), F.col("doc"))
     tiles = placed.groupBy("key").agg(F.min(hosts).alias("first_doc"), F.min_by("half", hosts).alias("first_half"), F.count(F.lit(1)).alias("n"))
@@ -271,7 +379,7 @@ def _set_links(docs: DataFrame, heads: DataFrame, links: DataFrame, percent: int
     links = links.unionByName(verified(one, sets, percent))
     found = stored(connected_components(links, "a_doc", "b_doc"))
     rest = _across(members, found, sign, percent).join(one, [*_named("a"), *_named("b")], "left_anti")
-    more = stored(verified(stored(rest), sets, percent))
+    more = stored(verified_in_blocks(stored(rest), sets, percent))
     return found.toDF("b_doc", "a_doc").unionByName(more)
 
 
@@ -282,11 +390,14 @@ def _bounded(pairs: DataFrame, sign: DataFrame, percent: int) -> DataFrame:
     return each.filter(_may_link("sign_a", "sign_b", percent)).select(*_named("a"), *_named("b"), share.alias("most"))
 
 
+CELL = ("key", "s", "t")
+
+
 def _across(members: DataFrame, found: DataFrame, sign: DataFrame, percent: int) -> DataFrame:
-    """Pairs of names within a tile, a host in each, of different components, that may link.
+    """Pairs within a tile, a host in each, of different components, that may link: (a_doc, a_half, a_n, b_doc, b_half, b_n, family).
 
     Only tiles of more than one component have any. In these, members outside the largest
-    component are dealt to slots of about TILE; each slot meets, slot by slot of all
+    component, which names a family, are dealt to slots of about TILE; each slot meets, slot by slot of all
     members, those of other components.
     """
     parts = found.toDF("doc", "part")
@@ -297,21 +408,50 @@ def _across(members: DataFrame, found: DataFrame, sign: DataFrame, percent: int)
     most = sizes.groupBy("key").agg(F.max(F.struct("size", "part")).alias("top"), F.sum("size").alias("all")).select(
         "key", F.col("top.part").alias("main"), (F.col("all") - F.col("top.size")).alias("others")
     )
-    known = known.join(most, "key")
-    slot = lambda n: F.pmod(F.xxhash64(*NAME), F.greatest(F.lit(1), F.ceil(F.col(n) / TILE).cast("long")))
-    n_slots = lambda n: F.sequence(F.lit(0).cast("long"), F.greatest(F.lit(0), F.ceil(F.col(n) / TILE).cast("long") - 1))
-    columns = ["key", *NAME, "part", "main", "sign"]
-    # hosts meet all, guests hosts only
-    every, hosts = F.lit(True), F.lit(False)
-    drive = known.filter("part <> main").select(*columns, F.col("host").alias("every"), slot("others").alias("s"), F.explode(n_slots("n")).alias("t"))
-    meet = known.select(*columns, F.explode(F.when(F.col("host"), F.array(every, hosts)).otherwise(F.array(every))).alias("every"), slot("n").alias("t"), "others")
-    meet = meet.select(*columns, "every", F.explode(n_slots("others")).alias("s"), "t")
-    on = ["key", "every", "s", "t"]
-    a = drive.select(*on, *(F.col(c).alias(c + "_a") for c in columns[1:]))
-    b = meet.select(*on, *(F.col(c).alias(c + "_b") for c in columns[1:]))
-    # of two members outside the main component, the smaller drives
-    once = (F.col("part_a") != F.col("part_b")) & ((F.col("part_b") == F.col("main_b")) | (F.col("doc_a") < F.col("doc_b")))
-    pairs = a.join(b, on).filter(once & _may_link("sign_a", "sign_b", percent))
-    low = F.col("doc_a") < F.col("doc_b")
-    ends = [F.when(low, F.col(f"{c}_{x}")).otherwise(F.col(f"{c}_{y}")).alias(f"{e}_{c}") for e, x, y in (("a", "a", "b"), ("b", "b", "a")) for c in NAME]
-    return pairs.select(*ends).distinct()
+    n_slots = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / TILE)).cast("long")
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n_slots(n) - 1)
+    slot = lambda n: F.pmod(F.xxhash64(*NAME), n_slots(n))
+    known = known.join(most, "key").withColumns({"outside": F.col("part") != F.col("main"), "s0": slot("others"), "t0": slot("n")})
+    # a member that would be in a cell twice is there once
+    place = lambda s, t, drives, meets: F.struct(s.alias("s"), t.alias("t"), drives.alias("drives"), meets.alias("meets"))
+    drive = F.transform(F.filter(upto("n"), lambda t: F.col("outside")), lambda t: place(F.col("s0"), t, F.lit(True), t == F.col("t0")))
+    meet = F.transform(F.filter(upto("others"), lambda s: ~F.col("outside") | (s != F.col("s0"))), lambda s: place(s, F.col("t0"), F.lit(False), F.lit(True)))
+    dealt = known.withColumn("cell", F.explode(F.concat(drive, meet))).select("key", "cell.*", *NAME, "host", "part", "main", F.col("sign.n").alias("size"), "sign.ones", "sign.fold", "sign.bits")
+    dealt = dealt.repartition(*CELL).sortWithinPartitions(*CELL, F.desc("meets"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cells in _whole_cells(batches, CELL):
+            yield from _meetings(cells, percent)
+        release()
+
+    pairs = dealt.mapInArrow(run, "a_doc long, a_half long, a_n long, b_doc long, b_half long, b_n long, family long")
+    return pairs.groupBy(*_named("a"), *_named("b")).agg(F.min("family").alias("family"), *(F.first(f"{e}_n").alias(f"{e}_n") for e in "ab"))
+
+
+def _meetings(cells: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+    """The pairs of `_across` in some cells, whose rows that meet others come first."""
+    doc, half, host, part, main, size, ones, folds = (cells.column(c).to_numpy() for c in (*NAME, "host", "part", "main", "size", "ones", "fold"))
+    bits = pc.list_flatten(cells.column("bits")).to_numpy().view(np.uint64).reshape(-1, BITS // 64)
+    new = _cell_starts(cells, CELL)
+    cell, starts = np.cumsum(new) - 1, np.flatnonzero(new)
+    meets = np.add.reduceat(cells.column("meets").to_numpy().astype(np.int64), starts)
+    drive = np.flatnonzero(cells.column("drives").to_numpy())
+    counts, begin = meets[cell[drive]], starts[cell[drive]]
+    for x, y in _runs(counts, PAIRS):
+        i, j = np.repeat(drive[x:y], counts[x:y]), ranges(begin[x:y], counts[x:y])
+        # hosts meet all, guests hosts only; of two members outside the main component, the smaller drives
+        once = (part[i] != part[j]) & (host[i] | host[j]) & ((part[j] == main[i]) | (doc[i] < doc[j]))
+        once &= 100 * np.minimum(size[i], size[j]) >= percent * np.maximum(size[i], size[j])
+        i, j = i[once], j[once]
+        common = np.bitwise_count(bits[i] & bits[j]).sum(axis=1, dtype=np.int64)
+        bound = np.minimum(size[i] - ones[i], size[j] - ones[j]) + common
+        bound = np.where(folds[i] == folds[j], bound, np.minimum(size[i], size[j]))
+        may = (100 + percent) * bound >= percent * (size[i] + size[j])
+        i, j = i[may], j[may]
+        if len(i):
+            low = doc[i] < doc[j]
+            a, b = np.where(low, i, j), np.where(low, j, i)
+            yield pa.RecordBatch.from_arrays(
+                [*map(pa.array, (doc[a], half[a], size[a], doc[b], half[b], size[b], main[a]))],
+                names=["a_doc", "a_half", "a_n", "b_doc", "b_half", "b_n", "family"],
+            )
